@@ -1,0 +1 @@
+"""Deliberately empty: every source and stage of this engine is a bounded batch."""
