@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .ranks import SMALL, rows_at_ranks
 
 QUARTILES = (25, 50, 75)
-FOUR_PLACES = "decimal(18,4)"
+SIX_PLACES = "decimal(20,6)"
 
 
 def _around(n: int, percents: tuple[int, ...]) -> list[int]:
@@ -112,7 +112,7 @@ def box_plot(
 
     def units(column: str, halves: int = 1) -> Column:
         step = Decimal(1) / (100 * scale * halves)
-        return (F.col(column).cast("decimal(20,0)") * F.lit(step)).cast(FOUR_PLACES).alias(column)
+        return (F.col(column).cast("decimal(20,0)") * F.lit(step)).cast(SIX_PLACES).alias(column)
 
     return summary.select(
         *groups,

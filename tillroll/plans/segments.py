@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.bins import frequency_bin, monetary_bin, recency_bin
-from ..functions.codes import label_of
 from ..functions.exact import MONEY, average, average_money, cents, percent
 
 ROWS = "*"
@@ -177,7 +176,3 @@ def cohort_pivot(first_purchases: DataFrame, customers: DataFrame) -> DataFrame:
         )
         .orderBy("acquisition_month")
     )
-
-
-def labelled(customers: DataFrame) -> DataFrame:
-    return customers.select("customer_id", label_of(F.col("rfm_segment")).alias("segment_label"))

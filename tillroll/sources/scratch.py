@@ -26,9 +26,10 @@ def scratch_folder(spark: SparkSession) -> str:
     return _own_folder
 
 
-def _hadoop(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+def hadoop_path(spark: SparkSession, path: str):
+    """A path of any file system Spark knows, and that file system."""
+    located = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return located, located.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def write_scratch(frame: DataFrame, name: str, partition_by: str | None = None) -> str:
@@ -45,7 +46,7 @@ def write_scratch(frame: DataFrame, name: str, partition_by: str | None = None)
 def materialize(frame: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``frame`` and return the stored table."""
     path = write_scratch(frame, name, partition_by)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path).select(*frame.columns)
 
 
 class Stages:
@@ -65,7 +66,7 @@ class Stages:
     def _fingerprint(self) -> tuple:
         marks = []
         for name in self._inputs:
-            path, fs = _hadoop(self.spark, f"{self.directory}/{name}.parquet")
+            path, fs = hadoop_path(self.spark, f"{self.directory}/{name}.parquet")
             size = fs.getContentSummary(path)
             marks.append(
                 (
@@ -96,13 +97,13 @@ class Stages:
         return self._stored[key]
 
     def _complete(self, path: str) -> bool:
-        marker, fs = _hadoop(self.spark, f"{path}/_SUCCESS")
+        marker, fs = hadoop_path(self.spark, f"{path}/_SUCCESS")
         return fs.exists(marker)
 
     @classmethod
     def release(cls, spark: SparkSession) -> None:
         """Delete every stage table this application wrote."""
         app = spark.sparkContext.applicationId
-        path, fs = _hadoop(spark, f"{scratch_folder(spark)}/tillroll/{app}")
+        path, fs = hadoop_path(spark, f"{scratch_folder(spark)}/tillroll/{app}")
         fs.delete(path, True)
         cls._stored = {key: kept for key, kept in cls._stored.items() if app not in key}
