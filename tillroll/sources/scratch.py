@@ -100,6 +100,11 @@ class Stages:
         marker, fs = hadoop_path(self.spark, f"{path}/_SUCCESS")
         return fs.exists(marker)
 
+    @classmethod
+    def forget(cls) -> None:
+        """Build every table anew on its next use."""
+        cls._stored = {}
+
     @classmethod
     def release(cls, spark: SparkSession) -> None:
         """Delete every stage table this application wrote."""
