@@ -94,8 +94,9 @@ def test_top_products_stay_whole_for_a_hot_customer(spark, raw_of):
     lines += [{"customer_id": 2, "stock_code": "20009", "description": None}]
     sold = cleaning.sales(raw_of(*lines))
     people = spark.createDataFrame([(1, "A"), (2, "A")], "customer_id bigint, segment_label string")
-    rows = products.top_products_by_segment(sold, people, 2).collect()
-    assert [(r["stock_code"], r["revenue"]) for r in rows] == [("20000", 10), ("20001", 10)]
+    for limit in (0, 10):
+        rows = products.top_products_by_segment(sold, people, 2, limit).collect()
+        assert [(r["stock_code"], r["revenue"]) for r in rows] == [("20000", 10), ("20001", 10)]
     nested = charts.top_products_nested(products.top_products_by_segment(sold, people, 9)).first()
     assert [p["stock_code"] for p in nested["products"]] == ["20000", "20001", "20002", "20009"]
 

@@ -31,43 +31,78 @@ TEXT = ("invoice", "stock_code", "description", "country")
 def column_profile(raw: DataFrame) -> DataFrame:
     """(column_name, metric, value) with non-null and distinct count of every column, length
     range of texts, and range, mean, median and deviation of numbers."""
-    return reduce(DataFrame.unionByName, [_profile(raw, c) for c in RAW.names])
+    texts = [_text_profile(raw, c) for c in (*TEXT, "invoice_date")]
+    return reduce(DataFrame.unionByName, texts, _number_profile(raw))
 
 
-def _profile(raw: DataFrame, column: str) -> DataFrame:
-    present = raw.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
-    values = present.groupBy("v").agg(F.count(ROWS).alias("n"))
+def _long(row: DataFrame, cells: dict[tuple[str, str], str]) -> DataFrame:
+    """One wide row as (column_name, metric, value) rows."""
+    parts = [
+        F.struct(
+            F.lit(column).alias("column_name"),
+            F.lit(metric).alias("metric"),
+            F.col(cell).cast("double").alias("value"),
+        )
+        for (column, metric), cell in cells.items()
+    ]
+    return row.select(F.explode(F.array(*parts)).alias("m")).select("m.*")
+
+
+def _text_profile(raw: DataFrame, column: str) -> DataFrame:
+    values = raw.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
+    counted = values.groupBy("v").agg(F.count(ROWS).alias("n"))
     metrics = {"non_null": F.coalesce(F.sum("n"), F.lit(0)), "unique": F.count(ROWS)}
     if column in TEXT:
-        metrics["min_length"] = F.min(F.length("v"))
-        metrics["max_length"] = F.max(F.length("v"))
-    if column in NUMERIC:
-        units = (F.col("v") * 10 ** NUMERIC[column]).cast("bigint")
-        values = materialize(values, f"profile_{column}")
-        middle = quantiles(values, {"v": units}, (50,), weight="n")
-        median = middle[("v", ())][50] / 10 ** NUMERIC[column] if middle else None
-        metrics |= {
-            "min": F.min("v"),
-            "max": F.max("v"),
-            "mean": ratio(F.sum(units * F.col("n")), F.sum("n") * 10 ** NUMERIC[column], 2),
-            "median": F.lit(median).cast("decimal(38,6)"),
-            "stddev": _deviation(units, F.col("n"), NUMERIC[column]),
+        metrics |= {"min_length": F.min(F.length("v")), "max_length": F.max(F.length("v"))}
+    row = counted.agg(*[m.alias(name) for name, m in metrics.items()])
+    return _long(row, {(column, name): name for name in metrics})
+
+
+def _number_profile(raw: DataFrame) -> DataFrame:
+    """All numeric columns from one stored table of their values and counts."""
+    units = [
+        F.struct(
+            F.lit(c).alias("column_name"), (F.col(c) * 10**places).cast("bigint").alias("v")
+        )
+        for c, places in NUMERIC.items()
+    ]
+    values = materialize(
+        raw.select(F.explode(F.array(*units)).alias("u"))
+        .select("u.*")
+        .where(F.col("v").isNotNull())
+        .groupBy("column_name", "v")
+        .agg(F.count(ROWS).alias("n")),
+        "profile_values",
+    )
+    middles = quantiles(values, {"v": F.col("v")}, (50,), groups=("column_name",), weight="n")
+    aggregates, cells = [], {}
+    for column, places in NUMERIC.items():
+        unit = 10**places
+        here = F.col("column_name") == column
+        v, n = F.when(here, F.col("v")), F.when(here, F.col("n"))
+        exact = v.cast("decimal(38,0)")
+        total, rows = F.sum(exact * n), F.sum(n)
+        middle = middles.get(("v", (column,)), {}).get(50)
+        metrics = {
+            "non_null": F.coalesce(rows, F.lit(0)),
+            "unique": F.count(v),
+            "min": F.min(v).cast("decimal(24,3)") / unit,
+            "max": F.max(v).cast("decimal(24,3)") / unit,
+            "mean": ratio(total, rows * unit, 2),
+            "median": F.lit(None if middle is None else middle / unit).cast("decimal(38,6)"),
+            "stddev": _deviation(total, F.sum(exact * exact * n), rows, unit),
         }
-    row = values.agg(*[m.cast("double").alias(name) for name, m in metrics.items()])
-    pairs = [F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in metrics]
-    return row.select(
-        F.lit(column).alias("column_name"), F.explode(F.array(*pairs)).alias("m")
-    ).select("column_name", "m.metric", "m.value")
+        for name, metric in metrics.items():
+            cells[column, name] = f"{column}_{name}"
+            aggregates.append(metric.alias(f"{column}_{name}"))
+    return _long(values.agg(*aggregates), cells)
 
 
-def _deviation(units: Column, n: Column, places: int) -> Column:
+def _deviation(total: Column, squares: Column, rows: Column, unit: int) -> Column:
     """Sample standard deviation to two places from whole-number sums."""
-    x, w = units.cast("decimal(19,0)"), n.cast("decimal(19,0)")
-    total, squares, rows = F.sum(x * w), F.sum(x * x * w), F.sum(w)
-    spread = squares.cast("double") - total.cast("double") * total.cast("double") / rows.cast(
-        "double"
-    )
-    return F.round(F.sqrt(spread / (rows.cast("double") - 1)) / 10**places, 2)
+    n = rows.cast("double")
+    spread = squares.cast("double") - total.cast("double") * total.cast("double") / n
+    return F.round(F.sqrt(spread / F.nullif(n - 1, F.lit(0.0))) / unit, 2)
 
 
 def missing_by_column(raw: DataFrame) -> DataFrame:
