@@ -13,9 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SLICES = 4096
 SMALL = 100_000
@@ -37,6 +38,10 @@ class Span:
     def by_value(self) -> bool:
         return self.low < self.high
 
+    def settled(self) -> bool:
+        """A single value (and tie): there is nothing left to tell apart."""
+        return self.low == self.high and self.tie_low == self.tie_high
+
     def step(self) -> int:
         low, high = (self.low, self.high) if self.by_value() else (self.tie_low, self.tie_high)
         return -(-(high - low + 1) // SLICES)
@@ -68,198 +73,200 @@ def rows_at_ranks(
     times. The number of groups must be bounded (snapshots, segments), as the result is
     local: groups x measures x ranks.
     """
-    spark = frame.sparkSession
-    ties = F.col(tie).cast("bigint") if tie else F.lit(0).cast("bigint")
-    weights = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
-    tall = frame.select(
-        *groups,
-        ties.alias("_tie"),
-        weights.alias("_weight"),
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("measure"), value.cast("bigint").alias("value"))
-                    for name, value in measures.items()
-                ]
-            )
-        ).alias("_m"),
-    ).select(
-        *groups,
-        F.col("_m.measure").alias("_measure"),
-        F.col("_m.value").alias("_value"),
-        "_tie",
-        "_weight",
-    ).where(F.col("_value").isNotNull())
-
+    search = _Search(frame, measures, groups, tie, weight)
     wanted = [
         (span, rank)
-        for span in _whole_groups(frame, measures, groups, ties, weights)
+        for span in search.whole_groups()
         for rank in ranks_of(span.rows)
         if 0 <= rank < span.rows
     ]
     while True:
-        large = list(
-            dict.fromkeys(
-                s for s, _ in wanted if s.rows > small and (s.by_value() or s.tie_low < s.tie_high)
-            )
-        )
+        large = {s for s, _ in wanted if s.rows > small and not s.settled()}
         if not large:
             break
-        narrowed = _narrow(spark, tall, groups, large, [w for w in wanted if w[0] in large])
+        narrowed = search.narrow([w for w in wanted if w[0] in large])
         wanted = [(narrowed.get((s, r), s), r) for s, r in wanted]
-
-    found, open_ = [], []
-    for span, rank in wanted:
-        if span.low == span.high and span.tie_low == span.tie_high:
-            found.append(RankedRow(span.group, span.measure, rank, span.low, span.tie_low))
-        else:
-            open_.append((span, rank))
-    if open_:
-        found += _number(spark, tall, groups, open_)
-    return found
-
-
-def _whole_groups(frame, measures, groups, ties, weights) -> list[Span]:
-    totals = []
-    for name, value in measures.items():
-        present = F.when(value.isNotNull(), weights)
-        totals += [
-            F.sum(present).alias(f"{name}_rows"),
-            F.min(value.cast("bigint")).alias(f"{name}_low"),
-            F.max(value.cast("bigint")).alias(f"{name}_high"),
+    found = [
+        RankedRow(s.group, s.measure, rank, s.low, s.tie_low) for s, rank in wanted if s.settled()
+    ]
+    unsettled = [w for w in wanted if not w[0].settled()]
+    return found + (search.number(unsettled) if unsettled else [])
+
+
+class _Search:
+    """One frame's measures, each searched by a scan of just its own column and the keys."""
+
+    def __init__(self, frame, measures, groups, tie, weight):
+        self.frame = frame
+        self.measures = {name: column.cast("bigint") for name, column in measures.items()}
+        self.groups = groups
+        self.tie = F.col(tie).cast("bigint") if tie else F.lit(0).cast("bigint")
+        self.weight = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+
+    def whole_groups(self) -> list[Span]:
+        totals = []
+        for name, value in self.measures.items():
+            totals += [
+                F.sum(F.when(value.isNotNull(), self.weight)).alias(f"{name}_rows"),
+                F.min(value).alias(f"{name}_low"),
+                F.max(value).alias(f"{name}_high"),
+            ]
+        ties = [F.min(self.tie).alias("tie_low"), F.max(self.tie).alias("tie_high")]
+        rows = self.frame.groupBy(*self.groups).agg(*ties, *totals).collect()
+        return [
+            Span(
+                tuple(row[g] for g in self.groups),
+                name,
+                row[f"{name}_low"],
+                row[f"{name}_high"],
+                row["tie_low"],
+                row["tie_high"],
+                0,
+                row[f"{name}_rows"],
+            )
+            for row in rows
+            for name in self.measures
+            if row[f"{name}_rows"]
         ]
-    rows = (
-        frame.groupBy(*groups)
-        .agg(F.min(ties).alias("tie_low"), F.max(ties).alias("tie_high"), *totals)
-        .collect()
-    )
-    return [
-        Span(
-            tuple(row[g] for g in groups),
-            name,
-            row[f"{name}_low"],
-            row[f"{name}_high"],
-            row["tie_low"],
-            row["tie_high"],
-            0,
-            row[f"{name}_rows"],
+
+    def inside(self, spans: list[Span]) -> list[DataFrame]:
+        """Per measure, the rows that lie in one of its spans; spans never overlap."""
+        frames = []
+        for name, value in self.measures.items():
+            mine = [(number, s) for number, s in enumerate(spans) if s.measure == name]
+            if mine:
+                rows = self.frame.select(
+                    *self.groups,
+                    value.alias("_value"),
+                    self.tie.alias("_tie"),
+                    self.weight.alias("_weight"),
+                )
+                frames.append(self._keyed(rows, mine) if self.groups else _chosen(rows, mine))
+        return frames
+
+    def _keyed(self, rows: DataFrame, spans: list[tuple[int, Span]]) -> DataFrame:
+        bounds = {g: [s.group[i] for _, s in spans] for i, g in enumerate(self.groups)}
+        bounds |= {f"_{b.name}": [b.of(s) for _, s in spans] for b in _BOUNDS}
+        bounds["_span"] = [number for number, _ in spans]
+        return rows.join(self._local(bounds), list(self.groups)).where(
+            F.col("_value").between(F.col("_low"), F.col("_high"))
+            & F.col("_tie").between(F.col("_tie_low"), F.col("_tie_high"))
         )
-        for row in rows
-        for name in measures
-        if row[f"{name}_rows"]
-    ]
 
+    def _local(self, columns: dict[str, list]) -> DataFrame:
+        """A broadcast frame of bounds; its rows are groups x measures x ranks at most."""
+        local = self.frame.sparkSession.createDataFrame(pa.table(columns))
+        types = {g: self.frame.schema[g].dataType for g in self.groups}
+        return F.broadcast(
+            local.select(
+                *[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in columns]
+            )
+        )
 
-def _local(spark: SparkSession, columns: dict[str, list], like: DataFrame) -> DataFrame:
-    """A broadcast frame of bounds; its rows are groups x measures x ranks at most."""
-    frame = spark.createDataFrame(pa.table(columns))
-    typed = [
-        F.col(c).cast(like.schema[c].dataType).alias(c) if c in like.columns else F.col(c)
-        for c in frame.columns
-    ]
-    return F.broadcast(frame.select(*typed))
-
-
-def _inside(tall: DataFrame, groups, spans: list[Span]) -> DataFrame:
-    """Rows that lie in one of the spans; spans never overlap."""
-    bounds = {g: [s.group[i] for s in spans] for i, g in enumerate(groups)}
-    bounds |= {
-        "_measure": [s.measure for s in spans],
-        "_span": list(range(len(spans))),
-        "_low": [s.low for s in spans],
-        "_high": [s.high for s in spans],
-        "_tie_low": [s.tie_low for s in spans],
-        "_tie_high": [s.tie_high for s in spans],
-        "_by_value": [s.by_value() for s in spans],
-        "_step": [s.step() for s in spans],
-    }
-    return tall.join(_local(tall.sparkSession, bounds, tall), [*groups, "_measure"]).where(
-        F.col("_value").between(F.col("_low"), F.col("_high"))
-        & F.col("_tie").between(F.col("_tie_low"), F.col("_tie_high"))
-    )
-
-
-def _looked_for(spark, like: DataFrame, spans: list[Span], wanted) -> DataFrame:
-    number = {span: i for i, span in enumerate(spans)}
-    return _local(
-        spark,
-        {
-            "_span": [number[s] for s, _ in wanted],
-            "_offset": [rank - s.before for s, rank in wanted],
-            "_rank": [rank for _, rank in wanted],
-        },
-        like,
-    )
-
-
-def _narrow(spark, tall, groups, spans: list[Span], wanted) -> dict[tuple, Span]:
-    """For every wanted rank the slice of its span that holds it."""
-    axis = F.when(F.col("_by_value"), F.col("_value") - F.col("_low")).otherwise(
-        F.col("_tie") - F.col("_tie_low")
-    )
-    slices = (
-        _inside(tall, groups, spans)
-        .groupBy("_span", F.call_function("div", axis, F.col("_step")).alias("_slice"))
-        .agg(
-            F.sum("_weight").alias("_rows"),
-            F.min("_value").alias("_from"),
-            F.max("_value").alias("_to"),
-            F.min("_tie").alias("_tie_from"),
-            F.max("_tie").alias("_tie_to"),
+    def looked_for(self, spans: list[Span], wanted) -> DataFrame:
+        number = {span: i for i, span in enumerate(spans)}
+        return self._local(
+            {
+                "_span": [number[s] for s, _ in wanted],
+                "_offset": [rank - s.before for s, rank in wanted],
+                "_rank": [rank for _, rank in wanted],
+            }
         )
-    )
-    upto = F.sum("_rows").over(
-        Window.partitionBy("_span").orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    hits = (
-        slices.withColumn("_skipped", upto - F.col("_rows"))
-        .join(_looked_for(spark, tall, spans, wanted), "_span")
-        .where(
-            (F.col("_skipped") <= F.col("_offset"))
-            & (F.col("_offset") < F.col("_skipped") + F.col("_rows"))
+
+    def narrow(self, wanted) -> dict[tuple, Span]:
+        """For every wanted rank the slice of its span that holds it."""
+        spans = list(dict.fromkeys(s for s, _ in wanted))
+        axis = F.when(F.col("_by_value"), F.col("_value") - F.col("_low")).otherwise(
+            F.col("_tie") - F.col("_tie_low")
         )
-        .collect()
-    )
-    narrowed = {}
-    for hit in hits:
-        span = spans[hit["_span"]]
-        narrowed[span, hit["_rank"]] = replace(
-            span,
-            low=hit["_from"],
-            high=hit["_to"],
-            tie_low=hit["_tie_from"],
-            tie_high=hit["_tie_to"],
-            before=span.before + hit["_skipped"],
-            rows=hit["_rows"],
+        slices = [
+            rows.groupBy("_span", F.call_function("div", axis, F.col("_step")).alias("_slice")).agg(
+                F.sum("_weight").alias("_rows"),
+                F.min("_value").alias("_from"),
+                F.max("_value").alias("_to"),
+                F.min("_tie").alias("_tie_from"),
+                F.max("_tie").alias("_tie_to"),
+            )
+            for rows in self.inside(spans)
+        ]
+        hits = self._hits(reduce(DataFrame.union, slices), ["_slice"], "_rows", spans, wanted)
+        return {
+            (spans[hit["_span"]], hit["_rank"]): replace(
+                spans[hit["_span"]],
+                low=hit["_from"],
+                high=hit["_to"],
+                tie_low=hit["_tie_from"],
+                tie_high=hit["_tie_to"],
+                before=spans[hit["_span"]].before + hit["_skipped"],
+                rows=hit["_rows"],
+            )
+            for hit in hits
+        }
+
+    def number(self, wanted) -> list[RankedRow]:
+        """Put the few rows of each span in order and pick the wanted ones."""
+        spans = list(dict.fromkeys(s for s, _ in wanted))
+        rows = [r.select("_span", "_value", "_tie", "_weight") for r in self.inside(spans)]
+        hits = self._hits(
+            reduce(DataFrame.union, rows), ["_value", "_tie"], "_weight", spans, wanted
         )
-    return narrowed
-
-
-def _number(spark, tall, groups, wanted) -> list[RankedRow]:
-    spans = list(dict.fromkeys(s for s, _ in wanted))
-    order = (
-        Window.partitionBy("_span")
-        .orderBy("_value", "_tie")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    hits = (
-        _inside(tall, groups, spans)
-        .withColumn("_upto", F.sum("_weight").over(order))
-        .join(_looked_for(spark, tall, spans, wanted), "_span")
-        .where(
-            (F.col("_upto") - F.col("_weight") <= F.col("_offset"))
-            & (F.col("_offset") < F.col("_upto"))
+        return [
+            RankedRow(span.group, span.measure, hit["_rank"], hit["_value"], hit["_tie"])
+            for hit in hits
+            for span in [spans[hit["_span"]]]
+        ]
+
+    def _hits(self, pieces: DataFrame, order: list[str], count: str, spans, wanted):
+        """The pieces, in order within their span, that hold a wanted rank (one row each)."""
+        upto = F.sum(count).over(
+            Window.partitionBy("_span").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         )
-        .select("_span", "_rank", "_value", "_tie")
-        .collect()
-    )
-    return [
-        RankedRow(
-            spans[h["_span"]].group, spans[h["_span"]].measure, h["_rank"], h["_value"], h["_tie"]
+        return (
+            pieces.withColumn("_skipped", upto - F.col(count))
+            .join(self.looked_for(spans, wanted), "_span")
+            .where(
+                (F.col("_skipped") <= F.col("_offset"))
+                & (F.col("_offset") < F.col("_skipped") + F.col(count))
+            )
+            .collect()
         )
-        for h in hits
+
+
+@dataclass(frozen=True)
+class _Bound:
+    name: str
+    of: Callable[[Span], int | bool]
+
+
+_BOUNDS = (
+    _Bound("low", lambda s: s.low),
+    _Bound("high", lambda s: s.high),
+    _Bound("tie_low", lambda s: s.tie_low),
+    _Bound("tie_high", lambda s: s.tie_high),
+    _Bound("by_value", Span.by_value),
+    _Bound("step", Span.step),
+)
+
+
+def _chosen(rows: DataFrame, spans: list[tuple[int, Span]]) -> DataFrame:
+    """Without groups there are only as many spans as ranks, so they are literals."""
+    tests = [
+        F.col("_value").between(s.low, s.high) & F.col("_tie").between(s.tie_low, s.tie_high)
+        for _, s in spans
     ]
 
+    def pick(values) -> Column:
+        chain = F
+        for test, value in zip(tests, values):
+            chain = chain.when(test, F.lit(value))
+        return chain.otherwise(F.lit(None))
+
+    return rows.select(
+        "*",
+        pick([number for number, _ in spans]).alias("_span"),
+        *[pick([b.of(s) for _, s in spans]).alias(f"_{b.name}") for b in _BOUNDS],
+    ).where(F.col("_span").isNotNull())
+
 
 def bucket_starts(buckets: int) -> Callable[[int], list[int]]:
     """Ranks at which NTILE buckets two to ``buckets`` begin among n rows.
