@@ -300,18 +300,35 @@ def sku_variants_of_root(raw: DataFrame, code: str, root_length: int = 5) -> Dat
     )
 
 
-def _copies(raw: DataFrame) -> DataFrame:
-    """Each distinct line with its number of copies."""
-    return raw.groupBy(*RAW.names).agg(F.count(ROWS).alias("copies"))
+def _repeated(raw: DataFrame) -> DataFrame:
+    """Distinct lines that occur more than once, with their number of ``copies``.
+
+    Equal lines have equal digests, so a digest seen once settles its line. Only digests are
+    shuffled for all lines; whole lines only where a digest repeats. The repeated digests
+    are stored, so that the join sees their true size and broadcasts them only if small.
+    """
+    digested = raw.select(*RAW.names, F.xxhash64(*RAW.names).alias("digest"))
+    seen = digested.groupBy("digest").agg(F.count(ROWS).alias("n"))
+    suspects = materialize(seen.where(F.col("n") > 1).select("digest"), "repeated_digests")
+    return (
+        digested.join(suspects, "digest", "left_semi")
+        .groupBy(*RAW.names)
+        .agg(F.count(ROWS).alias("copies"))
+        .where(F.col("copies") > 1)
+    )
 
 
 def exact_duplicates_summary(raw: DataFrame) -> DataFrame:
     """Distinct lines occurring more than once, and lines beyond each first copy."""
     extra = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint")
-    return _copies(raw).agg(
-        count_where(F.col("copies") > 1).alias("duplicated_values"),
-        extra.alias("extra_lines"),
-        percent(extra, F.sum("copies"), 2).alias("pct_extra"),
+    counts = _repeated(raw).agg(
+        F.count(ROWS).alias("duplicated_values"), extra.alias("extra_lines")
+    )
+    total = raw.agg(F.count(ROWS)).scalar().alias("total")
+    return counts.select("*", total).select(
+        "duplicated_values",
+        "extra_lines",
+        percent(F.col("extra_lines"), F.col("total"), 2).alias("pct_extra"),
     )
 
 
@@ -322,16 +339,14 @@ def exact_duplicates_sample(raw: DataFrame, limit: int = 10) -> DataFrame:
     """
     order = ["invoice", "stock_code", "customer_id"]
     order += [c for c in RAW.names if c not in order]
+    by_all = [F.asc_nulls_last(c) for c in order]
+    copy = F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(limit)).cast("int")))
     return (
-        _copies(raw)
-        .where(F.col("copies") > 1)
-        .orderBy(*[F.asc_nulls_last(c) for c in order])
+        _repeated(raw)
+        .orderBy(*by_all)
         .limit(limit)
-        .select(
-            *RAW.names,
-            F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(limit)).cast("int"))).alias("copy"),
-        )
-        .orderBy(*[F.asc_nulls_last(c) for c in order], "copy")
+        .select(*RAW.names, copy.alias("copy"))
+        .orderBy(*by_all, "copy")
         .limit(limit)
         .drop("copy")
     )
