@@ -25,6 +25,9 @@ def test_full_run(spark, tmp_path):
         "n_non_product_lines": 181,
         "n_sales": 5076,
     }
+    loaded = summary.ingested
+    assert (loaded.rows_inserted, loaded.customer_id_type) == (6005, "bigint")
+    assert loaded.size_mb > 0 and loaded.volume_ok(6000) and not loaded.volume_ok(7000)
     assert summary.history["total_rows"] == 25471 and summary.history["n_snapshots"] == 80
     assert sum(summary.last_macros.values()) == 502
     assert run.read(pl.SALES).exceptAll(w.sales()).isEmpty()

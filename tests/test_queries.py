@@ -35,8 +35,11 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", QUERIES)
-def test_matches_sql(spark, duck, name):
+def test_matches_sql(spark, duck, plan_of, name):
     frame = QUERIES[name](spark, DATA)
+    plan = plan_of(frame)
+    for pairwise_or_python in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas"):
+        assert pairwise_or_python not in plan
     cursor = duck.execute(SQL[name])
     types = {c[0]: str(c[1]) for c in cursor.description}
     assert {c: TYPES[t] for c, t in frame.dtypes} == types

@@ -7,6 +7,7 @@ stage replaces it.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -43,10 +44,24 @@ def standard_gates() -> Gates:
     }
 
 
+@dataclass(frozen=True)
+class Ingested:
+    """What a load stored, and how it went."""
+
+    rows_inserted: int
+    customer_id_type: str
+    size_mb: float
+    elapsed_s: float
+
+    def volume_ok(self, expected: int, tolerance: int = 100) -> bool:
+        return abs(self.rows_inserted - expected) <= tolerance
+
+
 @dataclass(frozen=True)
 class Summary:
     """Figures of one run: a fixed number of values, whatever the size of the data."""
 
+    ingested: Ingested
     buckets: dict[str, int]
     history: dict[str, object]
     last_macros: dict[str, int]
@@ -79,9 +94,23 @@ class Pipeline:
             if fs.exists(path):
                 fs.delete(path, True)
 
-    def ingest(self, raw: DataFrame, truncate: bool = True) -> None:
-        write_raw(raw, self.path(RAW_LINES), truncate)
-        self._gate("raw", self.read(RAW_LINES))
+    def ingest(self, raw: DataFrame, truncate: bool = True) -> Ingested:
+        """Store the raw lines; they are counted on the way into the files."""
+        started = time.perf_counter()
+        seen = Observation("ingest")
+        write_raw(
+            raw.observe(seen, F.count(F.lit(1)).alias("rows")), self.path(RAW_LINES), truncate
+        )
+        stored = self.read(RAW_LINES)
+        path, fs = hadoop_path(self.spark, self.path(RAW_LINES))
+        result = Ingested(
+            seen.get["rows"],
+            stored.schema["customer_id"].dataType.simpleString(),
+            round(fs.getContentSummary(path).getLength() / 1e6, 1),
+            round(time.perf_counter() - started, 1),
+        )
+        self._gate("raw", stored)
+        return result
 
     def clean(self) -> dict[str, int]:
         """Sales need no shuffle; the small side buckets are packed into few files. The
@@ -117,7 +146,7 @@ class Pipeline:
         ).parquet(self.path(HISTORY))
 
     def run(self, raw: DataFrame, calendar: str = hist.MONTH_END) -> Summary:
-        self.ingest(raw)
+        ingested = self.ingest(raw)
         self.purge()
         buckets = self.clean()
         self.score()
@@ -125,6 +154,7 @@ class Pipeline:
         history = self.read(HISTORY)
         register_views(self.read(VISITS), self.read(CUSTOMERS), history)
         return Summary(
+            ingested,
             buckets,
             movements.history_volumes(history).first().asDict(),
             dict(movements.macro_last_snapshot(history).collect()),  # four macros at most
