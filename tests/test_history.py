@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from conftest import DATA
-from tillroll.operators import cleaning, history, scoring
+from tillroll.operators import cleaning, history
 from tillroll.operators.visits import visits
 from tillroll.plans import movements
 from tillroll.plans.warehouse import Warehouse

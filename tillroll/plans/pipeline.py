@@ -17,7 +17,7 @@ from ..operators import cleaning, history as hist, quality, scoring
 from ..operators.visits import visits
 from ..sources.readers import write_raw
 from ..sources.schemas import RAW
-from ..sources.scratch import hadoop_path, materialize
+from ..sources.scratch import hadoop_path, scratch_table
 from . import movements
 from .views import register_views
 
@@ -132,18 +132,16 @@ class Pipeline:
     def score(self) -> None:
         sold = self.read(VISITS)
         scoring.require_sales(sold)
-        base = materialize(scoring.rfm_base(sold), "rfm_base")
-        scoring.score_customers(base).withColumn("computed_at", F.current_timestamp()).write.mode(
-            "overwrite"
-        ).parquet(self.path(CUSTOMERS))
+        with scratch_table(scoring.rfm_base(sold), "rfm_base") as base:
+            scored = scoring.score_customers(base).withColumn("computed_at", F.current_timestamp())
+            scored.write.mode("overwrite").parquet(self.path(CUSTOMERS))
         self._gate("customer_rfm", self.read(CUSTOMERS))
 
     def build_history(self, calendar: str = hist.MONTH_END) -> None:
         rows = hist.by_snapshot(hist.history_base(self.read(VISITS), calendar))
-        base = materialize(rows, "history_base", partition_by="snapshot_date")
-        hist.history_scores(base, hist.history_starts(base)).write.mode("overwrite").partitionBy(
-            "snapshot_date"
-        ).parquet(self.path(HISTORY))
+        with scratch_table(rows, "history_base", partition_by="snapshot_date") as base:
+            scored = hist.history_scores(base, hist.history_starts(base))
+            scored.write.mode("overwrite").partitionBy("snapshot_date").parquet(self.path(HISTORY))
 
     def run(self, raw: DataFrame, calendar: str = hist.MONTH_END) -> Summary:
         ingested = self.ingest(raw)

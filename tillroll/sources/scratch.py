@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +50,19 @@ def materialize(frame: DataFrame, name: str, partition_by: str | None = None) ->
     return frame.sparkSession.read.schema(frame.schema).parquet(path).select(*frame.columns)
 
 
+@contextmanager
+def scratch_table(
+    frame: DataFrame, name: str, partition_by: str | None = None
+) -> Iterator[DataFrame]:
+    """As ``materialize``, but the table is deleted when the block ends."""
+    path = write_scratch(frame, name, partition_by)
+    try:
+        yield frame.sparkSession.read.schema(frame.schema).parquet(path).select(*frame.columns)
+    finally:
+        located, fs = hadoop_path(frame.sparkSession, path)
+        fs.delete(located, True)
+
+
 class Stages:
     """Named derived tables of one input directory.
 
