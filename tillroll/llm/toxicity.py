@@ -62,6 +62,8 @@ class Limits:
 
 def plain_letters(unit: str) -> str:
     """Small letters a-z without accents; "{" for other letters, a blank for all else."""
+    if unit.isascii() and unit.isalpha():
+        return unit.lower()
     if not unit.isascii():
         unit = "".join(c for c in unicodedata.normalize("NFKD", unit) if not unicodedata.combining(c))
     return "".join(c if "a" <= c <= "z" else "{" if c.isalpha() else " " for c in unit.lower()).strip()
@@ -154,6 +156,7 @@ def kernel(plain: list[str], landmarks: np.ndarray) -> np.ndarray:
     compact = np.zeros(LETTERS**3, np.int32)
     compact[used] = np.arange(1, len(used) + 1)
     dense = landmarks[used]
+    largest = dense.max(axis=1, initial=0)
     out = np.zeros((len(plain), landmarks.shape[1]), np.float32)
     by_length: dict[int, list[int]] = {}
     for i, unit in enumerate(plain):
@@ -169,17 +172,20 @@ def kernel(plain: list[str], landmarks: np.ndarray) -> np.ndarray:
             if not len(hits):
                 continue
             owners = hits // codes.shape[1]
+            place, own = slots.ravel()[hits] - 1, weights.ravel()[hits]
+            # no landmark can have more of a unit than its triples' largest parts together
+            bound = np.bincount(owners, own * largest[place], minlength=len(part))
+            able = bound >= 0.999 * least * np.sqrt((weights * weights).sum(axis=1))
+            some = able[owners]
+            if not some.any():
+                continue
+            owners, place, own = owners[some], place[some], own[some]
             begins = np.flatnonzero(np.append(True, owners[1:] != owners[:-1]))
             touched = owners[begins]
-            products = dense[slots.ravel()[hits] - 1] * weights.ravel()[hits, None]
-            dots = np.add.reduceat(products, begins)
-            squares = (weights[touched] * weights[touched]).sum(axis=1)
-            able = dots.max(axis=1) >= 0.999 * least * np.sqrt(squares)
-            if able.any():
-                dots, touched = dots[able], touched[able]
-                norms = _norms(codes[touched], weights[touched], _triples(length)[1])
-                values = sharpened(dots / norms[:, None])
-                out[np.array(part)[touched]] = np.where(values < LEAST_VALUE, 0, values)
+            dots = np.add.reduceat(dense[place] * own[:, None], begins)
+            norms = _norms(codes[touched], weights[touched], _triples(length)[1])
+            values = sharpened(dots / norms[:, None])
+            out[np.array(part)[touched]] = np.where(values < LEAST_VALUE, 0, values)
     return out
 
 
