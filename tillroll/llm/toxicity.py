@@ -17,7 +17,7 @@ of 0 to 1 by a logistic curve.
 
 The machine learns from a bounded sample of labelled documents (``Limits``), scoring covers
 every text whole. A null text is the empty one. Repeated rows have equal scores. Without
-examples of both labels the score is 0.
+examples of both labels, or where nothing is typical of toxic ones, the score is 0.
 """
 
 from __future__ import annotations
@@ -54,8 +54,8 @@ LEAST_RATIO = 10
 class Limits:
     """Bounds of what is learnt from; scoring has none."""
 
-    toxic_documents: int = 1500
-    clean_documents: int = 3000
+    toxic_documents: int = 1000
+    clean_documents: int = 2000
     toxic_landmarks: int = 96
     clean_landmarks: int = 40
 
@@ -261,14 +261,15 @@ class Machine:
 
 def _hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
     """Linear machine with squared hinge loss, by Newton steps on the violating examples."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     w = np.zeros(x.shape[1])
     ridge = np.full(x.shape[1], penalty)
     ridge[-1] = 1e-8
     for _ in range(30):
         bad = y * (x @ w) < 1
-        xb, wb = x[bad], weight[bad]
-        step = np.linalg.solve((xb * wb[:, None]).T @ xb + np.diag(ridge), (xb * wb[:, None]).T @ y[bad])
+        xb = x[bad].astype(np.float64)
+        weighted = xb * weight[bad, None]
+        step = np.linalg.solve(weighted.T @ xb + np.diag(ridge), weighted.T @ y[bad])
         if np.abs(step - w).max() < 1e-6:
             break
         w = step
@@ -291,15 +292,12 @@ def _logistic(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(a, 1e-3)), float(b)
 
 
-def fit(documents: list[str], toxic: list[int], limits: Limits = Limits()) -> Machine | None:
-    """Fit on documents (bounded by the caller) with labels 0 or 1."""
-    y = np.array(toxic)
-    if len(set(toxic)) < 2:
-        return None
-    split = [[tuple(s) for s in sentences(t)] for t in documents]
+def _landmarks(
+    split: list, toxic: list[int], cut: dict[str, list[str]], limits: Limits
+) -> tuple[list[str], list[str]]:
+    """Units typical of toxic documents, and common ones of clean documents."""
     # a sentence that is repeated, as in copies of a document, counts once for each label
     distinct_sentences = [{s for d, label in zip(split, toxic) if label == k for s in d} for k in (0, 1)]
-    cut = {u: pieces_of(u) for u in {u for d in split for s in d for u in s}}
     seen = [Counter(), Counter()]
     for label in (0, 1):
         for s in distinct_sentences[label]:
@@ -310,41 +308,66 @@ def fit(documents: list[str], toxic: list[int], limits: Limits = Limits()) -> Ma
     typical = sorted(gain, key=lambda u: (-gain[u], u))
     typical = typical[: limits.toxic_landmarks]
     # of clean units those that look like the typical ones matter most, the commonest first
-    often = [u for u, n in seen[0].items() if n >= LEAST_SENTENCES and u not in set(typical)]
+    often = [u for u, n in seen[0].items() if n >= LEAST_SENTENCES and u not in gain]
     alike = kernel(often, landmark_vectors(typical)).max(axis=1, initial=0)
     order = sorted(range(len(often)), key=lambda i: (alike[i] < 0.2, -seen[0][often[i]], often[i]))
-    names = typical + [often[i] for i in order[: limits.clean_landmarks]]
+    return typical, [often[i] for i in order[: limits.clean_landmarks]]
+
+
+def fit(documents: list[str], toxic: list[int], limits: Limits = Limits()) -> Machine | None:
+    """Fit on documents (bounded by the caller) with labels 0 or 1."""
+    y = np.array(toxic)
+    if len(set(toxic)) < 2:
+        return None
+    one: dict[str, str] = {}  # equal words share their memory
+    split = [[tuple(one.setdefault(u, u) for u in s) for s in sentences(t)] for t in documents]
+    cut = {u: pieces_of(u) for u in one}
+    typical, common = _landmarks(split, toxic, cut, limits)
+    if not typical:
+        return None
+    names = typical + common
     vectors = landmark_vectors(names)
     gram = kernel(names, vectors).astype(np.float64)
     values, basis = np.linalg.eigh((gram + gram.T) / 2)
     whiten = basis @ np.diag(1 / np.sqrt(np.maximum(values, 1e-2))) @ basis.T
 
+    near: dict[str, np.ndarray] = {}
     distinct = sorted(set().union(*cut.values()))
-    place = {p: i for i, p in enumerate(distinct)}
-    near = kernel(distinct, vectors)
-    x, bag = [], []
+    for begin in range(0, len(distinct), 20_000):
+        part = distinct[begin : begin + 20_000]
+        values = kernel(part, vectors)
+        near.update((part[i], values[i].copy()) for i in np.flatnonzero(values.any(axis=1)).tolist())
+
+    # sentences away from all landmarks are one example against, weighted by their number
+    rows, bag, empty = [], [], 0
     for d, doc in enumerate(split):
         for s in doc:
-            rows = [place[p] for u in s for p in cut[u]]
-            x.append(near[rows].max(axis=0, initial=0))
-            bag.append(d)
-    x, bag = np.array(x), np.array(bag)
+            found = [near[p] for u in s for p in cut[u] if p in near]
+            if found:
+                rows.append(np.max(found, axis=0))
+                bag.append(d)
+            else:
+                empty += 1
+    if not rows:
+        return None
+    x, bag = np.array(rows), np.array(bag)
     positive = (y[bag] == 1) & (x[:, : len(typical)].max(axis=1, initial=0) > 0.5)
-    x = x @ whiten
     if not positive.any():
-        positive = y[bag] == 1
+        return None
+    rows = None
+    x = np.vstack([x @ whiten.astype(np.float32), np.zeros((1, len(names)), np.float32)])
+    times = np.append(np.ones(len(bag)), empty)
     for _ in range(8):
-        sign = np.where(positive, 1.0, -1.0)
-        weight = np.full(len(sign), 1 / max(1, positive.sum()))
-        w, offset = _hinge(x, sign, weight)
-        f = x @ w + offset
+        sign = np.append(np.where(positive, 1.0, -1.0), -1.0)
+        w, offset = _hinge(x, sign, times / max(1, positive.sum()))
+        f = x[:-1] @ w + offset
         again = (y[bag] == 1) & (f > 0)
         if not again.any() or (again == positive).all():
             break
         positive = again
-    best = np.full(len(y), -np.inf)
+    best = np.full(len(y), offset)
     np.maximum.at(best, bag, f)
-    has = np.isfinite(best)
+    has = np.array([bool(doc) for doc in split])
     return Machine(vectors, (whiten @ w).astype(np.float32), offset, _logistic(best[has], y[has]))
 
 
