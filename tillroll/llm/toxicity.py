@@ -255,7 +255,9 @@ class Machine:
 
     def scores(self, documents: list[str]) -> np.ndarray:
         slope, shift = self.curve
-        raw = np.array(self.raw_scores(documents), np.float64)
+        # the words of a few documents at a time, so that memory does not depend on the batch
+        parts = (documents[i : i + 500] for i in range(0, len(documents), 500))
+        raw = np.array([f for part in parts for f in self.raw_scores(part)], np.float64)
         return 1 / (1 + np.exp(-np.clip(slope * raw + shift, -500, 500)))
 
 
