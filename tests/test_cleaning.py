@@ -76,3 +76,29 @@ def test_sales_filter_reaches_the_scan(spark, raw_of, tmp_path, plan_of):
     plan = plan_of(cleaning.sales(spark.read.parquet(str(tmp_path / "raw"))))
     for pushed in ("IsNotNull(customer_id)", "GreaterThan(quantity,0)", "StringStartsWith"):
         assert pushed in plan
+
+
+def test_csv_written_by_a_csv_writer_reads_back(spark, tmp_path):
+    import csv
+
+    from tillroll.sources.readers import read_retail_csv
+    from tillroll.sources.schemas import RAW
+
+    said = ['COLOUR "LEIS"', 'BOX "A", LARGE', "ends in \\", "two\nlines"]
+    for names, multi_line in ((said[:3], False), (said, True)):
+        path = tmp_path / f"{multi_line}.csv"
+        with path.open("w", newline="") as out:
+            writer = csv.writer(out)
+            writer.writerow(RAW.names)
+            for name in names:
+                writer.writerow(["1", "2", name, "3", "2011-01-02 03:04:05", "1.500", "7", "FRANCE"])
+        read = read_retail_csv(spark, str(path), multi_line=multi_line)
+        assert sorted(r["description"] for r in read.collect()) == sorted(names)
+        assert sorted(r[0] for r in read.select("description").collect()) == sorted(names)
+
+
+def test_sales_need_a_date(raw_of):
+    from tillroll.operators import cleaning
+
+    lines = raw_of({}, {"invoice_date": None})
+    assert cleaning.sales(lines).count() == 1

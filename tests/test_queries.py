@@ -7,10 +7,12 @@ import pytest
 
 import __spark_entry__ as entry_points
 from conftest import DATA
+from oracle.sql import statements
+from tillroll.plans import catalog
 
 TABLES = "region nation customer supplier part orders lineitem".split()
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = catalog.queries()
+SQL = statements()
 TYPES = {
     "int": "INTEGER",
     "bigint": "BIGINT",
@@ -32,6 +34,8 @@ def duck():
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= entry_points.queries().keys()
+    assert SQL.items() <= entry_points.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -44,6 +44,7 @@ def is_non_product() -> Column:
 def is_sale() -> Column:
     return (
         F.col("customer_id").isNotNull()
+        & F.col("invoice_date").isNotNull()
         & ~is_cancelled()
         & (F.col("quantity") > 0)
         & (F.col("price") > 0)

@@ -80,8 +80,10 @@ def rows_at_ranks(
         for rank in ranks_of(span.rows)
         if 0 <= rank < span.rows
     ]
+    whole = True  # every group is narrowed once, whatever its size
     while True:
-        large = {s for s, _ in wanted if s.rows > small and not s.settled()}
+        large = {s for s, _ in wanted if (whole or s.rows > small) and not s.settled()}
+        whole = False
         if not large:
             break
         narrowed = search.narrow([w for w in wanted if w[0] in large])

@@ -22,7 +22,7 @@ VARIANT_ROOT = "1000"
 def _sheets(w: Warehouse) -> DataFrame:
     """The raw lines as two workbook sheets, early and late, brought together again."""
     sheet = w.raw().withColumnsRenamed(dict(zip(RAW.names, WORKBOOK_HEADERS)))
-    late = F.year("InvoiceDate") >= 1998
+    late = F.coalesce(F.year("InvoiceDate") >= 1998, F.lit(False))
     return union_sheets(
         from_workbook_headers(sheet.where(part)) for part in (~late, late)
     )

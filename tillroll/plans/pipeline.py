@@ -143,8 +143,18 @@ class Pipeline:
             scored = hist.history_scores(base, hist.history_starts(base))
             scored.write.mode("overwrite").partitionBy("snapshot_date").parquet(self.path(HISTORY))
 
-    def run(self, raw: DataFrame, calendar: str = hist.MONTH_END) -> Summary:
+    def run(
+        self,
+        raw: DataFrame,
+        calendar: str = hist.MONTH_END,
+        expected_rows: int | None = None,
+        tolerance: int = 100,
+    ) -> Summary:
+        """One whole run; it ends after the load if that is off ``expected_rows`` by more
+        than ``tolerance`` lines."""
         ingested = self.ingest(raw)
+        if expected_rows is not None and not ingested.volume_ok(expected_rows, tolerance):
+            raise ValueError(f"{ingested.rows_inserted} lines loaded, {expected_rows} expected")
         self.purge()
         buckets = self.clean()
         self.score()

@@ -7,28 +7,19 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.exact import MONEY
 
 
-# customers whose id and label are shipped to every executor rather than shuffled
-BROADCAST_CUSTOMERS = 1_000_000
-
-
 def top_products_by_segment(
     sales: DataFrame,
     enriched: DataFrame,
     top_n: int = 5,
-    broadcast_customers: int = BROADCAST_CUSTOMERS,
 ) -> DataFrame:
     """Best-selling products of every segment.
 
-    With few customers the labels are broadcast into the scan of the sales. Otherwise the
-    lines are summed per customer and product before the join, so a customer with a large
-    part of all lines brings only its distinct products to the join's partition.
+    The lines are summed per customer and product before the join, so a customer with a
+    large part of all lines brings only its distinct products to the join's partition.
     """
     labels = enriched.select("customer_id", "segment_label")
     product = ["stock_code", "description"]
-    if enriched.count() <= broadcast_customers:
-        labels, bought = F.broadcast(labels), sales.withColumnRenamed("line_amount", "amount")
-    else:
-        bought = sales.groupBy("customer_id", *product).agg(F.sum("line_amount").alias("amount"))
+    bought = sales.groupBy("customer_id", *product).agg(F.sum("line_amount").alias("amount"))
     revenue = (
         bought.join(labels, "customer_id")
         .groupBy("segment_label", *product)

@@ -11,13 +11,22 @@ from .schemas import RAW, WORKBOOK_HEADERS
 
 
 def read_retail_csv(
-    spark: SparkSession, paths: str | list[str], timestamp_format: str = "yyyy-MM-dd HH:mm:ss"
+    spark: SparkSession,
+    paths: str | list[str],
+    timestamp_format: str = "yyyy-MM-dd HH:mm:ss",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header per file; an empty field is NULL and a bad row fails the load."""
+    """CSV with a header per file; an empty field is NULL and a bad row fails the load.
+
+    Quotes inside a quoted field are doubled. ``multi_line`` admits line breaks in fields; a
+    file is then one task, so it is off unless asked for.
+    """
     return (
         spark.read.schema(RAW)
         .option("header", True)
         .option("nullValue", "")
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("enforceSchema", True)
         .option("mode", "FAILFAST")
         .option("timestampNTZFormat", timestamp_format)

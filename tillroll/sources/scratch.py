@@ -17,11 +17,13 @@ _own_folder: str | None = None
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is named."""
+    """The cluster's checkpoint folder; a temporary one only in local mode without one."""
     global _own_folder
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _own_folder is None:
         _own_folder = tempfile.mkdtemp(prefix="tillroll-")
     return _own_folder
