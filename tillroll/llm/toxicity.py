@@ -261,21 +261,37 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(slope * raw + shift, -500, 500)))
 
 
-def _hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Linear machine with squared hinge loss, by Newton steps on the violating examples."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+def _blocks(x: np.ndarray, rows: int = 8192) -> Iterator[tuple[slice, np.ndarray]]:
+    """The rows of ``x`` in double precision, so many at a time."""
+    for begin in range(0, len(x), rows):
+        part = slice(begin, begin + rows)
+        yield part, x[part].astype(np.float64)
+
+
+def _times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return np.concatenate([rows @ w for _, rows in _blocks(x)])
+
+
+def _hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3) -> np.ndarray:
+    """Linear machine with squared hinge loss, by Newton steps on the violating examples.
+
+    The last column of ``x`` is one throughout; its weight is the offset.
+    """
     w = np.zeros(x.shape[1])
     ridge = np.full(x.shape[1], penalty)
     ridge[-1] = 1e-8
     for _ in range(30):
-        bad = y * (x @ w) < 1
-        xb = x[bad].astype(np.float64)
-        weighted = xb * weight[bad, None]
-        step = np.linalg.solve(weighted.T @ xb + np.diag(ridge), weighted.T @ y[bad])
+        squares, target = np.diag(ridge), np.zeros(len(w))
+        for part, rows in _blocks(x):
+            bad = y[part] * (rows @ w) < 1
+            rows, weighted = rows[bad], rows[bad] * weight[part][bad, None]
+            squares += weighted.T @ rows
+            target += weighted.T @ y[part][bad]
+        step = np.linalg.solve(squares, target)
         if np.abs(step - w).max() < 1e-6:
             break
         w = step
-    return w[:-1], float(w[-1])
+    return w
 
 
 def _logistic(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -340,36 +356,41 @@ def fit(documents: list[str], toxic: list[int], limits: Limits = Limits()) -> Ma
         values = kernel(part, vectors)
         near.update((part[i], values[i].copy()) for i in np.flatnonzero(values.any(axis=1)).tolist())
 
-    # sentences away from all landmarks are one example against, weighted by their number
-    rows, bag, empty = [], [], 0
+    # sentences away from all landmarks are one example against, weighted by their number;
+    # the table is as large as all sentences would need, only rows in use take up memory
+    total = sum(map(len, split))
+    x, bag = np.empty((total + 1, len(names) + 1), np.float32), np.empty(total, np.int64)
+    n = 0
     for d, doc in enumerate(split):
         for s in doc:
             found = [near[p] for u in s for p in cut[u] if p in near]
             if found:
-                rows.append(np.max(found, axis=0))
-                bag.append(d)
-            else:
-                empty += 1
-    if not rows:
+                np.max(found, axis=0, out=x[n, :-1])
+                bag[n] = d
+                n += 1
+    if not n:
         return None
-    x, bag = np.array(rows), np.array(bag)
-    positive = (y[bag] == 1) & (x[:, : len(typical)].max(axis=1, initial=0) > 0.5)
+    has = np.array([bool(doc) for doc in split])
+    split = one = cut = distinct = near = None
+    x, bag = x[: n + 1], bag[:n]
+    x[n], x[:, -1] = 0, 1
+    positive = (y[bag] == 1) & (x[:n, : len(typical)].max(axis=1, initial=0) > 0.5)
     if not positive.any():
         return None
-    rows = None
-    x = np.vstack([x @ whiten.astype(np.float32), np.zeros((1, len(names)), np.float32)])
-    times = np.append(np.ones(len(bag)), empty)
+    for part, rows in _blocks(x):
+        x[part, :-1] = rows[:, :-1] @ whiten
+    times = np.append(np.ones(n), total - n)
     for _ in range(8):
         sign = np.append(np.where(positive, 1.0, -1.0), -1.0)
-        w, offset = _hinge(x, sign, times / max(1, positive.sum()))
-        f = x[:-1] @ w + offset
+        w = _hinge(x, sign, times / max(1, positive.sum()))
+        f = _times(x[:n], w)
         again = (y[bag] == 1) & (f > 0)
         if not again.any() or (again == positive).all():
             break
         positive = again
+    w, offset = w[:-1], float(w[-1])
     best = np.full(len(y), offset)
     np.maximum.at(best, bag, f)
-    has = np.array([bool(doc) for doc in split])
     return Machine(vectors, (whiten @ w).astype(np.float32), offset, _logistic(best[has], y[has]))
 
 
