@@ -43,6 +43,9 @@ LONGEST_SENTENCE = 25
 #: Longer units are compared piece by piece; pieces overlap by half.
 LONGEST = 32
 LETTERS = 27
+#: Triples of units compared with all landmarks in one step, and documents split up together.
+AT_ONCE = 32_768
+DOCUMENTS_AT_ONCE = 100
 _SENTENCES = re.compile(r"[.!?]\s+|\n")
 #: A landmark is typical of toxic documents if it is in at least so many of their distinct
 #: sentences, and at least so many times as often in them as in others.
@@ -163,8 +166,9 @@ def kernel(plain: list[str], landmarks: np.ndarray) -> np.ndarray:
         if len(unit) >= 3:
             by_length.setdefault(len(unit), []).append(i)
     for length, rows in by_length.items():
-        for begin in range(0, len(rows), 512):
-            part = rows[begin : begin + 512]
+        step = max(1, AT_ONCE // max(1, len(_triples(length)[0])))
+        for begin in range(0, len(rows), step):
+            part = rows[begin : begin + step]
             codes, weights = _coded([plain[i] for i in part])
             slots = compact[codes]
             slots[weights == 0] = 0
@@ -220,7 +224,7 @@ class Machine:
     def __reduce__(self):
         return Machine, (self.vectors, self.weights, self.offset, self.curve)
 
-    def learn_units(self, wanted: set[str], most: int = 300_000) -> dict[str, np.ndarray | None]:
+    def learn_units(self, wanted: set[str], most: int = 200_000) -> dict[str, np.ndarray | None]:
         """The kernel values of these units, none where all are zero, computed or remembered;
         memory is bounded by ``most`` units and what one batch of documents holds."""
         if len(self._units) > most:
@@ -256,7 +260,8 @@ class Machine:
     def scores(self, documents: list[str]) -> np.ndarray:
         slope, shift = self.curve
         # the words of a few documents at a time, so that memory does not depend on the batch
-        parts = (documents[i : i + 500] for i in range(0, len(documents), 500))
+        step = DOCUMENTS_AT_ONCE
+        parts = (documents[i : i + step] for i in range(0, len(documents), step))
         raw = np.array([f for part in parts for f in self.raw_scores(part)], np.float64)
         return 1 / (1 + np.exp(-np.clip(slope * raw + shift, -500, 500)))
 
@@ -423,8 +428,10 @@ def with_scores(docs: DataFrame, machine: Machine | None, column: str = "score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [t or "" for t in batch.column("text").to_pylist()]
-            scores = machine.scores(found) if machine else np.zeros(len(found))
+            scores = np.zeros(batch.num_rows)
+            for i in range(0, batch.num_rows if machine else 0, 1000):
+                some = batch.column("text").slice(i, 1000).to_pylist()
+                scores[i : i + 1000] = machine.scores([t or "" for t in some])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, column])
 
     kept = docs.drop(column)
