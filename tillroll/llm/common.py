@@ -16,6 +16,18 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(frame: DataFrame) -> DataFrame:
+    """The frame, whose session now hands 1,000 rows at a time to Python, unless it has a
+    setting of its own: the usual 10,000 whole texts are much to hold several times over."""
+    conf = frame.sparkSession.conf
+    if conf.get(_BATCH, None) is None:
+        conf.set(_BATCH, "1000")
+    return frame
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """The id and the text alone, a null text as the empty one."""
     return docs.select(

@@ -29,7 +29,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from .common import Memo, texts
+from .common import Memo, small_batches, texts
 
 #: SentencePiece's sign for a space.
 SPACE = "▁"
@@ -180,4 +180,4 @@ def encode_pieces(docs: DataFrame, model: str, with_ids: bool = False) -> DataFr
             yield pa.RecordBatch.from_pydict(columns)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return texts(docs).mapInArrow(run, schema + ", ids array<int>, decoded string" * with_ids)
+    return small_batches(texts(docs)).mapInArrow(run, schema + ", ids array<int>, decoded string" * with_ids)

@@ -23,7 +23,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 
-from .common import texts
+from .common import small_batches, texts
 
 # The patterns of the base kinds and their least lengths.
 ASSIGN = re.compile(
@@ -144,4 +144,4 @@ def redact(docs: DataFrame) -> DataFrame:
                 columns[counted] = pa.array(lengths, batch.schema.field(counted).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from xxhash import xxh64_intdigest
 
 from ..sources.scratch import materialize
-from .common import space_words, texts
+from .common import small_batches, space_words, texts
 from .components import components
 
 SEED = 42
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             )
 
     keyed = texts(docs).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    return keyed.mapInArrow(run, "doc_id long, text_key long, fp long")
+    return small_batches(keyed).mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def links(distinct: DataFrame, radius: int = 2) -> DataFrame:

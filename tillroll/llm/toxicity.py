@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import id_remainder, texts
+from .common import id_remainder, small_batches, texts
 
 DECAY = 0.7
 STRETCH = 9
@@ -435,7 +435,7 @@ def with_scores(docs: DataFrame, machine: Machine | None, column: str = "score")
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, column])
 
     kept = docs.drop(column)
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(column, T.DoubleType())]))
+    return small_batches(kept).mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> DataFrame:
