@@ -315,19 +315,40 @@ def _dq_raw() -> str:
     for c in ("invoice", "stock_code", "quantity", "price"):
         rows.append(_zero("raw", f"missing_count({c})", "raw", f"{c} IS NULL"))
     for c, below in (("customer_id", 25), ("description", 1)):
+        missing = f"count(*) FILTER ({c} IS NULL)"
         rows.append(
-            _check(
-                "raw",
-                f"missing_percent({c})",
-                rat(f"count(*) FILTER ({c} IS NULL)", "count(*)", 4, 100),
-                "raw",
-                f"< {below}",
-                f"v < {below}",
-            )
+            f"""SELECT 'raw' AS dataset, 'missing_percent({c})' AS "check",
+            {dbl(rat(missing, 'count(*)', 4, 100))} AS value, '< {below}' AS threshold,
+            {missing} * 100 < count(*) * {below} AS passed FROM raw"""
         )
     return " UNION ALL ".join(rows)
 
 
+def _dq_classified(dataset: str, source: str) -> list[str]:
+    return [
+        _zero(dataset, "invalid_count(rfm_segment)", source, "rfm_segment = 'Unclassified'"),
+        _zero(dataset, "invalid_count(macro_segment)", source, "macro_segment = 'Z.UNCLASSIFIED'"),
+    ]
+
+
+def _dq_constraints() -> str:
+    scored = "customer_id recency frequency monetary r_score f_score m_score rfm_segment".split()
+    sold = "invoice_id stock_code quantity invoice_date unit_price customer_id".split()
+    required = (
+        ("sales", "sales", sold),
+        ("customer_rfm", "customers", scored),
+        ("customer_rfm_history", "history", ["snapshot_date", *scored, "macro_segment"]),
+    )
+    rows = [
+        _zero(dataset, f"missing_count({c})", source, f"{c} IS NULL")
+        for dataset, source, columns in required
+        for c in columns
+    ]
+    rows.append(_duplicates("customer_rfm", "customer_id", "customers", "= 0"))
+    rows.append(_duplicates("customer_rfm_history", "snapshot_date, customer_id", "history", "= 0"))
+    return " UNION ALL ".join(rows)
+
+
 def _dq_sales() -> str:
     return " UNION ALL ".join(
         [
@@ -509,7 +530,11 @@ def _statements() -> dict[str, str]:
                 + dense_rank() OVER (ORDER BY seg_to) - 1 AS INTEGER) AS target,
             n_customers AS value, seg_from AS source_label, seg_to AS target_label
             FROM moves_macro""",
+        "sankey_nodes": """SELECT CAST(row_number() OVER (ORDER BY side, label) - 1 AS INTEGER)
+            AS node, side, label FROM (SELECT 'from' AS side, seg_from AS label FROM moves_macro
+            UNION SELECT 'to', seg_to FROM moves_macro)""",
         "dq_raw": _dq_raw(),
+        "dq_constraints": _dq_constraints(),
         "dq_clean_sales": _dq_sales(),
         "dq_customer_rfm": _dq_customer(),
         "dq_duplicates": _duplicates(
@@ -519,6 +544,8 @@ def _statements() -> dict[str, str]:
         + _duplicates("customer_rfm", "customer_id", "customers", "= 0"),
         "dq_code_coverage": " UNION ALL ".join(
             [
+                *_dq_classified("customer_rfm", "enriched"),
+                *_dq_classified("customer_rfm_history", "history"),
                 _count_between("code_coverage", "coverage", 125, 125),
                 _zero(
                     "code_coverage",

@@ -1,7 +1,7 @@
 """Profile and audit of raw retail lines.
 
-Counts of distinct values read one column each, so every column is scanned once and the
-rows are never multiplied. Grouping keys are combined map-side, which takes the weight out
+Counts of distinct values read one text column each; a line's numbers become one row each
+before they are counted by value. Grouping keys are combined map-side, which takes the weight out
 of a code, description or copy that makes up a large part of the lines.
 """
 
@@ -59,7 +59,8 @@ def _text_profile(raw: DataFrame, column: str) -> DataFrame:
 
 
 def _number_profile(raw: DataFrame) -> DataFrame:
-    """All numeric columns from one stored table of their values and counts."""
+    """All numeric columns from one stored table of their values and counts; the deviations
+    from the lines, by an aggregate that stays exact for large numbers close together."""
     units = [
         F.struct(
             F.lit(c).alias("column_name"), (F.col(c) * 10**places).cast("bigint").alias("v")
@@ -90,19 +91,15 @@ def _number_profile(raw: DataFrame) -> DataFrame:
             "max": F.max(v).cast("decimal(24,3)") / unit,
             "mean": ratio(total, rows * unit, 2),
             "median": F.lit(None if middle is None else middle / unit).cast("decimal(38,6)"),
-            "stddev": _deviation(total, F.sum(exact * exact * n), rows, unit),
         }
         for name, metric in metrics.items():
             cells[column, name] = f"{column}_{name}"
             aggregates.append(metric.alias(f"{column}_{name}"))
-    return _long(values.agg(*aggregates), cells)
-
-
-def _deviation(total: Column, squares: Column, rows: Column, unit: int) -> Column:
-    """Sample standard deviation to two places from whole-number sums."""
-    n = rows.cast("double")
-    spread = squares.cast("double") - total.cast("double") * total.cast("double") / n
-    return F.round(F.sqrt(spread / F.nullif(n - 1, F.lit(0.0))) / unit, 2)
+    spread = [
+        F.round(F.stddev_samp(F.col(c).cast("double")), 2).alias(f"{c}_stddev") for c in NUMERIC
+    ]
+    deviations = _long(raw.agg(*spread), {(c, "stddev"): f"{c}_stddev" for c in NUMERIC})
+    return _long(values.agg(*aggregates), cells).unionByName(deviations)
 
 
 def missing_by_column(raw: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ class Check:
     metric: Column | tuple[str, ...]  # an aggregate, or the key of a duplicate count
     threshold: str
     passes: Callable[[Column], Column]
+    exact: Column | None = None  # an aggregate to compare where the shown one is rounded
 
 
 def _at_least(x):
@@ -61,10 +62,15 @@ def missing_count(column: str) -> Check:
 
 
 def missing_percent(column: str, below: int) -> Check:
-    share = F.try_divide(
-        count_where(F.col(column).isNull()).cast("decimal(20,0)") * 100, F.count(F.lit(1))
+    missing, rows = count_where(F.col(column).isNull()), F.count(F.lit(1))
+    share = F.try_divide(missing.cast("decimal(20,0)") * 100, rows)
+    return Check(
+        f"missing_percent({column})",
+        F.round(share, 4),
+        f"< {below}",
+        lambda over: over < 0,
+        exact=missing * 100 - rows * below,
     )
-    return Check(f"missing_percent({column})", F.round(share, 4), *_less_than(below))
 
 
 def duplicate_count(*columns: str, below: int | None = None) -> Check:
@@ -149,6 +155,33 @@ def coverage_suite() -> list[Check]:
     ]
 
 
+def classified_suite() -> list[Check]:
+    return [
+        invalid_by_values("rfm_segment", "Unclassified"),
+        invalid_by_values("macro_segment", "Z.UNCLASSIFIED"),
+    ]
+
+
+SCORED = ("customer_id", "recency", "frequency", "monetary", "r_score", "f_score", "m_score", "rfm_segment")
+
+
+def sales_constraints() -> list[Check]:
+    required = ("invoice_id", "stock_code", "quantity", "invoice_date", "unit_price", "customer_id")
+    return [missing_count(c) for c in required]
+
+
+def customer_constraints() -> list[Check]:
+    return [*[missing_count(c) for c in SCORED], duplicate_count("customer_id")]
+
+
+def history_constraints() -> list[Check]:
+    required = ("snapshot_date", *SCORED, "macro_segment")
+    return [
+        *[missing_count(c) for c in required],
+        duplicate_count("snapshot_date", "customer_id"),
+    ]
+
+
 def duplicated_keys(frame: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """One row: ``value``, the number of key values that occur more than once."""
     return (
@@ -167,35 +200,33 @@ def run_checks(dataset: str, frame: DataFrame, checks: list[Check]) -> DataFrame
     keyed = [c for c in checks if isinstance(c.metric, tuple)]
     parts = []
     if simple:
-        row = frame.agg(*[c.metric.cast(VALUE).alias(f"c{i}") for i, c in enumerate(simple)])
-        parts.append(
-            row.select(
-                F.explode(
-                    F.array(*[_result(dataset, c, F.col(f"c{i}")) for i, c in enumerate(simple)])
-                ).alias("r")
-            ).select("r.*")
-        )
+        cells, results = [], []
+        for i, check in enumerate(simple):
+            cells.append(check.metric.cast(VALUE).alias(f"c{i}"))
+            if check.exact is not None:
+                cells.append(check.exact.alias(f"e{i}"))
+            tested = F.col(f"c{i}" if check.exact is None else f"e{i}")
+            results.append(_result(dataset, check, F.col(f"c{i}"), tested))
+        row = frame.agg(*cells).select(F.explode(F.array(*results)).alias("r"))
+        parts.append(row.select("r.*"))
     for check in keyed:
         counted = duplicated_keys(frame, check.metric)
-        parts.append(
-            counted.select(_result(dataset, check, F.col("value").cast(VALUE)).alias("r")).select(
-                "r.*"
-            )
-        )
+        value = F.col("value").cast(VALUE)
+        parts.append(counted.select(_result(dataset, check, value, value).alias("r")).select("r.*"))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
     return result
 
 
-def _result(dataset: str, check: Check, value: Column) -> Column:
+def _result(dataset: str, check: Check, value: Column, tested: Column) -> Column:
     # a metric without value (MIN of nothing) does not pass
     return F.struct(
         F.lit(dataset).alias("dataset"),
         F.lit(check.name).alias("check"),
         value.alias("value"),
         F.lit(check.threshold).alias("threshold"),
-        F.coalesce(check.passes(value), F.lit(False)).alias("passed"),
+        F.coalesce(check.passes(tested), F.lit(False)).alias("passed"),
     )
 
 

@@ -92,6 +92,32 @@ def _dq_customers(w: Warehouse) -> DataFrame:
     return quality.run_checks("customer_rfm", w.customers(), simple)
 
 
+def _dq_code_coverage(w: Warehouse) -> DataFrame:
+    """All codes have a segment, and so has every scored customer and history row."""
+    return (
+        quality.run_checks(
+            "code_coverage", scoring.code_coverage(w.customers()), quality.coverage_suite()
+        )
+        .unionByName(quality.run_checks("customer_rfm", w.enriched(), quality.classified_suite()))
+        .unionByName(
+            quality.run_checks("customer_rfm_history", w.history(), quality.classified_suite())
+        )
+    )
+
+
+def _dq_constraints(w: Warehouse) -> DataFrame:
+    """Required columns and keys of the three target tables."""
+    return (
+        quality.run_checks("sales", w.sales(), quality.sales_constraints())
+        .unionByName(
+            quality.run_checks("customer_rfm", w.customers(), quality.customer_constraints())
+        )
+        .unionByName(
+            quality.run_checks("customer_rfm_history", w.history(), quality.history_constraints())
+        )
+    )
+
+
 def _top_products_nested(w: Warehouse) -> DataFrame:
     """Flattened to text, one entry per product, for comparison outside Spark."""
     nested = charts.top_products_nested(
@@ -172,9 +198,8 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dq_clean_sales": _dq_clean,
     "dq_customer_rfm": _dq_customers,
     "dq_duplicates": _dq_duplicates,
-    "dq_code_coverage": lambda w: quality.run_checks(
-        "code_coverage", scoring.code_coverage(w.customers()), quality.coverage_suite()
-    ),
+    "dq_code_coverage": _dq_code_coverage,
+    "dq_constraints": _dq_constraints,
     # profiling
     "column_profile": lambda w: profiling.column_profile(w.raw()),
     "missing_by_column": lambda w: profiling.missing_by_column(w.raw()),
@@ -209,6 +234,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
         w.customers(), "monetary"
     ),
     "sankey_links": lambda w: charts.sankey_links(_transitions("macro")(w)),
+    "sankey_nodes": lambda w: charts.sankey_nodes(_transitions("macro")(w)),
     "macro_movements_wide": lambda w: charts.macro_movements_wide(
         movements.macro_movements(w.history())
     ),

@@ -72,6 +72,17 @@ def sankey_links(transitions: DataFrame) -> DataFrame:
     ).orderBy("source", "target")
 
 
+def sankey_nodes(transitions: DataFrame) -> DataFrame:
+    """The nodes that the links number: ``node``, its ``side`` and ``label``."""
+    ends = F.array(
+        F.struct(F.lit("from").alias("side"), F.col("seg_from").alias("label")),
+        F.struct(F.lit("to").alias("side"), F.col("seg_to").alias("label")),
+    )
+    nodes = transitions.select(F.explode(ends).alias("e")).select("e.*").distinct()
+    by_side = Window.orderBy("side", "label")  # at most two rows per segment
+    return nodes.select((F.row_number().over(by_side) - 1).alias("node"), "side", "label").orderBy("node")
+
+
 def macro_movements_wide(movements: DataFrame) -> DataFrame:
     """One row per snapshot, customers and share of the four macro segments side by side."""
     macro = F.col("macro_segment")
