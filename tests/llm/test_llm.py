@@ -114,6 +114,46 @@ def test_keep_one_keeps_the_smallest_id(docs):
     assert (6, "another text of one id") in kept and len(kept) == 7
 
 
+def test_keep_one_against_plain_jaccard(spark):
+    rng = np.random.default_rng(8)
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    rows = [(r[0], r[1]) for r in rows]
+    for n in (20, 100, 200, 400):
+        for k in range(12):
+            words = [f"w{i}" for i in rng.integers(0, 9000, n)]
+            rows.append((10_000 * n + 2 * k, " ".join(words)))
+            for at in rng.integers(0, n, 1 + k % 5):
+                words[at] = "replaced"
+            rows.append((10_000 * n + 2 * k + 1, " ".join(words)))
+    base = [f"v{i}" for i in range(300)]
+    for k in range(150):
+        at = rng.integers(0, 300, 3)
+        rows.append((9_000_000 + k, " ".join(f"x{k}" if i in at else w for i, w in enumerate(base))))
+    sets = []
+    for _, text in rows:
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text or "")) if w]
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    shared, where = Counter(), {}
+    for a, own in enumerate(sets):
+        for s in own:
+            shared.update((b, a) for b in where.get(s, ()))
+            where.setdefault(s, []).append(a)
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for (a, b), n in shared.items():
+        if n / (len(sets[a]) + len(sets[b]) - n) >= 0.8:
+            a, b = sorted((top(a), top(b)), key=lambda i: rows[i][0])
+            root[b] = a
+    expected = Counter(rows[i][0] for i in range(len(rows)) if top(i) == i)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(i for i, _ in rows_of(simhash.keep_one(frame))) == expected
+
+
 @pytest.mark.parametrize("name", ["docs", "documents", "empty"])
 def test_pieces(request, name):
     frame = request.getfixturevalue(name)
