@@ -368,6 +368,24 @@ def test_graph_recall():
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(best, found)]) >= 0.9
 
 
+def test_links_hidden_by_a_broken_graph():
+    rng = np.random.default_rng(7)
+    hot = rng.normal(size=16) + rng.normal(size=(1000, 16)) * 0.02
+    centres = rng.normal(size=(500, 16))
+    pairs = np.repeat(centres, 4, axis=0) + rng.normal(size=(2000, 16)) * 0.02
+    lone = rng.normal(size=(1500, 16))
+    for raw in (np.concatenate([hot, pairs]), np.concatenate([pairs[:40], lone])):
+        raw = raw[rng.permutation(len(raw))]
+        graph = vectors.Graph(vectors.unit(raw), vectors.levels_of(np.arange(len(raw))))
+        # the ground level loses the links of nine in ten
+        graph.layers[0][np.arange(len(raw)) % 10 > 0] = -1
+        graph.layers[0][:, vectors.LINKS // 4 :] = -1
+        own = np.arange(len(raw))
+        found = {(a, b) for r, c in vectors.block_links(graph, raw, raw, vectors.THRESHOLD, own) for a, b in zip(r.tolist(), c.tolist())}
+        m = raw / np.linalg.norm(raw, axis=1, keepdims=True)
+        assert found == set(map(tuple, np.argwhere(m @ m.T >= vectors.THRESHOLD).tolist()))
+
+
 def test_revisits(spark):
     record = "record_id long, warc_type string, url string, captured timestamp, status int, headers map<string,string>"
     time = lambda s: f"2024-01-01 00:00:{s:02d}"

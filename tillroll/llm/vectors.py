@@ -8,9 +8,11 @@ shard of its label, in blocks of a bounded size.
 
 A query's beam is widened until its worst entry is below the threshold, so nothing above it
 is cut off; queries that fill the widest beam are compared with the whole shard instead. In
-each shard and block an audit compares some queries with the whole shard, and the beam grows
-until they find at least ``RECALL`` of their links. All links are verified with the cosine in
-double precision.
+each shard and block an audit compares a share of the queries with the whole shard, at least so
+many that ``AUDITED`` of them have links which a beam has to find. The beam grows until these find
+``RECALL`` of their links in the mean of queries, without the hit on the query itself. If the
+widest beam does not, or the block has too few queries with links to tell, the whole block is
+compared with the shard. All links are verified with the cosine in double precision.
 
 Equal vectors are one node; its copies are counted, not paired. A task sends the number of
 links of each query and a spanning forest of what it linked, at most one edge per vector, and
@@ -37,8 +39,9 @@ THRESHOLD = 0.93
 SHARD, BLOCK = 40_000, 10_000
 #: Links of a vector on the ground level (half of it above), and the beam while building.
 LINKS, BUILD_BEAM = 24, 48
-#: First and widest beam of a search, queries that an audit looks at, and the recall it asks for.
-BEAM, WIDEST, AUDITED, RECALL = 32, 256, 64, 0.995
+#: First and widest beam of a search, queries with links that an audit needs, the part of the block
+#: that it looks at (one in so many), and the recall it asks for.
+BEAM, WIDEST, AUDITED, AUDIT_SHARE, RECALL = 32, 256, 64, 16, 0.995
 #: Room for rounding between single and double precision.
 SLACK = 1e-4
 _BATCH = 256
@@ -218,8 +221,14 @@ def _verified(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
     return dots / (np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)) >= threshold
 
 
-def _pairs(graph: Graph, q: np.ndarray, beam: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Query rows and shard rows at or above ``least``; the beam grows where it was too short."""
+def _scan(graph: Graph, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_pairs``, by comparison with the whole shard."""
+    return np.nonzero(q @ graph.vectors.T >= least)
+
+
+def _pairs(graph: Graph, q: np.ndarray, beam: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query rows and shard rows at or above ``least``, and which query rows were compared with
+    the whole shard; the beam grows where it was too short."""
     found: list[tuple[np.ndarray, np.ndarray]] = []
     rows = np.arange(len(q))
     while len(rows) and beam <= WIDEST:
@@ -230,22 +239,58 @@ def _pairs(graph: Graph, q: np.ndarray, beam: int, least: float) -> tuple[np.nda
         rows, beam = rows[~ended], beam * 4
     for begin in range(0, len(rows), _BATCH):
         part = rows[begin : begin + _BATCH]
-        r, c = np.nonzero(q[part] @ graph.vectors.T >= least)
+        r, c = _scan(graph, q[part], least)
         found.append((part[r], c))
-    return tuple(np.concatenate(x) for x in zip(*found)) if found else (rows, rows)
+    r, c = (np.concatenate(x) for x in zip(*found)) if found else (rows, rows)
+    return r, c, rows
+
+
+def _audit(graph: Graph, q: np.ndarray, own: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray] | None:
+    """Queries that a beam has to answer, and the number of their links as a scan finds them,
+    self-hits left out. Nothing if the whole block had to be scanned to find enough of them."""
+    order = np.random.default_rng(len(q)).permutation(len(q))
+    rows, links, judged = [], [], 0
+    for begin in range(0, len(q), _BATCH):
+        if judged >= AUDITED and begin * AUDIT_SHARE >= len(q):
+            return np.concatenate(rows), np.concatenate(links)
+        part = order[begin : begin + _BATCH]
+        r, c = _scan(graph, q[part], least)
+        n = np.bincount(r, minlength=len(part))
+        others = n - np.bincount(r[c == own[part][r]], minlength=len(part))
+        # what fills the widest beam is scanned anyway
+        able = (others > 0) & (n < WIDEST)
+        rows.append(part[able])
+        links.append(others[able])
+        judged += able.sum()
+    return None
+
+
+def _recall(graph: Graph, q: np.ndarray, own: np.ndarray, links: np.ndarray, beam: int, least: float) -> float:
+    """The mean share of their links that queries find by this beam; those compared with the
+    whole shard don't count."""
+    shares = []
+    for begin in range(0, len(q), _BATCH):
+        part = slice(begin, begin + _BATCH)
+        r, c, scanned = _pairs(graph, q[part], beam, least)
+        n = np.bincount(r[c != own[part][r]], minlength=len(q[part]))
+        shares.append(np.delete(n / links[part], scanned))
+    shares = np.concatenate(shares)
+    return float(shares.mean()) if len(shares) else 0.0
 
 
-def block_links(graph: Graph, raw: np.ndarray, queries: np.ndarray, threshold: float) -> Iterator[tuple]:
-    """Verified links by batches: query rows and shard rows."""
+def block_links(graph: Graph, raw: np.ndarray, queries: np.ndarray, threshold: float, own: np.ndarray) -> Iterator[tuple]:
+    """Verified links by batches: query rows and shard rows; ``own`` has the shard row that is
+    the query itself, or -1."""
     q = unit(queries)
     least = threshold - SLACK
-    audit = np.linspace(0, len(q) - 1, min(AUDITED, len(q))).astype(np.int64)
-    exact = (q[audit] @ graph.vectors.T >= least).sum()
-    beam = BEAM
-    while beam < WIDEST and len(_pairs(graph, q[audit], beam, least)[0]) < RECALL * exact:
+    audit = _audit(graph, q, own, least)
+    beam = BEAM if audit else WIDEST * 2
+    while beam <= WIDEST and _recall(graph, q[audit[0]], own[audit[0]], audit[1], beam, least) < RECALL:
         beam *= 2
     for begin in range(0, len(q), _BATCH):
-        r, c = _pairs(graph, q[begin : begin + _BATCH], beam, least)
+        part = q[begin : begin + _BATCH]
+        # beyond the widest beam the audit has failed or had too little to go by
+        r, c = _pairs(graph, part, beam, least)[:2] if beam <= WIDEST else _scan(graph, part, least)
         sure = _verified(queries[begin + r], raw[c], threshold) if len(r) else np.zeros(0, bool)
         yield begin + r[sure], c[sure]
 
@@ -289,7 +334,9 @@ def _join_shard(shard: pa.Table, block: pa.Table, threshold: float) -> pa.Table:
     numbers = {n: i for i, n in enumerate(np.unique(np.concatenate([nodes, own])).tolist())}
     forest, edges = Forest(len(numbers)), []
     left, right = ([numbers[n] for n in x.tolist()] for x in (own, nodes))
-    for r, c in block_links(graph, raw, queries, threshold):
+    places = np.minimum(np.searchsorted(nodes, own), len(nodes) - 1)
+    itself = np.where(nodes[places] == own, places, -1)
+    for r, c in block_links(graph, raw, queries, threshold, itself):
         other = own[r] != nodes[c]
         r, c = r[other], c[other]
         counts += np.bincount(r, copies[c], minlength=len(own)).astype(np.int64)
