@@ -212,6 +212,23 @@ def test_random_strings_and_redaction(spark):
     same(secret_scan.redact(frame), [(1, "x [SECRET] y", 12), (2, None, 4), (3, "clean", 5)])
 
 
+def test_random_keys_of_several_kinds_and_prefixes():
+    rng = np.random.default_rng(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    uuid, digest = "123e4567-e89b-12d3-a456-426614174000", "d41d8cd98f00b204e9800998ecf8427e"
+    prefixes = ("", "/internal/services/webhooks/production/", "customer_account_access_", f"{uuid}/", f"{uuid}-", f"{digest}=", f"{digest}_")
+    for signs in (letters + "0123456789", letters):
+        for length in (20, 24, 32, 48):
+            for prefix in prefixes:
+                for _ in range(20):
+                    key = "".join(rng.choice(list(signs), length))
+                    found = secret_scan.random_spans(f"x {prefix}{key} y")
+                    assert any(a <= 2 + len(prefix) and b >= 2 + len(prefix) + length for a, _, b in found), prefix + key
+    harmless = f"{uuid} {digest} {uuid}/{digest} images/{digest} 12345678901234567890 2024-01-02/2024-01-03 /internal/services/webhooks/production"
+    assert not secret_scan.random_spans(harmless)
+    assert not secret_scan.random_spans("getInternalServiceConfiguration Donaudampfschifffahrtsgesellschaft --------------------")
+
+
 @pytest.mark.parametrize("name", ["docs", "documents", "empty"])
 def test_base_licenses(request, name):
     frame = request.getfixturevalue(name)

@@ -2,9 +2,11 @@
 
 A tokenizer's vocabulary is made of what is frequent, so ordinary strings need few tokens
 and random ones many. Runs of 20 or more characters as they occur in keys are cut into
-tokens; a run with fewer characters per token than ``RATIO`` is random. Before that, what is
-known to be harmless is left out: digests (32, 40, 56, 64, 96 or 128 hexadecimal digits),
-UUIDs, numbers, and identifiers made of words (few changes between letters and digits).
+tokens; a run with fewer characters per token than ``RATIO`` is random. Of a run that is not, the
+parts between ``/``, ``=``, ``_`` and ``-`` of 20 or more characters are tested by themselves: a key
+behind readable text. Before that, what is known to be harmless is cut out of the run: digests
+(32, 40, 56, 64, 96 or 128 hexadecimal digits) and UUIDs; what remains on either side of them is
+tested. Numbers (runs without a letter) are left out.
 
 Positions count code points, the end is exclusive. A null text is the empty one, which has
 no spans; texts are searched whole. Equal rows have equal results.
@@ -36,8 +38,13 @@ LEAST_VALUE, LEAST_ACCESS = 12, 18
 #: One of these stands in every text with a match of ``ASSIGN``, A-Z lower-cased.
 _WORDS = (b"passw", b"secret", b"token", b"api")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})")
+PART = re.compile(r"[A-Za-z0-9+]{20,}")
+#: UUIDs and digests that no further letter or digit touches.
+HARMLESS = re.compile(
+    r"(?<![A-Za-z0-9])(?:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}"
+    r"|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})(?![A-Za-z0-9])",
+    re.I,
+)
 #: Characters per token below which a run counts as random.
 RATIO = 2.1
 #: Order of the kinds at one start.
@@ -58,15 +65,23 @@ def characters_per_token(run: str) -> float:
 
 
 def is_random(run: str) -> bool:
-    """Whether a candidate run is a random string and no known digest or identifier."""
-    digits = sum(map(str.isdigit, run))
-    if digits < 2 or digits == len(run) or not any(map(str.isalpha, run)):
-        return False
-    if UUID.search(run) or DIGEST.fullmatch(run.lower()):
-        return False
-    if len(re.findall(r"\d+", run)) < 3 and re.search(r"[A-Za-z]{8}", run):
-        return False
-    return characters_per_token(run) < RATIO
+    """Whether a run is a random string, by its characters per token; a number is none."""
+    return any(map(str.isalpha, run)) and characters_per_token(run) < RATIO
+
+
+def random_parts(run: str) -> Iterator[tuple[int, int]]:
+    """``(start, end)`` of the random strings in a candidate run."""
+    cuts = [m.span() for m in HARMLESS.finditer(run)]
+    for begin, end in zip([0, *(b for _, b in cuts)], [*(a for a, _ in cuts), len(run)]):
+        if cuts:
+            begin += len(run[begin:end]) - len(run[begin:end].lstrip("/=_-"))
+            end = begin + len(run[begin:end].rstrip("/=_-"))
+        if end - begin < 20:
+            continue
+        if is_random(run[begin:end]):
+            yield begin, end
+        else:
+            yield from (m.span() for m in PART.finditer(run, begin, end) if is_random(m[0]))
 
 
 def base_spans(text: str, folded: bytes) -> list[tuple[int, int, int]]:
@@ -81,7 +96,7 @@ def base_spans(text: str, folded: bytes) -> list[tuple[int, int, int]]:
 
 
 def random_spans(text: str) -> list[tuple[int, int, int]]:
-    return [(m.start(), 3, m.end()) for m in CANDIDATE.finditer(text) if is_random(m[0])]
+    return [(m.start() + a, 3, m.start() + b) for m in CANDIDATE.finditer(text) for a, b in random_parts(m[0])]
 
 
 def spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
