@@ -182,6 +182,14 @@ def test_token_files(spark, request, name):
     same(token_files.token_files(spark, frame, queries.WORD_TOKENIZER), expected)
 
 
+def test_tokens_around_separators_that_are_no_white_space():
+    own = token_files.tokenizer(queries.WORD_TOKENIZER)
+    for c in map(chr, [*range(1, 33), 0x7F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]):
+        for text in (f"ab{c}cd", f"ab {c} cd", f"{c}ab cd{c}"):
+            expected = own.library.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(own.encode(text), own.kind).tolist() == expected, text
+
+
 def test_values_of_all_sizes_survive_packing():
     for n in (0, 1, 3, 4, 1001):
         values = np.random.default_rng(n).integers(0, 2 ** np.arange(1, n + 1).clip(1, 32), n, dtype=np.uint64)

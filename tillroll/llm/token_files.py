@@ -58,8 +58,8 @@ class WordTokenizer:
 
     No token of this kind of vocabulary spans white space, so words are looked up in a cache.
     A new word without the commas and stops after it, all small letters in composed form, goes
-    straight to the library's model; any other word, and a text with special tokens, takes
-    the library's whole way.
+    straight to the library's model; any other word, and a text with special tokens or
+    U+001C to U+001F, takes the library's whole way.
     """
 
     def __init__(self, path: str):
@@ -67,7 +67,8 @@ class WordTokenizer:
         self.vocabulary = self.library.get_vocab_size()
         self.kind = np.dtype("<u2" if self.vocabulary < 65536 else "<u4")
         added = self.library.get_added_tokens_decoder().values()
-        self._special = [token.content for token in added]
+        # the last four separate words for Python but not for the library
+        self._special = [*(token.content for token in added), "\x1c", "\x1d", "\x1e", "\x1f"]
         self._letters = _byte_letters()
         self._packed = [i.to_bytes(self.kind.itemsize, "little") for i in range(self.vocabulary)]
         self._words = Memo(self._word, 250_000)
