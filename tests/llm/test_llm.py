@@ -355,6 +355,22 @@ def test_short_passage_in_a_long_document(spark):
     same(found.select("item_id", "containment"), [(1, 1.0)])
 
 
+def test_short_items_anywhere_in_long_documents(spark):
+    rng = np.random.default_rng(6)
+    docs, items = [], []
+    for n in range(5, 13):
+        for k in range(60):
+            words = [f"w{i}" for i in rng.integers(0, 5000, 400)]
+            item = [f"p{n}x{k}x{i}" for i in range(n)]
+            at = (0, 7 + 3 * k, 400)[k % 3]
+            docs.append((n * 100 + k, " ".join([*words[:at], *item, *words[at:]])))
+            items.append((n * 100 + k, " ".join(item)))
+    found = decontamination.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    same(found.select("doc_id", "item_id", "containment"), [(i, i, 1.0) for i, _ in items])
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(6, 16))

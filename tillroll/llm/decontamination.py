@@ -5,8 +5,12 @@ document would dilute a short item, so for each class documents are cut into ove
 windows of one and a half times the class's size, half a class apart: a passage of the class
 lies in one window as a whole, and makes up a good part of it. Items and windows get ``HASHES``
 minima, and a window is a candidate for an item with which it shares one of them (one row per
-band: at the least similarity a passage can have in its window, 0.25, all 48 minima differ in
-one case of a million). Minima of windows are put together from those of their blocks.
+band: at the least similarity that a passage of more than ``SHORT`` shingles can have in its
+window, 0.25, all 48 minima differ in one case of a million). Minima of windows are put together from those of their blocks.
+
+In such a window a passage of few shingles would be too small a part. Items of up to ``SHORT``
+shingles are looked up by shingles instead: of n shingles a document with a share of ``THRESHOLD`` of
+them lacks so few that it has one of any choice of one more than these.
 
 A window can only share a minimum that is the hash of one of its own shingles. So the shingles
 that are minima of items are set in a bitmap, and documents without any of them need no minima.
@@ -36,6 +40,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 HASHES = 48
 LEAST_CLASS = 16
+#: Items of at most so many shingles have no minima; they are a class of their own.
+SHORT = 8
 #: Bits of the map of item shingles; 2 MB.
 BITS = 1 << 24
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -62,6 +68,8 @@ def shingle_hashes(words: list[bytes], word_hash) -> np.ndarray:
 
 def size_class(n: int) -> int:
     """The smallest class that holds ``n`` shingles."""
+    if n <= SHORT:
+        return SHORT
     size = LEAST_CLASS
     while size < n:
         size *= 2
@@ -91,9 +99,16 @@ def least_shingles(hashes: np.ndarray) -> np.ndarray:
     return np.unique([hashes[np.argmin((hashes ^ s) * f)] for s, f in zip(_SALTS, _FACTORS)])
 
 
-def item_rows(items: DataFrame) -> DataFrame:
+def _looked_up(hashes: np.ndarray, threshold: float) -> np.ndarray:
+    """So many of an item's shingles that a document which contains it has one of them."""
+    needed = max(1, int(np.ceil(threshold * len(hashes) - 1e-9)))
+    return hashes[: len(hashes) - needed + 1]
+
+
+def item_rows(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(item_id, item_key, size, text, keys, firsts)`` of items with words, repeated ones once:
-    the minima as compared, and the hashes of the shingles they come from."""
+    the minima as compared, and the hashes of the shingles they come from; of short items the
+    shingles to look up as both."""
     found = items.select(
         F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).distinct()
@@ -107,8 +122,11 @@ def item_rows(items: DataFrame) -> DataFrame:
                 hashes = np.unique(shingle_hashes(letter_words(text.encode()), word_hash.__getitem__))
                 if len(hashes):
                     size = size_class(len(hashes))
-                    keys = _keys(_minima(hashes, np.array([0])), size)[:, 0]
-                    firsts = least_shingles(hashes)
+                    if size == SHORT:
+                        keys = firsts = _looked_up(hashes, threshold)
+                    else:
+                        keys = _keys(_minima(hashes, np.array([0])), size)[:, 0]
+                        firsts = least_shingles(hashes)
                     out.append(
                         (
                             item_id,
@@ -180,7 +198,8 @@ def window_keys(hashes: np.ndarray, sizes: list[int]) -> np.ndarray:
 
 def candidate_keys(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> DataFrame:
     """``(doc_id, text_key, key)``: the window minima of each document with a known shingle that
-    are minima of such a shingle."""
+    are minima of such a shingle, and the known shingles themselves if there are short items."""
+    wide = [s for s in sizes if s > SHORT]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_hash = Memo(lambda w: xxh64_intdigest(w, 7))
@@ -191,11 +210,14 @@ def candidate_keys(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> Dat
                 bits = _bit(hashes)
                 known = hashes[(bitmap[bits >> 5] >> (bits & 31).astype(np.uint32)) & 1 == 1]
                 if len(known):
-                    # of all window minima those that a known shingle can be
-                    able = np.concatenate(
-                        [_keys((np.unique(known) ^ _SALTS[:, None]) * _FACTORS[:, None], s).ravel() for s in sizes]
-                    )
-                    own = np.intersect1d(window_keys(hashes, sizes), able)
+                    known = np.unique(known)
+                    own = known if SHORT in sizes else known[:0]
+                    if wide:
+                        # of all window minima those that a known shingle can be
+                        able = np.concatenate(
+                            [_keys((known ^ _SALTS[:, None]) * _FACTORS[:, None], s).ravel() for s in wide]
+                        )
+                        own = np.union1d(own, np.intersect1d(window_keys(hashes, wide), able))
                     if len(own):
                         rows.append(np.full(len(own), i))
                         keys.append(own)
@@ -236,7 +258,7 @@ def shingles(text: str) -> set[bytes]:
 
 def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, text_key, item_id, n_shingles, n_shared, containment)`` per verified pair."""
-    stored = materialize(item_rows(items), "benchmark_items")
+    stored = materialize(item_rows(items, threshold), "benchmark_items")
     bitmap, sizes = key_bitmap(stored)
     keyed = texts(docs).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     found = materialize(candidate_keys(keyed, bitmap, sizes), "benchmark_keys")
