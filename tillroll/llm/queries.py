@@ -10,9 +10,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    centroids,
     decontamination,
+    language_id,
     language_model,
     licenses,
+    phrases,
     pieces,
     secret_scan,
     simhash,
@@ -69,6 +72,18 @@ def op10_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, directory: str) -> DataFrame:
+    return phrases.collocations(table(spark, directory, "documents"))
+
+
+def op12_centroids(spark: SparkSession, directory: str) -> DataFrame:
+    return centroids.clustered(table(spark, directory, "embeddings"))
+
+
+def op13_language(spark: SparkSession, directory: str) -> DataFrame:
+    return language_id.language_of(table(spark, directory, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -83,6 +98,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_vectors,
             op9_warc,
             op10_decontamination,
+            op11_phrases,
+            op12_centroids,
+            op13_language,
         )
     }
 
@@ -188,9 +206,104 @@ WHERE n_shared / n_shingles >= {decontamination.THRESHOLD}
 """
 
 
+PHRASE_SQL = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT row_number() OVER () AS p, lang,
+    list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces
+), placed AS (
+  SELECT p, lang, unnest(w) AS word, unnest(range(len(w))) AS i FROM worded
+), ahead AS (
+  SELECT lang, word, lead(word) OVER (PARTITION BY p ORDER BY i) AS second,
+    lead(word, 2) OVER (PARTITION BY p ORDER BY i) AS third
+  FROM placed
+), grams AS (
+  SELECT lang, 1 AS k, word AS phrase FROM ahead
+  UNION ALL SELECT lang, 2, word || ' ' || second FROM ahead WHERE second IS NOT NULL
+  UNION ALL SELECT lang, 3, word || ' ' || second || ' ' || third FROM ahead WHERE third IS NOT NULL
+), counts AS (
+  SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang
+), found AS (
+  SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w
+  FROM counts WHERE k > 1 AND f >= {phrases.LEAST}
+), longer AS (
+  SELECT lang, part, max(f) AS f
+  FROM (SELECT lang, f, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part
+        FROM found WHERE k = 3)
+  GROUP BY ALL
+), cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, unnest(range(1, c.k)) AS cut, c.w
+  FROM found c LEFT JOIN longer l ON l.lang = c.lang AND l.part = c.phrase
+  WHERE coalesce(100 * l.f < {phrases.COVERED} * c.f, true)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, l.f AS l, r.f AS r,
+    (1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f) AS score
+  FROM cuts c
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : c.cut], ' ') AND l.k = c.cut
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.cut + 1 :], ' ') AND r.k = len(c.w) - c.cut
+), least AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least
+)
+SELECT r.lang, r.rank::BIGINT AS rank, r.phrase, r.a::BIGINT AS a, r.l::BIGINT AS l, r.r::BIGINT AS r,
+  t.n::BIGINT AS n, r.score::BIGINT AS score
+FROM ranked r JOIN totals t ON t.lang = r.lang WHERE rank <= {phrases.TOP}
+"""
+
+
+def _centroid_sql() -> str:
+    """The rounds of centroid clustering, one after the other; the tables are small where SQL is run."""
+    size = centroids.SIZE
+    steps = [
+        f"""able AS (
+  SELECT row_number() OVER () AS row, vec_id,
+    list_transform(embedding, lambda x: floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        f"""c0 AS (
+  SELECT (row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || coalesce(vec_id::VARCHAR, '')), v) - 1) AS k, v AS c
+  FROM able QUALIFY k < {centroids.CLUSTERS}
+)""",
+    ]
+    for turn in range(centroids.ROUNDS + 1):
+        steps.append(f"""a{turn} AS MATERIALIZED (
+  SELECT row, vec_id, v, k, list_sum(list_transform(list_zip(v, c), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS d
+  FROM able, c{turn} QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, k) = 1
+)""")
+        if turn < centroids.ROUNDS:
+            steps.append(f"""s{turn} AS (
+  SELECT k, pos, sum(x) AS s, count(*) AS n
+  FROM (SELECT k, unnest(v) AS x, unnest(range(1, {size + 1})) AS pos FROM a{turn}) GROUP BY k, pos
+), m{turn} AS (
+  SELECT k, list(((s - (((s % n) + n) % n)) // n)::BIGINT ORDER BY pos) AS c FROM s{turn} GROUP BY k
+), c{turn + 1} AS MATERIALIZED (
+  SELECT o.k, coalesce(m.c, o.c) AS c FROM c{turn} o LEFT JOIN m{turn} m ON m.k = o.k
+)""")
+    last = centroids.ROUNDS
+    return "WITH " + ", ".join(steps) + f"""
+SELECT a.vec_id, a.k::INTEGER AS cluster, a.d::BIGINT AS distance,
+  (sum(a.d) OVER (PARTITION BY a.k))::BIGINT AS cluster_inertia, (sum(a.d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a{last} a JOIN c{last} c ON c.k = a.k
+"""
+
+
+CENTROID_SQL = _centroid_sql()
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op8_vectors": VECTOR_SQL,
         "op9_warc": WARC_SQL,
         "op10_decontamination": DECONTAMINATION_SQL,
+        "op11_phrases": PHRASE_SQL,
+        "op12_centroids": CENTROID_SQL,
     }
