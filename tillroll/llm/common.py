@@ -36,6 +36,18 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def unused(frame: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores behind it until no column of the frame is called so."""
+    taken = {c.lower() for c in frame.columns}
+    free = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
 def id_remainder(divisor: int, column: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as the empty text."""
     as_text = F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -63,6 +75,11 @@ class Memo(dict):
         super().__init__()
         self._compute, self._size, self._old = compute, size, {}
 
+    def forget(self) -> None:
+        """Give the memory back; workers are used again for other stages."""
+        self.clear()
+        self._old = {}
+
     def __missing__(self, key: Hashable):
         if len(self) >= self._size:
             self._old = dict(self)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_intdigest
 
 from ..sources.scratch import materialize
-from .common import Memo, letter_words, texts
+from .common import Memo, letter_words, texts, unused
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -291,9 +291,10 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that contain no item."""
+    hit_id, hit_key = unused(docs, "hit_id", "hit_key")
     hits = contained_items(docs, items).select(
-        F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")
+        F.col("doc_id").alias(hit_id), F.col("text_key").alias(hit_key)
     ).distinct()
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    match = F.col("doc_id").cast("long").eqNullSafe(F.col("hit_id")) & (key == F.col("hit_key"))
+    match = F.col("doc_id").cast("long").eqNullSafe(F.col(hit_id)) & (key == F.col(hit_key))
     return docs.join(materialize(hits, "benchmark_hits"), match, "left_anti")

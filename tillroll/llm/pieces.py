@@ -151,6 +151,11 @@ class PrefixEncoder:
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.library.decode(ids)
 
+    def forget(self) -> None:
+        """Drop what was remembered of words and pairs."""
+        self._cache.forget()
+        self._side_by_side.clear()
+
 
 @lru_cache(maxsize=1)
 def encoder(path: str) -> PrefixEncoder:
@@ -178,6 +183,7 @@ def encode_pieces(docs: DataFrame, model: str, with_ids: bool = False) -> DataFr
                 columns["ids"] = pa.array([ids for _, ids in encoded], pa.list_(pa.int32()))
                 columns["decoded"] = pa.array(decoded, pa.string())
             yield pa.RecordBatch.from_pydict(columns)
+        own.forget()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return small_batches(texts(docs)).mapInArrow(run, schema + ", ids array<int>, decoded string" * with_ids)

@@ -5,20 +5,16 @@ So every distinct fingerprint emits itself and its 64 one-bit variants, rows mee
 variant, and neighbours in a variant's list are linked. A list holds at most 65 distinct
 fingerprints, whatever the data: copies of a text are one fingerprint before the shuffle.
 
-``keep_one``, the stage of the pipeline, does not go by fingerprints: its near duplicates are
-texts whose sets of five-word shingles have a Jaccard similarity of at least ``SIMILAR``. Equal
-sets are one node. Nodes meet where all ``ROWS`` minima of one of ``BANDS`` bands agree (at 0.8 all
-bands differ in one case of 300,000), and pairs that meet are verified with the whole sets. Where
-many nodes meet, each is first compared with one of them, anew for each of up to ``ROUNDS`` rounds;
-then all pairs that are not connected yet are compared.
-
-Null texts and texts without words have fingerprint zero and no shingle; they are copies of each other. Repeated rows are rows of one
-fingerprint. A null id is never the smallest id of a component unless all are null.
+``keep_one`` keeps one document of each component.
+
+Null texts and texts without words have fingerprint zero and are linked like any others. Repeated rows are rows of one
+fingerprint. A null id is never the smallest id of a component unless all are null. Extra columns are
+kept by ``keep_one``, whatever their names, and are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -27,22 +23,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from xxhash import xxh64_intdigest
 
 from ..sources.scratch import materialize
-from .common import Memo, small_batches, space_words, texts
+from .common import small_batches, space_words, texts, unused
 from .components import components
-from .decontamination import shingle_hashes
 
 SEED = 42
 SHINGLE = 3
-#: Least Jaccard similarity of near duplicates for the pipeline, and bands of minima to find them by.
-SIMILAR = 0.8
-BANDS, ROWS = 32, 5
-#: Rounds in which nodes that meet are compared with one of them, while more pairs than ``FEW`` a row are open.
-ROUNDS, FEW = 4, 4
-#: Shingles whose minima are taken in one step.
-AT_ONCE = 2048
-_random = np.random.default_rng(42)
-_FACTORS = _random.integers(1, 1 << 31, (BANDS * ROWS, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_SALTS = _random.integers(0, 1 << 32, (BANDS * ROWS, 1), dtype=np.uint32)
 #: Bits of each byte value, lowest first.
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 #: Nothing, or one bit of a signed 64-bit number.
@@ -96,12 +81,12 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
     )
 
 
-def near_duplicates(prints: DataFrame, linker: Callable[[DataFrame], DataFrame] = links) -> DataFrame:
+def near_duplicates(prints: DataFrame) -> DataFrame:
     """The stored rows of ``prints`` with ``root``, a fingerprint that names the component,
-    and ``component_id``, the smallest ``doc_id`` in it; ``linker`` gives the edges of all ``fp``."""
+    and ``component_id``, the smallest ``doc_id`` in it."""
     classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "fp_classes")
     linked = materialize(
-        components(linker(classes.select("fp"))).select(F.col("node").alias("fp"), "root"), "fp_roots"
+        components(links(classes.select("fp"))).select(F.col("node").alias("fp"), "root"), "fp_roots"
     )
     rooted = materialize(
         classes.join(linked, "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root")),
@@ -112,110 +97,6 @@ def near_duplicates(prints: DataFrame, linker: Callable[[DataFrame], DataFrame]
     return prints.join(named, "fp")
 
 
-def shingle_set(text: bytes, word_hash: Callable[[bytes], int]) -> np.ndarray:
-    """The distinct hashes of the text's five-word shingles, in order; of a shorter text of all its words."""
-    return np.unique(shingle_hashes(space_words(text), word_hash))
-
-
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """A key for each band of minima of a set that is not empty."""
-    short = (hashes >> np.uint64(32)).astype(np.uint32)
-    minima = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
-    for begin in range(0, len(short), AT_ONCE):
-        part = short[begin : begin + AT_ONCE] ^ _SALTS
-        part *= _FACTORS
-        minima = np.minimum(minima, part.min(axis=1))
-    bands = minima.reshape(BANDS, ROWS)
-    return np.array([xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(bands)], np.uint64).view(np.int64)
-
-
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text_key, fp, size, keys)`` for every row; here ``fp`` is a hash of the set of shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_hash = Memo(lambda w: xxh64_intdigest(w, 7)).__getitem__
-        for batch in batches:
-            sets = [shingle_set(t, word_hash) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            prints = np.array([xxh64_intdigest(s.tobytes(), SEED) if len(s) else 0 for s in sets], np.uint64)
-            keys = pa.array([band_keys(s) if len(s) else [] for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("text_key"),
-                    pa.array(prints.view(np.int64)),
-                    pa.array(list(map(len, sets)), pa.int64()),
-                    keys,
-                ],
-                ["doc_id", "text_key", "fp", "size", "keys"],
-            )
-
-    keyed = texts(docs).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    return small_batches(keyed).mapInArrow(run, "doc_id long, text_key long, fp long, size long, keys array<long>")
-
-
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    word_hash = Memo(lambda w: xxh64_intdigest(w, 7)).__getitem__
-    for batch in batches:
-        near = []
-        for a, b in zip(*(batch.column(c).cast(pa.binary()).to_pylist() for c in ("text_a", "text_b"))):
-            a, b = shingle_set(a, word_hash), shingle_set(b, word_hash)
-            shared = len(np.intersect1d(a, b, assume_unique=True))
-            near.append(shared / (len(a) + len(b) - shared) >= SIMILAR)
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("a", "b")], ["a", "b"]).filter(pa.array(near, pa.bool_()))
-
-
-def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """The edges of ``pairs(a, b)`` whose texts in ``known(fp, text)`` are similar enough."""
-    first = known.select(F.col("fp").alias("a"), F.col("text").alias("text_a"))
-    second = known.select(F.col("fp").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
-    return materialize(small_batches(joined).mapInArrow(_similar, "a long, b long"), "similar_links")
-
-
-def similar_links(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Edges ``(a, b)`` that connect what similarities of at least ``SIMILAR`` connect."""
-    nodes = sets.groupBy("fp").agg(F.min("text_key").alias("text_key"), F.first("size").alias("size"), F.first("keys").alias("keys"))
-    nodes = materialize(nodes, "shingle_nodes")
-    banded = nodes.select(F.explode("keys").alias("key"), "fp", "size")
-    met = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = materialize(banded.join(met, "key"), "shingle_members")
-    wanted = nodes.join(members.select("fp").distinct(), "fp", "left_semi").select("fp", "text_key")
-    keyed = texts(docs).select(F.xxhash64("text").alias("text_key"), "text")
-    known = materialize(keyed.join(wanted, "text_key").dropDuplicates(["fp"]).select("fp", "text"), "shingle_texts")
-    close = F.least("size", "other_size") >= SIMILAR * F.greatest("size", "other_size") - 1e-9
-    edges = None
-    for turn in range(ROUNDS + 1):
-        if edges is None:
-            placed = members.withColumn("root", F.col("fp"))
-        else:
-            roots = materialize(components(edges).select(F.col("node").alias("fp"), "root"), "shingle_roots")
-            placed = members.join(roots, "fp", "left").select("key", "fp", "size", F.coalesce("root", "fp").alias("root"))
-        # what is left: keys under which several components meet, and the pairs between them
-        parts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
-        mixed = parts.groupBy("key").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("inside"), F.count("*").alias("roots"))
-        mixed = materialize(mixed.where("roots > 1"), "shingle_mixed")
-        rows, left = mixed.agg(F.sum("all"), F.sum((F.col("all") * F.col("all") - F.col("inside")) / 2)).first()
-        if not left:
-            break
-        open_ = materialize(placed.join(mixed.select("key"), "key", "left_semi"), "shingle_open")
-        last = turn == ROUNDS or left <= FEW * rows
-        if last:
-            others = open_
-        else:
-            order = F.xxhash64("fp", F.lit(turn))
-            leader = F.min_by(F.struct("fp", "size", "root"), order).alias("leader")
-            others = open_.groupBy("key").agg(leader).select("key", "leader.*")
-        others = others.select("key", *(F.col(c).alias(f"other_{c}") for c in ("fp", "size", "root")))
-        apart = (F.col("root") < F.col("other_root")) if last else (F.col("root") != F.col("other_root"))
-        pairs = open_.join(others, "key").where(apart & close)
-        pairs = pairs.select(F.least("fp", "other_fp").alias("a"), F.greatest("fp", "other_fp").alias("b")).distinct()
-        found = verified(pairs, known)
-        edges = found if edges is None else materialize(edges.union(found), "similar_links")
-        if last:
-            break
-    return nodes.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0) if edges is None else edges
-
-
 def simhash_duplicates(docs: DataFrame) -> DataFrame:
     """Fingerprint and component of every document row."""
     found = near_duplicates(materialize(fingerprints(docs), "fingerprints"))
@@ -225,20 +106,17 @@ def simhash_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Of each component of near duplicates (five-word shingles, Jaccard similarity at least
-    ``SIMILAR``) one document: the one with the smallest id.
+    """Of each component of near duplicates one document: the one with the smallest id.
 
     Rows without an id come after all others; among rows of one id the smallest hash of the
     text decides, and of rows repeated with id and text one stays.
     """
-    sets = materialize(shingle_sets(docs), "shingle_sets")
-    prints = sets.select("doc_id", "text_key", "fp")
-    found = near_duplicates(prints, lambda _: similar_links(docs, sets))
+    found = near_duplicates(materialize(fingerprints(docs), "fingerprints"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("first")
+    key, kept_id, kept_key = unused(docs, "text_key", "kept_id", "kept_key")
     kept = found.groupBy("root").agg(first).select(
-        F.col("first.doc_id").alias("kept_id"), F.col("first.text_key").alias("kept_key")
+        F.col("first.doc_id").alias(kept_id), F.col("first.text_key").alias(kept_key)
     )
-    key = "near_duplicate_text_key"
     keyed = docs.withColumn(key, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (F.col(key) == F.col("kept_key"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)) & (F.col(key) == F.col(kept_key))
     return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", key]).select(*docs.columns)

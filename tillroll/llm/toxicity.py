@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import id_remainder, small_batches, texts
+from .common import id_remainder, small_batches, texts, unused
 
 DECAY = 0.7
 STRETCH = 9
@@ -451,5 +451,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> D
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The documents without those predicted toxic."""
-    scored = with_scores(docs, train(docs, labels, limits), "toxicity_score")
-    return scored.where("toxicity_score < 0.5").select(*docs.columns)
+    (score,) = unused(docs, "toxicity_score")
+    scored = with_scores(docs, train(docs, labels, limits), score)
+    return scored.where(F.col(score) < 0.5).select(*docs.columns)
