@@ -138,6 +138,31 @@ SHARED = {
     "sales": """SELECT invoice AS invoice_id, stock_code, description, quantity, invoice_date,
         price AS unit_price, customer_id, country,
         CAST(quantity * price AS DECIMAL(12,2)) AS line_amount FROM sale_lines""",
+    "return_events": """SELECT customer_id, stock_code, invoice_date AS t, 1 AS k, invoice,
+        -sum(quantity) AS units FROM cancellations WHERE quantity < 0 GROUP BY ALL
+        UNION ALL SELECT customer_id, stock_code, invoice_date, 0, invoice_id, sum(quantity)
+        FROM sales GROUP BY ALL""",
+    "return_runs": """SELECT *, sum(CASE WHEN k = 0 THEN units ELSE 0 END) OVER w AS s,
+        sum(CASE WHEN k = 1 THEN units ELSE 0 END) OVER w AS c FROM return_events
+        WHERE customer_id IS NOT NULL AND stock_code IS NOT NULL AND t IS NOT NULL
+        WINDOW w AS (PARTITION BY customer_id, stock_code ORDER BY t, k, invoice
+            ROWS UNBOUNDED PRECEDING)""",
+    "return_short": """SELECT *, greatest(0, max(c - s) OVER (
+        PARTITION BY customer_id, stock_code ORDER BY t, k, invoice ROWS UNBOUNDED PRECEDING)) AS u
+        FROM return_runs""",
+    "return_given": """SELECT *, c - u AS e, units - u + coalesce(lag(u) OVER (
+        PARTITION BY customer_id, stock_code ORDER BY t, k, invoice), 0) AS given
+        FROM return_short""",
+    "return_links": """SELECT r.invoice AS cancellation, r.t AS cancelled_at, r.customer_id,
+        r.stock_code, s.invoice, s.t AS sold_at,
+        CAST(least(s.s, r.e) - greatest(s.s - s.units, r.e - r.given) AS BIGINT) AS units
+        FROM return_given r JOIN return_given s
+            ON r.customer_id = s.customer_id AND r.stock_code = s.stock_code AND r.k = 1 AND s.k = 0
+            AND s.s - s.units < r.e AND r.e - r.given < s.s
+        UNION ALL SELECT invoice, t, customer_id, stock_code, NULL, NULL,
+        CAST(units - given AS BIGINT) FROM return_given WHERE k = 1 AND given < units
+        UNION ALL SELECT invoice, t, customer_id, stock_code, NULL, NULL, CAST(units AS BIGINT)
+        FROM return_events WHERE k = 1 AND (customer_id IS NULL OR stock_code IS NULL OR t IS NULL)""",
     "rfm_base": """SELECT customer_id,
         CAST(date_diff('day', CAST(max(invoice_date) AS DATE),
             (SELECT CAST(max(invoice_date) AS DATE) FROM sales)) + 1 AS INTEGER) AS recency,
@@ -410,6 +435,20 @@ def _statements() -> dict[str, str]:
             AND COALESCE({ODD_CODE} AND invoice NOT LIKE 'C%' AND NOT {STOCK}, false) = false
             AND COALESCE(customer_id IS NOT NULL AND invoice NOT LIKE 'C%' AND quantity > 0
                 AND price > 0 AND NOT {ODD_CODE}, false) = false""",
+        "cancellation_links": "SELECT * FROM return_links",
+        "cancellation_link_summary": f"""SELECT *, {pct('units_linked', 'units_cancelled', 2)}
+            AS pct_units_linked FROM (SELECT count(*) AS n_cancelled,
+            count(*) FILTER (linked > 0) AS n_linked,
+            {big('coalesce(sum(units), 0)')} AS units_cancelled,
+            {big('coalesce(sum(linked), 0)')} AS units_linked FROM (
+            SELECT sum(units) AS units, coalesce(sum(units) FILTER (invoice IS NOT NULL), 0) AS linked
+            FROM return_links GROUP BY cancellation, customer_id, stock_code))""",
+        "sales_net_of_cancellations": f"""SELECT *, units_sold - units_returned AS units_kept FROM (
+            SELECT s.customer_id, s.stock_code, s.invoice, s.t AS sold_at,
+            {big('s.units')} AS units_sold, {big('sum(l.units)')} AS units_returned
+            FROM return_events s JOIN return_links l ON l.customer_id = s.customer_id
+                AND l.stock_code = s.stock_code AND l.invoice = s.invoice AND l.sold_at = s.t
+            WHERE s.k = 0 GROUP BY ALL)""",
         "clean_sales": """SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price,
             CAST(line_amount AS DOUBLE) AS line_amount) FROM sales""",
         "clean_audit": f"""SELECT *, n_raw - n_total_routed AS n_rejected,

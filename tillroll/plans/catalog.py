@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.codes import SEGMENT_CODES
-from ..operators import cleaning, history as hist, profiling, quality, scoring
+from ..operators import cleaning, history as hist, profiling, quality, returns, scoring
 from ..sources.readers import from_workbook_headers, union_sheets
 from ..sources.schemas import RAW, WORKBOOK_HEADERS
 from . import charts, kpis, movements, products, segments
@@ -142,6 +142,9 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "clean_sales": lambda w: w.sales(),
     "clean_rejected": _bucket("rejected"),
     "clean_audit": lambda w: cleaning.audit(w.raw()),
+    "cancellation_links": lambda w: w.cancellation_links(),
+    "cancellation_link_summary": lambda w: returns.link_summary(w.cancellation_links()),
+    "sales_net_of_cancellations": lambda w: returns.net_sales(w.raw(), w.cancellation_links()),
     # scoring and segments
     "rfm_base": lambda w: w.rfm_base(),
     "rfm_scores": lambda w: w.scored(),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import cleaning, history as hist, scoring
+from ..operators import cleaning, history as hist, returns, scoring
 from ..operators.visits import first_purchases, visits
 from ..sources.scratch import Stages
 from ..sources.tables import retail_lines
@@ -34,6 +34,14 @@ class Warehouse:
     def first_purchases(self) -> DataFrame:
         return first_purchases(self.visits())
 
+    def _store(self, frame: DataFrame, name: str) -> DataFrame:
+        return self._stages.table(name, lambda: frame)
+
+    def cancellation_links(self) -> DataFrame:
+        return self._stages.table(
+            "cancellation_links", lambda: returns.cancellation_links(self.raw(), self._store)
+        )
+
     def rfm_base(self) -> DataFrame:
         return self._stages.table("rfm_base", lambda: self._scorable())
 
