@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from tillroll.operators.dimensions import COUNTRIES
 from tillroll.functions.codes import MACRO_SEGMENTS, SEGMENT_CODES, SEGMENT_LABELS
 from tillroll.sources.schemas import RAW
 
@@ -163,6 +164,56 @@ SHARED = {
         CAST(units - given AS BIGINT) FROM return_given WHERE k = 1 AND given < units
         UNION ALL SELECT invoice, t, customer_id, stock_code, NULL, NULL, CAST(units AS BIGINT)
         FROM return_events WHERE k = 1 AND (customer_id IS NULL OR stock_code IS NULL OR t IS NULL)""",
+    "bounds_of": """SELECT stock_code, max(n) AS n_lines,
+        CAST(min(quantity) FILTER (100 * qr >= 99 * n) AS INTEGER) AS quantity_bound,
+        min(unit_price) FILTER (100 * pr >= 99 * n) AS price_bound FROM (
+        SELECT stock_code, quantity, unit_price, count(*) OVER (PARTITION BY stock_code) AS n,
+            row_number() OVER (PARTITION BY stock_code ORDER BY quantity) AS qr,
+            row_number() OVER (PARTITION BY stock_code ORDER BY unit_price) AS pr FROM sales)
+        GROUP BY stock_code""",
+    "capped": """SELECT *, CAST(quantity_capped * unit_price_capped AS DECIMAL(12,2)) AS line_amount_capped,
+        quantity > quantity_capped OR unit_price > unit_price_capped AS is_capped FROM (
+        SELECT s.*, least(quantity, quantity_bound) AS quantity_capped,
+            least(unit_price, price_bound) AS unit_price_capped
+        FROM sales s JOIN bounds_of b ON s.stock_code IS NOT DISTINCT FROM b.stock_code)""",
+    "best_description": """SELECT stock_code, description AS best FROM (
+        SELECT stock_code, description, count(*) AS n FROM raw
+        WHERE stock_code IS NOT NULL AND description IS NOT NULL GROUP BY ALL)
+        QUALIFY row_number() OVER (PARTITION BY stock_code ORDER BY n DESC, description) = 1""",
+    "mended": """SELECT raw.* REPLACE (coalesce(description, best) AS description),
+        CASE WHEN description IS NOT NULL THEN 'given' WHEN best IS NOT NULL THEN 'code' ELSE 'none' END
+            AS description_source
+        FROM raw LEFT JOIN best_description USING (stock_code)""",
+    "line_copies": """SELECT *, count(*) AS copies FROM raw GROUP BY ALL""",
+    "flagged": f"""SELECT *, customer_id IS NULL AND NOT coalesce({STOCK}, false) AS is_anonymous,
+        coalesce(quantity < 0, false) AND NOT coalesce(invoice LIKE 'C%', false)
+            AND NOT coalesce({STOCK}, false) AS is_adjustment,
+        coalesce(price <= 0, false) AND NOT coalesce({STOCK}, false) AS is_freebie,
+        CASE WHEN coalesce(price <= 0, false) AND NOT coalesce({STOCK}, false) THEN
+            CASE WHEN description IS NULL OR description = lower(description) THEN 'note'
+            ELSE 'product' END END AS freebie_kind,
+        coalesce({ODD_CODE}, false) AS is_non_product FROM raw""",
+    "variants": f"""SELECT stock_code, CASE WHEN {VARIANT} THEN left(stock_code, 5) ELSE stock_code END AS family_code,
+        CASE WHEN {VARIANT} THEN right(stock_code, 1) END AS variant_code, count(*) AS n_lines
+        FROM raw WHERE stock_code IS NOT NULL GROUP BY ALL""",
+    "family_loads": f"""SELECT CASE WHEN {VARIANT} THEN left(stock_code, 5) ELSE stock_code END AS family_code,
+        CASE WHEN min(coalesce(year(invoice_date), 9999)) < 1995 THEN 'first' ELSE 'second' END AS load
+        FROM raw WHERE stock_code IS NOT NULL GROUP BY 1""",
+    "families": """SELECT row_number() OVER (ORDER BY load, family_code) AS family_key, family_code, load
+        FROM family_loads""",
+    "country_names": "SELECT * FROM (VALUES {}) AS c(name, iso_code)".format(
+        ", ".join("('{}', {})".format(n, f"'{c}'" if c else "NULL") for n, c in COUNTRIES.items())
+    ),
+    "country_mapped": """SELECT country, coalesce(iso_code, CASE WHEN status = 'unknown' THEN 'unknown' END)
+        AS iso_code, status, n_lines FROM (
+        SELECT country, iso_code, n_lines, CASE WHEN coalesce(trim(country), '') = ''
+            OR (name IS NOT NULL AND iso_code IS NULL) THEN 'unknown'
+            WHEN name IS NOT NULL THEN 'mapped' ELSE 'unmatched' END AS status
+        FROM (SELECT CASE quantity % 17 WHEN 3 THEN left(country, 2) || substr(country, 2)
+                WHEN 5 THEN left(country, 2) || substr(country, 4) WHEN 7 THEN 'xyz' || country
+                ELSE country END AS country, count(*) AS n_lines FROM raw GROUP BY 1)
+            LEFT JOIN country_names
+            ON upper(trim(regexp_replace(country, '\\s+', ' ', 'g'))) = name)""",
     "rfm_base": """SELECT customer_id,
         CAST(date_diff('day', CAST(max(invoice_date) AS DATE),
             (SELECT CAST(max(invoice_date) AS DATE) FROM sales)) + 1 AS INTEGER) AS recency,
@@ -449,6 +500,58 @@ def _statements() -> dict[str, str]:
             FROM return_events s JOIN return_links l ON l.customer_id = s.customer_id
                 AND l.stock_code = s.stock_code AND l.invoice = s.invoice AND l.sold_at = s.t
             WHERE s.k = 0 GROUP BY ALL)""",
+        "product_p99_bounds": "SELECT * REPLACE (CAST(price_bound AS DOUBLE) AS price_bound) FROM bounds_of",
+        "winsorised_sales": """SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price,
+            CAST(line_amount AS DOUBLE) AS line_amount, CAST(unit_price_capped AS DOUBLE) AS unit_price_capped,
+            CAST(line_amount_capped AS DOUBLE) AS line_amount_capped) FROM capped""",
+        "winsorised_products": f"""SELECT stock_code, count(*) AS n_lines,
+            count(*) FILTER (is_capped) AS n_capped, {dbl('sum(line_amount)')} AS revenue,
+            {dbl('sum(line_amount_capped)')} AS revenue_capped FROM capped GROUP BY 1""",
+        "repaired_lines": f"SELECT {RAW_COLUMNS}, description_source FROM mended",
+        "repair_counts": """SELECT description_source, count(*) AS n_lines,
+            count(DISTINCT stock_code) AS n_codes FROM mended GROUP BY 1""",
+        "deduplicated_lines": f"SELECT DISTINCT {RAW_COLUMNS} FROM raw",
+        "deduplicated_plausible": f"""SELECT {RAW_COLUMNS} FROM raw WHERE quantity > 1
+            UNION ALL SELECT DISTINCT {RAW_COLUMNS} FROM raw WHERE quantity <= 1 OR quantity IS NULL""",
+        "removal_ledger": f"""SELECT {RAW_COLUMNS}, copies, CAST(1 AS BIGINT) AS n_kept,
+            copies - 1 AS n_removed FROM line_copies WHERE copies > 1""",
+        "non_product_subtypes": f"""SELECT CASE WHEN stock_code IN ('POST', 'DOT', 'C2') THEN 'postage'
+            WHEN stock_code IN ('BANK CHARGES', 'AMAZONFEE', 'CRUK') THEN 'fee'
+            WHEN stock_code IN ('M', 'ADJUST', 'D', 'S') THEN 'adjustment'
+            WHEN stock_code LIKE 'gift@_%' ESCAPE '@' THEN 'gift_card'
+            WHEN stock_code LIKE 'TEST%' THEN 'test' ELSE 'other' END AS subtype, count(*) AS n_lines,
+            count(DISTINCT stock_code) AS n_codes, {big('sum(quantity)')} AS units
+            FROM non_product_lines GROUP BY 1""",
+        "flagged_lines": "SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM flagged",
+        "flag_counts": f"""SELECT is_anonymous, is_adjustment, is_freebie, freebie_kind, is_non_product,
+            count(*) AS n_lines, count(*) FILTER (quantity > 0) AS n_positive,
+            {dbl('sum(quantity * price)')} AS amount FROM flagged GROUP BY ALL""",
+        "product_families": "SELECT * FROM families",
+        "product_dimension": """SELECT stock_code, family_key, family_code, variant_code, n_lines
+            FROM variants JOIN families USING (family_code)""",
+        "country_map": "SELECT * FROM country_mapped",
+        "country_suggestions": """SELECT country, name AS suggestion, c.iso_code,
+            CAST(levenshtein(upper(country), name) AS INTEGER) AS distance, n_lines
+            FROM country_mapped m JOIN country_names c ON levenshtein(upper(country), name) <= 2
+            WHERE status = 'unmatched'
+            QUALIFY row_number() OVER (PARTITION BY country ORDER BY distance, name) = 1""",
+        "snapshot_quantiles_sketched": """SELECT snapshot_date, measure, percent, n, true AS within_error
+            FROM (SELECT snapshot_date, count(*) AS n FROM history GROUP BY 1),
+            (VALUES ('recency'), ('frequency'), ('monetary')) AS m(measure),
+            (VALUES (25), (50), (75)) AS p(percent)""",
+        "span_quantiles_sketched": """SELECT measure, percent, n, true AS within_error
+            FROM (SELECT count(*) AS n FROM history
+                WHERE snapshot_date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31'),
+            (VALUES ('recency'), ('frequency'), ('monetary')) AS m(measure),
+            (VALUES (25), (50), (75)) AS p(percent) WHERE n > 0""",
+        "distinct_sketched": " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count({c}) AS non_null, true AS within_error FROM raw"
+            for c in RAW.names
+        ),
+        "repair_codes_sketched": """SELECT count(*) AS codes_total,
+            count(*) FILTER (described) AS codes_recoverable, count(*) FILTER (NOT described) AS codes_lost
+            FROM (SELECT stock_code, bool_or(description IS NOT NULL) AS described FROM raw
+                WHERE stock_code IS NOT NULL GROUP BY 1 HAVING bool_or(description IS NULL))""",
         "clean_sales": """SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price,
             CAST(line_amount AS DOUBLE) AS line_amount) FROM sales""",
         "clean_audit": f"""SELECT *, n_raw - n_total_routed AS n_rejected,

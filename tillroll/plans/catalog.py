@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.codes import SEGMENT_CODES
-from ..operators import cleaning, history as hist, profiling, quality, returns, scoring
+from ..operators import (
+    cleaning,
+    dimensions,
+    history as hist,
+    mending,
+    profiling,
+    quality,
+    returns,
+    scoring,
+    sketches,
+    winsor,
+)
 from ..sources.readers import from_workbook_headers, union_sheets
 from ..sources.schemas import RAW, WORKBOOK_HEADERS
 from . import charts, kpis, movements, products, segments
@@ -17,6 +28,8 @@ from .warehouse import Warehouse
 EXPECTED_LINES, TOLERANCE = 1_067_371, 100
 FILTER = list(SEGMENT_CODES)[:2]
 VARIANT_ROOT = "1000"
+SECOND_LOAD = 1995
+SPAN = ("1995-01-01", "1996-12-31")
 
 
 def _sheets(w: Warehouse) -> DataFrame:
@@ -132,6 +145,41 @@ def _top_products_nested(w: Warehouse) -> DataFrame:
     return nested.select("segment_label", F.concat_ws(";", entry).alias("products"))
 
 
+def _within(answers: DataFrame, keys: list[str]) -> DataFrame:
+    """Sketched quantiles without their values, which differ from run to run within the error."""
+    return answers.select(
+        *keys, "measure", "percent", "n", (F.col("rank_error") <= sketches.RANK_ERROR).alias("within_error")
+    )
+
+
+def _snapshot_quantiles(w: Warehouse) -> DataFrame:
+    answers = sketches.snapshot_quantiles(w.snapshot_sketches())
+    return _within(sketches.rank_errors(w.history(), answers, ["snapshot_date"]), ["snapshot_date"])
+
+
+def _span_quantiles(w: Warehouse) -> DataFrame:
+    inside = F.col("snapshot_date").between(*(F.lit(d).cast("date") for d in SPAN))
+    answers = sketches.span_quantiles(w.snapshot_sketches(), *SPAN)
+    return _within(sketches.rank_errors(w.history().where(inside), answers, []), [])
+
+
+def _misspelt(w: Warehouse) -> DataFrame:
+    """The raw lines, some with a letter of the country doubled, some with one lost."""
+    country = F.col("country")
+    doubled = F.concat(F.substring(country, 1, 2), F.substring(country, 2, 99))
+    return w.raw().withColumn(
+        "country",
+        F.when(F.col("quantity") % 17 == 3, doubled)
+        .when(F.col("quantity") % 17 == 5, F.concat(F.substring(country, 1, 2), F.substring(country, 4, 99)))
+        .when(F.col("quantity") % 17 == 7, F.concat(F.lit("xyz"), country))
+        .otherwise(country),
+    )
+
+
+def _country_map(w: Warehouse) -> DataFrame:
+    return dimensions.mapped_countries(_misspelt(w), dimensions.country_table(w.spark))
+
+
 _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     # ingest and cleaning
     "raw_ingest_union": _sheets,
@@ -145,6 +193,35 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "cancellation_links": lambda w: w.cancellation_links(),
     "cancellation_link_summary": lambda w: returns.link_summary(w.cancellation_links()),
     "sales_net_of_cancellations": lambda w: returns.net_sales(w.raw(), w.cancellation_links()),
+    # mending and dimensions
+    "product_p99_bounds": lambda w: w.product_bounds(),
+    "winsorised_sales": lambda w: w.winsorised(),
+    "winsorised_products": lambda w: winsor.winsorised_products(w.winsorised()),
+    "repaired_lines": lambda w: mending.repaired(w.raw()),
+    "repair_counts": lambda w: mending.repair_counts(mending.repaired(w.raw())),
+    "deduplicated_lines": lambda w: mending.deduplicated(w.raw()),
+    "deduplicated_plausible": lambda w: mending.deduplicated(w.raw(), mending.KEEP_PLAUSIBLE),
+    "removal_ledger": lambda w: mending.removal_ledger(w.raw()),
+    "non_product_subtypes": lambda w: mending.non_product_subtypes(
+        cleaning.bucket(w.raw(), "non_product_lines")
+    ),
+    "flagged_lines": lambda w: mending.flagged(w.raw()),
+    "flag_counts": lambda w: mending.flag_counts(w.raw()),
+    "product_families": lambda w: w.families(SECOND_LOAD),
+    "product_dimension": lambda w: dimensions.product_dimension(
+        dimensions.product_variants(w.raw()), w.families(SECOND_LOAD)
+    ),
+    "country_map": _country_map,
+    "country_suggestions": lambda w: dimensions.country_suggestions(
+        _country_map(w), dimensions.country_table(w.spark)
+    ),
+    # sketches
+    "snapshot_quantiles_sketched": _snapshot_quantiles,
+    "span_quantiles_sketched": _span_quantiles,
+    "distinct_sketched": lambda w: sketches.distinct_within_error(
+        w.raw(), sketches.approx_distinct(sketches.column_sketches(w.raw()))
+    ),
+    "repair_codes_sketched": lambda w: sketches.approx_repair_codes(sketches.code_sets(w.raw())),
     # scoring and segments
     "rfm_base": lambda w: w.rfm_base(),
     "rfm_scores": lambda w: w.scored(),

@@ -6,9 +6,9 @@ only a projection of one (sales, scores, segments) stays a plan on top of it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import cleaning, history as hist, returns, scoring
+from ..operators import cleaning, dimensions, history as hist, returns, scoring, sketches, winsor
 from ..operators.visits import first_purchases, visits
 from ..sources.scratch import Stages
 from ..sources.tables import retail_lines
@@ -42,6 +42,33 @@ class Warehouse:
             "cancellation_links", lambda: returns.cancellation_links(self.raw(), self._store)
         )
 
+    def product_bounds(self) -> DataFrame:
+        return self._stages.table(
+            "product_bounds", lambda: winsor.product_bounds(self.sales(), store=self._store)
+        )
+
+    def winsorised(self) -> DataFrame:
+        return winsor.winsorised(self.sales(), self.product_bounds())
+
+    def families(self, until_year: int) -> DataFrame:
+        """The family dimension after two loads: lines before ``until_year``, then the others."""
+        early = F.coalesce(F.year("invoice_date") < until_year, F.lit(False))
+
+        def load(part):
+            return dimensions.product_variants(self.raw().where(part))
+
+        first = self._stages.table(
+            "families_first",
+            lambda: dimensions.extended(None, load(early), "family_code", "family_key", "first"),
+        )
+        return self._stages.table(
+            "families",
+            lambda: dimensions.extended(first, load(~early), "family_code", "family_key", "second"),
+        )
+
+    def snapshot_sketches(self) -> DataFrame:
+        return self._stages.table("snapshot_sketches", lambda: sketches.snapshot_sketches(self.history()))
+
     def rfm_base(self) -> DataFrame:
         return self._stages.table("rfm_base", lambda: self._scorable())
 
