@@ -39,7 +39,9 @@ FILTER_BITS = 1 << 26
 #: Bytes of text looked at together.
 CHUNK = 1 << 20
 #: Words a task knows and distinct phrases it holds before it hands on what it has; codes fit 21 bits.
-KNOWN, HELD = 500_000, 1_000_000
+KNOWN, HELD = 500_000, 800_000
+#: Phrases handed on at a time.
+SENT = 50_000
 _SHIFT = 21
 #: Groups a language's phrases are ranked in before the groups' first ones are ranked together.
 SALTS = (1024, 32)
@@ -207,14 +209,17 @@ def candidates(plain: DataFrame, frequent: DataFrame, size: int, least: int) ->
             held[lang] = [(keys, np.minimum(counts, least))]
             return held[lang][0]
 
-        def flush(lang: bytes) -> pa.RecordBatch:
+        def flush(lang: bytes) -> Iterator[pa.RecordBatch]:
             keys, counts = merged(lang)
-            names = known[lang].names
-            parts = [
-                [names[c] for c in (keys >> (_SHIFT * k)) & ((1 << _SHIFT) - 1)] for k in reversed(range(size))
-            ]
             del held[lang]
-            return _rows(lang, list(map(b" ".join, zip(*parts))), counts)
+            names = known[lang].names
+            for at in range(0, len(keys), SENT):
+                some = keys[at : at + SENT]
+                parts = [
+                    [names[c] for c in ((some >> (_SHIFT * k)) & ((1 << _SHIFT) - 1)).tolist()]
+                    for k in reversed(range(size))
+                ]
+                yield _rows(lang, list(map(b" ".join, zip(*parts))), counts[at : at + SENT])
 
         for batch in batches:
             for lang, tokens in token_lists(batch):
@@ -240,13 +245,13 @@ def candidates(plain: DataFrame, frequent: DataFrame, size: int, least: int) ->
                     own = held.setdefault(lang, [])
                     own.append((keys, counts))
                     if sum(len(k) for k, _ in own) > HELD and len(merged(lang)[0]) > HELD // 2:
-                        yield flush(lang)
+                        yield from flush(lang)
                 if len(words.names) > KNOWN:
                     if lang in held:
-                        yield flush(lang)
+                        yield from flush(lang)
                     del known[lang]
         for lang in list(held):
-            yield flush(lang)
+            yield from flush(lang)
 
     found = plain.mapInArrow(run, "lang string, phrase string, n long")
     summed = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
