@@ -197,7 +197,7 @@ SHARED = {
         CASE WHEN {VARIANT} THEN right(stock_code, 1) END AS variant_code, count(*) AS n_lines
         FROM raw WHERE stock_code IS NOT NULL GROUP BY ALL""",
     "family_loads": f"""SELECT CASE WHEN {VARIANT} THEN left(stock_code, 5) ELSE stock_code END AS family_code,
-        CASE WHEN min(coalesce(year(invoice_date), 9999)) < 1995 THEN 'first' ELSE 'second' END AS load
+        CASE WHEN min(coalesce(year(invoice_date), 9999)) < 1998 THEN 'first' ELSE 'second' END AS load
         FROM raw WHERE stock_code IS NOT NULL GROUP BY 1""",
     "families": """SELECT row_number() OVER (ORDER BY load, family_code) AS family_key, family_code, load
         FROM family_loads""",

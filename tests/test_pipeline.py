@@ -1,3 +1,5 @@
+from collections import Counter
+from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -50,7 +52,9 @@ def test_failed_gate_empties_customers_but_keeps_the_history(spark, tmp_path, ra
     strict = pl.Pipeline(spark, str(tmp_path), {"sales": [quality.row_count(5, 9)]})
     with pytest.raises(quality.GateFailed, match="row_count"):
         strict.run(good)
-    assert not Path(tmp_path / pl.CUSTOMERS).exists()
+    for table in (pl.CUSTOMERS, pl.VISITS):
+        assert strict.read(table).count() == 0
+    assert "r_score" in strict.read(pl.CUSTOMERS).columns
     assert strict.read(pl.HISTORY).count() == 1
 
 
@@ -116,3 +120,52 @@ def test_stage_is_reused_until_the_input_changes(spark, tmp_path):
     assert len(builds) == 1
     rows(40)
     assert stages.table("t", build).count() == 40 and len(builds) == 2
+
+
+def rows_of(frame):
+    return Counter(map(tuple, frame.select(*sorted(frame.columns)).collect()))
+
+
+def files_of(folder):
+    return {str(p.relative_to(folder)) for p in Path(folder).rglob("*.parquet")}
+
+
+def same_tables(one, other):
+    for table in (pl.RAW_LINES, pl.SALES, pl.SIDE_BUCKETS, pl.VISITS, pl.HISTORY):
+        assert rows_of(one.read(table)) == rows_of(other.read(table)), table
+    assert rows_of(one.read(pl.CUSTOMERS).drop("computed_at")) == rows_of(other.read(pl.CUSTOMERS).drop("computed_at"))
+
+
+@pytest.mark.parametrize("calendar", ["month_end", "iterative"])
+def test_append_equals_a_full_run_and_leaves_early_files(spark, tmp_path, calendar):
+    raw = Warehouse(spark, DATA).raw()
+    # the load has late lines, and some lines of early invoices of one month
+    late = (F.col("invoice_date") >= "1997-11-17") | ((F.trunc("invoice_date", "month") == "1997-03-01") & (F.col("quantity") % 3 == 0))
+    late = F.coalesce(late, F.lit(False))
+    run, whole = (pl.Pipeline(spark, str(tmp_path / name)) for name in ("parts", "whole"))
+    run.run(raw.where(~late), calendar)
+    before = {t: files_of(run.path(t)) for t in (pl.RAW_LINES, pl.SALES, pl.VISITS, pl.HISTORY)}
+    told = run.append(raw.where(late), calendar)
+    whole.run(raw, calendar)
+    same_tables(run, whole)
+    assert str(told.visit_months[0]) == "1997-03-01" and 5 < len(told.visit_months) < 60
+    assert told.snapshots and str(told.snapshots[0]) >= "1997-03-01"
+    assert before[pl.RAW_LINES] <= files_of(run.path(pl.RAW_LINES)) and before[pl.SALES] <= files_of(run.path(pl.SALES))
+    for table, key, written in ((pl.VISITS, pl.VISIT_MONTH, told.visit_months), (pl.HISTORY, "snapshot_date", told.snapshots)):
+        touched = tuple(f"{key}={d}" for d in written)
+        kept = {f for f in before[table] if not f.startswith(touched)}
+        assert kept and kept <= files_of(run.path(table))
+    assert told.buckets["n_raw"] == raw.where(late).count()
+
+
+def test_append_before_all_sales_and_without_sales(spark, tmp_path, raw_of):
+    later, early = raw_of({"customer_id": 1}), raw_of({"invoice_date": datetime(2010, 1, 3), "invoice": "4"})
+    run, whole = (pl.Pipeline(spark, str(tmp_path / name)) for name in ("parts", "whole"))
+    run.run(later)
+    told = run.append(early)
+    whole.run(later.union(early))
+    same_tables(run, whole)
+    assert len(told.snapshots) == 17
+    nothing = run.append(raw_of({"quantity": -1}))
+    assert nothing.snapshots == [] and nothing.visit_months == [] and nothing.buckets["n_sales"] == 0
+    assert run.read(pl.RAW_LINES).count() == 3 and run.read(pl.SALES).count() == 2

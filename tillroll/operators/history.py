@@ -8,6 +8,8 @@ never paired with snapshots.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.codes import macro_of
@@ -53,8 +55,14 @@ def _calendar_between(spark: SparkSession, first, last, kind: str) -> DataFrame:
     return F.broadcast(_calendar(bounds, kind))  # one row per month
 
 
-def history_base(visits: DataFrame, kind: str = MONTH_END) -> DataFrame:
-    """Recency, frequency and monetary value per snapshot and customer known by then."""
+def history_base(
+    visits: DataFrame, kind: str = MONTH_END, states: DataFrame | None = None, since: date | None = None
+) -> DataFrame:
+    """Recency, frequency and monetary value per snapshot and customer known by then.
+
+    ``states``, the history's rows of the snapshot ``since``, stand for all sales up to it; then only the
+    snapshots behind it are built, and only later visits are read.
+    """
     first, last = visits.agg(F.min("sale_date"), F.max("sale_date")).first()
     if first is None:
         return _empty(visits.sparkSession)
@@ -65,14 +73,25 @@ def history_base(visits: DataFrame, kind: str = MONTH_END) -> DataFrame:
     seen = visits.join(calendar, F.trunc("sale_date", "month") == F.col("month")).withColumn(
         "k", F.when(F.col("sale_date") <= F.col("snapshot_date"), F.col("k")).otherwise(F.col("k") + 1)
     )
-    changes = (
-        seen.where(F.col("k") < months)
-        .groupBy("customer_id", "k")
-        .agg(
-            F.count_if("opens").alias("frequency"),
-            F.sum("amount").alias("monetary"),
-            F.max("sale_date").alias("last"),
+    sold = seen.where(F.col("k") < months).select(
+        "customer_id",
+        "k",
+        F.col("opens").cast("bigint").alias("frequency"),
+        F.col("amount").alias("monetary"),
+        F.col("sale_date").alias("last"),
+    )
+    if states is not None:
+        following = (since.year - first.year) * 12 + since.month - first.month + 1
+        carried = states.select(
+            "customer_id",
+            F.lit(following).alias("k"),
+            "frequency",
+            "monetary",
+            F.date_sub(F.lit(since), F.col("recency") - 1).alias("last"),
         )
+        sold = sold.where(F.col("last") > F.lit(since)).unionByName(carried.where(F.col("k") < months))
+    changes = sold.groupBy("customer_id", "k").agg(
+        F.sum("frequency").alias("frequency"), F.sum("monetary").alias("monetary"), F.max("last").alias("last")
     )
     customer = Window.partitionBy("customer_id").orderBy("k")
     so_far = customer.rowsBetween(Window.unboundedPreceding, 0)

@@ -20,10 +20,23 @@ def visits(sales: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("lines"),
         F.sum("line_amount").cast(MONEY).alias("amount"),
     )
+    return _opened(daily)
+
+
+def _opened(daily: DataFrame) -> DataFrame:
     invoice = Window.partitionBy("customer_id", "invoice_id")
     return daily.withColumn("opens", F.col("sale_date") == F.min("sale_date").over(invoice))
 
 
+def merged_visits(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """All visits of the invoices in ``fresh``, with what ``stored`` has of them."""
+    touched = fresh.select("customer_id", "invoice_id").distinct()
+    old = stored.join(touched, ["customer_id", "invoice_id"], "left_semi")
+    columns = ("customer_id", "invoice_id", "sale_date", "lines", "amount")
+    daily = old.select(*columns).unionByName(fresh.select(*columns)).groupBy(*columns[:3])
+    return _opened(daily.agg(F.sum("lines").alias("lines"), F.sum("amount").cast(MONEY).alias("amount")))
+
+
 def first_purchases(visits: DataFrame) -> DataFrame:
     first = F.min("sale_date")
     return visits.groupBy("customer_id").agg(

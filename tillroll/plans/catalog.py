@@ -28,7 +28,7 @@ from .warehouse import Warehouse
 EXPECTED_LINES, TOLERANCE = 1_067_371, 100
 FILTER = list(SEGMENT_CODES)[:2]
 VARIANT_ROOT = "1000"
-SECOND_LOAD = 1995
+SECOND_LOAD = 1998
 SPAN = ("1995-01-01", "1996-12-31")
 
 
