@@ -200,6 +200,16 @@ def test_tokens_around_separators_that_are_no_white_space():
             assert np.frombuffer(own.encode(text), own.kind).tolist() == expected, text
 
 
+def test_texts_encoded_together_equal_the_library():
+    library = Tokenizer.from_file(queries.WORD_TOKENIZER)
+    rng = np.random.default_rng(9)
+    letters = [chr(c) for c in range(32, 0x250)] + list("ΣσςАБвг日本語ع\u0301\u0308İıßſﬁ½²٣'’\u00a0\u2003\u200b😀👍🏽\x00\x1d,.!?-_") + [" "] * 60
+    texts = ["".join(rng.choice(letters, rng.integers(0, 60))) for _ in range(3000)] + ["Plain words, capitals. And STOPS..,", "", "word " * 9000]
+    found = list(token_files.WordTokenizer(queries.WORD_TOKENIZER).encode_all(texts))
+    expected = [np.array(library.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert found == expected
+
+
 def test_values_of_all_sizes_survive_packing():
     for n in (0, 1, 3, 4, 1001):
         values = np.random.default_rng(n).integers(0, 2 ** np.arange(1, n + 1).clip(1, 32), n, dtype=np.uint64)
@@ -286,6 +296,16 @@ def test_language_model(spark, docs, documents, empty):
         assert all(r["score"] < 0 for r in found)
 
 
+def test_head_words_without_a_cut_through_equal_counts(spark):
+    rows = [(f"w{i}".encode(), 1 + i // 4) for i in range(400)] + [(b"", 90_000), (b"the", 100_000)]
+    counts = spark.createDataFrame(rows, "word binary, n long")
+    order = sorted(rows, key=lambda r: (-r[1], r[0]))
+    for most in (1, 2, 5, 6, 9, 100, 1000):
+        found = [(bytes(r["word"]), r["n"]) for r in language_model.head_words(counts, most)]
+        assert found == order[: len(found)] and most - 4 < len(found) <= most or found == order
+    assert language_model.head_words(counts.limit(0)) == []
+
+
 def test_model_probabilities_add_up():
     words = [b"", *(b"w%d" % i for i in range(1500))]
     v = language_model.Vocabulary(words, [1600 - i for i in range(1501)], 10**7, 2000)
