@@ -7,7 +7,7 @@ of a code, description or copy that makes up a large part of the lines.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -23,16 +23,38 @@ from ..sources.scratch import materialize
 from .stats import quantiles
 
 ROWS = "*"
+Store = Callable[[DataFrame, str], DataFrame]
 # places of the whole-number unit a numeric column is measured in
 NUMERIC = {"quantity": 0, "price": 3, "customer_id": 0}
 TEXT = ("invoice", "stock_code", "description", "country")
 
 
-def column_profile(raw: DataFrame) -> DataFrame:
+def column_profile(raw: DataFrame, store: Store = materialize) -> DataFrame:
     """(column_name, metric, value) with non-null and distinct count of every column, length
-    range of texts, and range, mean, median and deviation of numbers."""
-    texts = [_text_profile(raw, c) for c in (*TEXT, "invoice_date")]
-    return reduce(DataFrame.unionByName, texts, _number_profile(raw))
+    range of texts, and range, mean, median and deviation of numbers.
+
+    The lines are read once: every column's values are counted together and stored.
+    """
+    each = [
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("text"), F.lit(None).cast("bigint").alias("v"))
+        for c in (*TEXT, "invoice_date")
+    ]
+    each += [
+        F.struct(
+            F.lit(c).alias("column_name"), F.lit(None).cast("string").alias("text"),
+            (F.col(c) * 10**places).cast("bigint").alias("v"),
+        )
+        for c, places in NUMERIC.items()
+    ]
+    values = store(
+        raw.select(F.explode(F.array(*each)).alias("u"))
+        .select("u.*")
+        .where(F.coalesce("text", F.col("v").cast("string")).isNotNull())
+        .groupBy("column_name", "text", "v")
+        .agg(F.count(ROWS).alias("n")),
+        "profile_values",
+    )
+    return _text_profile(values).unionByName(_number_profile(values.where(F.col("v").isNotNull())))
 
 
 def _long(row: DataFrame, cells: dict[tuple[str, str], str]) -> DataFrame:
@@ -48,42 +70,41 @@ def _long(row: DataFrame, cells: dict[tuple[str, str], str]) -> DataFrame:
     return row.select(F.explode(F.array(*parts)).alias("m")).select("m.*")
 
 
-def _text_profile(raw: DataFrame, column: str) -> DataFrame:
-    values = raw.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
-    counted = values.groupBy("v").agg(F.count(ROWS).alias("n"))
-    metrics = {"non_null": F.coalesce(F.sum("n"), F.lit(0)), "unique": F.count(ROWS)}
-    if column in TEXT:
-        metrics |= {"min_length": F.min(F.length("v")), "max_length": F.max(F.length("v"))}
-    row = counted.agg(*[m.alias(name) for name, m in metrics.items()])
-    return _long(row, {(column, name): name for name in metrics})
+def _text_profile(values: DataFrame) -> DataFrame:
+    aggregates, cells = [], {}
+    for column in (*TEXT, "invoice_date"):
+        here = F.col("column_name") == column
+        text = F.when(here, F.col("text"))
+        metrics = {"non_null": F.coalesce(F.sum(F.when(here, F.col("n"))), F.lit(0)), "unique": F.count(text)}
+        if column in TEXT:
+            metrics |= {"min_length": F.min(F.length(text)), "max_length": F.max(F.length(text))}
+        for name, metric in metrics.items():
+            cells[column, name] = f"{column}_{name}"
+            aggregates.append(metric.alias(f"{column}_{name}"))
+    return _long(values.agg(*aggregates), cells)
 
 
-def _number_profile(raw: DataFrame) -> DataFrame:
-    """All numeric columns from one stored table of their values and counts; the deviations
-    from the lines, by an aggregate that stays exact for large numbers close together."""
-    units = [
-        F.struct(
-            F.lit(c).alias("column_name"), (F.col(c) * 10**places).cast("bigint").alias("v")
-        )
-        for c, places in NUMERIC.items()
-    ]
-    values = materialize(
-        raw.select(F.explode(F.array(*units)).alias("u"))
-        .select("u.*")
-        .where(F.col("v").isNotNull())
-        .groupBy("column_name", "v")
-        .agg(F.count(ROWS).alias("n")),
-        "profile_values",
-    )
+def _number_profile(values: DataFrame) -> DataFrame:
+    """All numeric columns from their stored values and counts. Deviations are summed from the rounded
+    mean, so they stay exact for large numbers close together."""
     middles = quantiles(values, {"v": F.col("v")}, (50,), groups=("column_name",), weight="n")
+    exact = F.col("v").cast("decimal(38,0)")
+    means = {
+        r["column_name"]: int(r["mean"])
+        for r in values.groupBy("column_name")
+        .agg(F.round(F.sum(exact * F.col("n")) / F.sum("n"), 0).cast("decimal(38,0)").alias("mean"))
+        .collect()  # three columns
+    }
     aggregates, cells = [], {}
     for column, places in NUMERIC.items():
         unit = 10**places
         here = F.col("column_name") == column
         v, n = F.when(here, F.col("v")), F.when(here, F.col("n"))
-        exact = v.cast("decimal(38,0)")
-        total, rows = F.sum(exact * n), F.sum(n)
+        whole = v.cast("decimal(38,0)")
+        total, rows = F.sum(whole * n), F.sum(n)
         middle = middles.get(("v", (column,)), {}).get(50)
+        off = (v - means.get(column, 0)).cast("double")
+        inner = F.sum(off * off * n) - F.pow(F.sum(off * n), 2) / rows
         metrics = {
             "non_null": F.coalesce(rows, F.lit(0)),
             "unique": F.count(v),
@@ -91,15 +112,12 @@ def _number_profile(raw: DataFrame) -> DataFrame:
             "max": F.max(v).cast("decimal(24,3)") / unit,
             "mean": ratio(total, rows * unit, 2),
             "median": F.lit(None if middle is None else middle / unit).cast("decimal(38,6)"),
+            "stddev": F.when(rows > 1, F.round(F.sqrt(inner / (rows - 1)) / unit, 2)),
         }
         for name, metric in metrics.items():
             cells[column, name] = f"{column}_{name}"
             aggregates.append(metric.alias(f"{column}_{name}"))
-    spread = [
-        F.round(F.stddev_samp(F.col(c).cast("double")), 2).alias(f"{c}_stddev") for c in NUMERIC
-    ]
-    deviations = _long(raw.agg(*spread), {(c, "stddev"): f"{c}_stddev" for c in NUMERIC})
-    return _long(values.agg(*aggregates), cells).unionByName(deviations)
+    return _long(values.agg(*aggregates), cells)
 
 
 def missing_by_column(raw: DataFrame) -> DataFrame:
@@ -297,7 +315,7 @@ def sku_variants_of_root(raw: DataFrame, code: str, root_length: int = 5) -> Dat
     )
 
 
-def _repeated(raw: DataFrame) -> DataFrame:
+def repeated_lines(raw: DataFrame, store: Store = materialize) -> DataFrame:
     """Distinct lines that occur more than once, with their number of ``copies``.
 
     Equal lines have equal digests, so a digest seen once settles its line. Only digests are
@@ -306,7 +324,7 @@ def _repeated(raw: DataFrame) -> DataFrame:
     """
     digested = raw.select(*RAW.names, F.xxhash64(*RAW.names).alias("digest"))
     seen = digested.groupBy("digest").agg(F.count(ROWS).alias("n"))
-    suspects = materialize(seen.where(F.col("n") > 1).select("digest"), "repeated_digests")
+    suspects = store(seen.where(F.col("n") > 1).select("digest"), "repeated_digests")
     return (
         digested.join(suspects, "digest", "left_semi")
         .groupBy(*RAW.names)
@@ -315,10 +333,12 @@ def _repeated(raw: DataFrame) -> DataFrame:
     )
 
 
-def exact_duplicates_summary(raw: DataFrame) -> DataFrame:
-    """Distinct lines occurring more than once, and lines beyond each first copy."""
+def exact_duplicates_summary(raw: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """Distinct lines occurring more than once, and lines beyond each first copy. ``repeated``: stored
+    ``repeated_lines``, if there are."""
+    repeated = repeated_lines(raw) if repeated is None else repeated
     extra = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint")
-    counts = _repeated(raw).agg(
+    counts = repeated.agg(
         F.count(ROWS).alias("duplicated_values"), extra.alias("extra_lines")
     )
     total = raw.agg(F.count(ROWS)).scalar().alias("total")
@@ -329,7 +349,7 @@ def exact_duplicates_summary(raw: DataFrame) -> DataFrame:
     )
 
 
-def exact_duplicates_sample(raw: DataFrame, limit: int = 10) -> DataFrame:
+def exact_duplicates_sample(raw: DataFrame, limit: int = 10, repeated: DataFrame | None = None) -> DataFrame:
     """The first ``limit`` members of duplicate groups, every copy listed.
 
     Copies are adjacent in the order, so no group needs more than ``limit`` of them.
@@ -339,7 +359,7 @@ def exact_duplicates_sample(raw: DataFrame, limit: int = 10) -> DataFrame:
     by_all = [F.asc_nulls_last(c) for c in order]
     copy = F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(limit)).cast("int")))
     return (
-        _repeated(raw)
+        (repeated_lines(raw) if repeated is None else repeated)
         .orderBy(*by_all)
         .limit(limit)
         .select(*RAW.names, copy.alias("copy"))

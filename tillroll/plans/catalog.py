@@ -71,23 +71,17 @@ def _dq_raw(w: Warehouse) -> DataFrame:
 
 
 def _dq_clean(w: Warehouse) -> DataFrame:
-    raw = w.raw()
-    return (
-        quality.run_checks("sales", w.sales(), quality.sales_suite())
-        .unionByName(
-            quality.run_checks(
-                "stock_movements",
-                cleaning.bucket(raw, "stock_movements"),
-                quality.stock_movements_suite(),
-            )
-        )
-        .unionByName(
-            quality.run_checks(
-                "cancellations",
-                cleaning.bucket(raw, "cancellations"),
-                quality.cancellations_suite(),
-            )
-        )
+    """Sales, stock movements and cancellations from one pass over the raw lines."""
+    routed = cleaning.route(w.raw())
+    both = routed.select("*", F.col("invoice").alias("invoice_id"), F.col("price").alias("unit_price"))
+    return quality.run_suites(
+        both,
+        "bucket",
+        {
+            "sales": quality.sales_suite(),
+            "stock_movements": quality.stock_movements_suite(),
+            "cancellations": quality.cancellations_suite(),
+        },
     )
 
 
@@ -281,7 +275,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dq_code_coverage": _dq_code_coverage,
     "dq_constraints": _dq_constraints,
     # profiling
-    "column_profile": lambda w: profiling.column_profile(w.raw()),
+    "column_profile": lambda w: profiling.column_profile(w.raw(), w.store),
     "missing_by_column": lambda w: profiling.missing_by_column(w.raw()),
     "date_span": lambda w: profiling.date_span(w.raw()),
     "null_profile": lambda w: profiling.null_profile(w.raw()),
@@ -301,8 +295,8 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "sku_variant_summary": lambda w: profiling.sku_variant_summary(w.raw()),
     "sku_variant_letters": lambda w: profiling.sku_variant_letters(w.raw()),
     "sku_variants_of_root": lambda w: profiling.sku_variants_of_root(w.raw(), VARIANT_ROOT),
-    "exact_duplicates_summary": lambda w: profiling.exact_duplicates_summary(w.raw()),
-    "exact_duplicates_sample": lambda w: profiling.exact_duplicates_sample(w.raw()),
+    "exact_duplicates_summary": lambda w: profiling.exact_duplicates_summary(w.raw(), w.repeated_lines()),
+    "exact_duplicates_sample": lambda w: profiling.exact_duplicates_sample(w.raw(), repeated=w.repeated_lines()),
     "country_distribution": lambda w: profiling.country_distribution(w.raw()),
     # chart shapes
     "rf_heatmap_matrix": lambda w: charts.rf_heatmap_matrix(w.customers()),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import cleaning, dimensions, history as hist, returns, scoring, sketches, winsor
+from ..operators import cleaning, dimensions, history as hist, profiling, returns, scoring, sketches, winsor
 from ..operators.visits import first_purchases, visits
 from ..sources.scratch import Stages
 from ..sources.tables import retail_lines
@@ -34,17 +34,20 @@ class Warehouse:
     def first_purchases(self) -> DataFrame:
         return first_purchases(self.visits())
 
-    def _store(self, frame: DataFrame, name: str) -> DataFrame:
+    def store(self, frame: DataFrame, name: str) -> DataFrame:
         return self._stages.table(name, lambda: frame)
 
     def cancellation_links(self) -> DataFrame:
         return self._stages.table(
-            "cancellation_links", lambda: returns.cancellation_links(self.raw(), self._store)
+            "cancellation_links", lambda: returns.cancellation_links(self.raw(), self.store)
         )
 
+    def repeated_lines(self) -> DataFrame:
+        return self._stages.table("repeated_lines", lambda: profiling.repeated_lines(self.raw(), self.store))
+
     def product_bounds(self) -> DataFrame:
         return self._stages.table(
-            "product_bounds", lambda: winsor.product_bounds(self.sales(), store=self._store)
+            "product_bounds", lambda: winsor.product_bounds(self.sales(), store=self.store)
         )
 
     def winsorised(self) -> DataFrame:
