@@ -439,6 +439,24 @@ def test_graph_recall():
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(best, found)]) >= 0.9
 
 
+def test_few_links_are_found_without_scans(monkeypatch):
+    rng = np.random.default_rng(12)
+    raw = rng.normal(size=(20_000, 32))
+    raw[:200] = raw[200:400] + rng.normal(size=(200, 32)) * 0.1
+    raw = raw[rng.permutation(len(raw))] * 1e-170
+    graph = vectors.Graph(vectors.unit(raw), vectors.levels_of(np.arange(len(raw))))
+    beam = vectors.chosen_beam(graph)
+    assert 0 < beam <= vectors.WIDEST
+    scanned, scan = [0], vectors._scan
+    monkeypatch.setattr(vectors, "_scan", lambda g, q, least: scanned.append(len(q)) or scan(g, q, least))
+    some = rng.permutation(len(raw))[:4000]
+    found = {(some[a], b) for r, c in vectors.block_links(graph, raw, raw[some], vectors.THRESHOLD, beam) for a, b in zip(r.tolist(), c.tolist())}
+    m = vectors.unit(raw)
+    expected = {(some[a], b) for a, b in np.argwhere(m[some] @ m.T >= vectors.THRESHOLD).tolist()}
+    assert len(found & expected) / len(expected) >= 0.99 and len(expected - {(i, i) for i in some}) > 20
+    assert found <= expected and sum(scanned) < 0.05 * len(some)
+
+
 def test_links_hidden_by_a_broken_graph():
     rng = np.random.default_rng(7)
     hot = rng.normal(size=16) + rng.normal(size=(1000, 16)) * 0.02
@@ -451,8 +469,9 @@ def test_links_hidden_by_a_broken_graph():
         # the ground level loses the links of nine in ten
         graph.layers[0][np.arange(len(raw)) % 10 > 0] = -1
         graph.layers[0][:, vectors.LINKS // 4 :] = -1
-        own = np.arange(len(raw))
-        found = {(a, b) for r, c in vectors.block_links(graph, raw, raw, vectors.THRESHOLD, own) for a, b in zip(r.tolist(), c.tolist())}
+        beam = vectors.chosen_beam(graph)
+        assert beam == 0
+        found = {(a, b) for r, c in vectors.block_links(graph, raw, raw, vectors.THRESHOLD, beam) for a, b in zip(r.tolist(), c.tolist())}
         m = raw / np.linalg.norm(raw, axis=1, keepdims=True)
         assert found == set(map(tuple, np.argwhere(m @ m.T >= vectors.THRESHOLD).tolist()))
 

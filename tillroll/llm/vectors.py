@@ -4,15 +4,15 @@ Vectors of a label are dealt to shards of a bounded size. Each shard gets a hier
 graph: a vector's level is drawn from a hash of its id, links are chosen by the rule that a
 neighbour must be closer to the vector than to any neighbour already chosen, and vectors are
 put in by batches whose members also see each other. Every vector is then a query to every
-shard of its label, in blocks of a bounded size.
+shard of its label.
 
-A query's beam is widened until its worst entry is below the threshold, so nothing above it
-is cut off; queries that fill the widest beam are compared with the whole shard instead. In
-each shard and block an audit compares a share of the queries with the whole shard, at least so
-many that ``AUDITED`` of them have links which a beam has to find. The beam grows until these find
-``RECALL`` of their links in the mean of queries, without the hit on the query itself. If the
-widest beam does not, or the block has too few queries with links to tell, the whole block is
-compared with the shard. All links are verified with the cosine in double precision.
+Each shard's graph is built once and stored as a row. An audit on building compares ``AUDITED`` of the shard's vectors
+with the whole shard and asks for ``RECALL`` of their ``NEAREST`` nearest neighbours, which every vector has; it fixes
+the first beam. Only where the widest beam fails is the shard scanned by its queries. A query's beam is
+widened until its worst entry is below the threshold, so nothing above it is cut off; queries that
+fill the widest beam are compared with the whole shard instead. All links are verified with the
+cosine in double precision. Queries are streamed past a graph in blocks of ``BLOCK``, each with a copy of the stored
+graph, so copies stay a fixed share of the queries' own rows.
 
 Equal vectors are one node; its copies are counted, not paired. A task sends the number of
 links of each query and a spanning forest of what it linked, at most one edge per vector, and
@@ -32,16 +32,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.scratch import materialize
+from .common import small_batches
 from .components import components
 
 THRESHOLD = 0.93
-#: Vectors of a shard, and queries of a block, at most about so many.
-SHARD, BLOCK = 40_000, 10_000
+#: Vectors of a shard, and queries that share a copy of its graph, at most about so many.
+SHARD, BLOCK = 40_000, 400_000
 #: Links of a vector on the ground level (half of it above), and the beam while building.
 LINKS, BUILD_BEAM = 24, 48
-#: First and widest beam of a search, queries with links that an audit needs, the part of the block
-#: that it looks at (one in so many), and the recall it asks for.
-BEAM, WIDEST, AUDITED, AUDIT_SHARE, RECALL = 32, 256, 64, 16, 0.995
+#: Least and widest beam of a search, vectors that an audit compares with the shard, their nearest neighbours that
+#: count, and the share of these that a beam has to find.
+BEAM, WIDEST, AUDITED, NEAREST, RECALL = 32, 256, 128, 10, 0.99
 #: Room for rounding between single and double precision.
 SLACK = 1e-4
 _BATCH = 256
@@ -66,6 +67,13 @@ class Graph:
             self.layers.insert(0, np.full((len(vectors), width), -1, np.int32))
             self._fill(level, order[levels[order] >= level])
 
+    @classmethod
+    def stored(cls, vectors: np.ndarray, layers: list[np.ndarray], entry: int) -> Graph:
+        """A graph that was built before; it can be searched."""
+        graph = cls.__new__(cls)
+        graph.vectors, graph.layers, graph.order = vectors, layers, np.array([entry])
+        return graph
+
     def _fill(self, level: int, members: np.ndarray) -> None:
         """Link the members of one level by batches; upper levels lead to the entry."""
         links = self.layers[0]
@@ -210,13 +218,22 @@ def levels_of(ids: np.ndarray) -> np.ndarray:
     return np.minimum(6, np.floor(-np.log(share) / np.log(16))).astype(np.int64)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two that brings it near one: its squares are neither zero nor
+    infinite then, and no bit is lost."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    return np.ldexp(vectors, -exponent)
+
+
 def unit(vectors: np.ndarray) -> np.ndarray:
     """Unit vectors in single precision, for finding; links are verified in double."""
+    vectors = scaled(vectors)
     return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
 
 
 def _verified(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
     """Row by row whether the cosine in double precision reaches the threshold."""
+    a, b = scaled(a), scaled(b)
     dots = np.einsum("nd,nd->n", a, b)
     return dots / (np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)) >= threshold
 
@@ -245,69 +262,64 @@ def _pairs(graph: Graph, q: np.ndarray, beam: int, least: float) -> tuple[np.nda
     return r, c, rows
 
 
-def _audit(graph: Graph, q: np.ndarray, own: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray] | None:
-    """Queries that a beam has to answer, and the number of their links as a scan finds them,
-    self-hits left out. Nothing if the whole block had to be scanned to find enough of them."""
-    order = np.random.default_rng(len(q)).permutation(len(q))
-    rows, links, judged = [], [], 0
-    for begin in range(0, len(q), _BATCH):
-        if judged >= AUDITED and begin * AUDIT_SHARE >= len(q):
-            return np.concatenate(rows), np.concatenate(links)
-        part = order[begin : begin + _BATCH]
-        r, c = _scan(graph, q[part], least)
-        n = np.bincount(r, minlength=len(part))
-        others = n - np.bincount(r[c == own[part][r]], minlength=len(part))
-        # what fills the widest beam is scanned anyway
-        able = (others > 0) & (n < WIDEST)
-        rows.append(part[able])
-        links.append(others[able])
-        judged += able.sum()
-    return None
-
-
-def _recall(graph: Graph, q: np.ndarray, own: np.ndarray, links: np.ndarray, beam: int, least: float) -> float:
-    """The mean share of their links that queries find by this beam; those compared with the
-    whole shard don't count."""
+def recall(graph: Graph, rows: np.ndarray, beam: int) -> float:
+    """The mean share of their ``NEAREST`` nearest neighbours that vectors of the graph find by a beam."""
     shares = []
-    for begin in range(0, len(q), _BATCH):
-        part = slice(begin, begin + _BATCH)
-        r, c, scanned = _pairs(graph, q[part], beam, least)
-        n = np.bincount(r[c != own[part][r]], minlength=len(q[part]))
-        shares.append(np.delete(n / links[part], scanned))
-    shares = np.concatenate(shares)
-    return float(shares.mean()) if len(shares) else 0.0
+    wanted = min(NEAREST, len(graph.vectors) - 1)
+    for begin in range(0, len(rows), _BATCH):
+        part = rows[begin : begin + _BATCH]
+        q, every = graph.vectors[part], np.arange(len(part))
+        all_ = q @ graph.vectors.T
+        all_[every, part] = -2
+        least = np.partition(all_, -wanted, axis=1)[:, -wanted]
+        sims, ids = graph.search(q, beam)
+        near = (sims >= least[:, None] - 1e-6) & (ids >= 0) & (ids != part[:, None])
+        shares.append(np.minimum(near.sum(axis=1), wanted) / wanted)
+    return float(np.concatenate(shares).mean())
+
+
+def chosen_beam(graph: Graph) -> int:
+    """The least beam that passes the audit; 0 if none does and the shard has to be scanned."""
+    n = len(graph.vectors)
+    if n == 1:
+        return BEAM
+    rows = np.sort(np.random.default_rng(n).permutation(n)[:AUDITED])
+    beam = BEAM
+    while beam <= WIDEST:
+        if recall(graph, rows, beam) >= RECALL:
+            return beam
+        beam *= 2
+    return 0
 
 
-def block_links(graph: Graph, raw: np.ndarray, queries: np.ndarray, threshold: float, own: np.ndarray) -> Iterator[tuple]:
-    """Verified links by batches: query rows and shard rows; ``own`` has the shard row that is
-    the query itself, or -1."""
+def block_links(graph: Graph, raw: np.ndarray, queries: np.ndarray, threshold: float, beam: int) -> Iterator[tuple]:
+    """Verified links by batches: query rows and shard rows, a query and itself among them; ``beam`` as
+    the audit has chosen it."""
     q = unit(queries)
     least = threshold - SLACK
-    audit = _audit(graph, q, own, least)
-    beam = BEAM if audit else WIDEST * 2
-    while beam <= WIDEST and _recall(graph, q[audit[0]], own[audit[0]], audit[1], beam, least) < RECALL:
-        beam *= 2
     for begin in range(0, len(q), _BATCH):
         part = q[begin : begin + _BATCH]
-        # beyond the widest beam the audit has failed or had too little to go by
-        r, c = _pairs(graph, part, beam, least)[:2] if beam <= WIDEST else _scan(graph, part, least)
+        r, c = _pairs(graph, part, beam, least)[:2] if beam else _scan(graph, part, least)
         sure = _verified(queries[begin + r], raw[c], threshold) if len(r) else np.zeros(0, bool)
         yield begin + r[sure], c[sure]
 
 
 class Forest:
-    """Union of numbers 0..n-1, and the edges that joined something."""
+    """Union of numbered things as they appear."""
 
-    def __init__(self, n: int):
-        self.parent = list(range(n))
+    def __init__(self):
+        self.parent: dict[int, int] = {}
 
     def find(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = self.parent[self.parent[i]]
-            i = self.parent[i]
+        parent = self.parent
+        parent.setdefault(i, i)
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
         return i
 
     def join(self, a: int, b: int) -> bool:
+        """Whether the two were apart so far."""
         a, b = self.find(a), self.find(b)
         if a != b:
             self.parent[max(a, b)] = min(a, b)
@@ -319,39 +331,85 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _join_shard(shard: pa.Table, block: pa.Table, threshold: float) -> pa.Table:
-    """Links of one block of queries with one shard: counts per query and joining edges."""
-    names = ["node", "links", "other"]
-    kinds = [pa.int64(), pa.int64(), pa.int64()]
-    shard, block = (t.sort_by("node").combine_chunks() for t in (shard, block))
-    if not len(shard) or not len(block):
-        return pa.Table.from_arrays([pa.array([], k) for k in kinds], names)
-    nodes, copies = np.asarray(shard["node"]), np.asarray(shard["copies"])
-    raw, queries = _matrix(shard["vector"].chunk(0)), _matrix(block["vector"].chunk(0))
-    own = np.asarray(block["node"])
+_GRAPH = "nodes binary, copies binary, raw binary, layers array<binary>, entry long, beam long"
+
+
+def _built(key: tuple, shard: pa.Table) -> pa.Table:
+    """The graph of a shard as one row."""
+    shard = shard.sort_by("node").combine_chunks()
+    nodes = np.asarray(shard["node"])
+    raw = _matrix(shard["vector"].chunk(0))
     graph = Graph(unit(raw), levels_of(nodes))
-    counts = np.zeros(len(own), np.int64)
-    numbers = {n: i for i, n in enumerate(np.unique(np.concatenate([nodes, own])).tolist())}
-    forest, edges = Forest(len(numbers)), []
-    left, right = ([numbers[n] for n in x.tolist()] for x in (own, nodes))
-    places = np.minimum(np.searchsorted(nodes, own), len(nodes) - 1)
-    itself = np.where(nodes[places] == own, places, -1)
-    for r, c in block_links(graph, raw, queries, threshold, itself):
-        other = own[r] != nodes[c]
-        r, c = r[other], c[other]
-        counts += np.bincount(r, copies[c], minlength=len(own)).astype(np.int64)
-        edges += [(own[i], nodes[j]) for i, j in zip(r.tolist(), c.tolist()) if forest.join(left[i], right[j])]
-    linked = np.flatnonzero(counts)
-    return pa.Table.from_arrays(
-        [
-            pa.array(np.concatenate([own[linked], np.array([a for a, _ in edges], np.int64)])),
-            pa.array(np.concatenate([counts[linked], np.zeros(len(edges), np.int64)])),
-            pa.array([*[None] * len(linked), *[int(b) for _, b in edges]], pa.int64()),
-        ],
-        names,
+    return pa.table(
+        {
+            "field": pa.array([key[0].as_py()], pa.int64()),
+            "shard": pa.array([key[1].as_py()], pa.int64()),
+            "nodes": pa.array([nodes.tobytes()], pa.binary()),
+            "copies": pa.array([np.asarray(shard["copies"]).tobytes()], pa.binary()),
+            "raw": pa.array([raw.tobytes()], pa.binary()),
+            "layers": pa.array([[layer.tobytes() for layer in graph.layers]], pa.list_(pa.binary())),
+            "entry": pa.array([int(graph.order[0])], pa.int64()),
+            "beam": pa.array([chosen_beam(graph)], pa.int64()),
+        }
     )
 
 
+class Shard:
+    """A shard read back, and what its queries have linked so far."""
+
+    def __init__(self, row: dict):
+        self.nodes, self.copies = (np.frombuffer(row[c], np.int64) for c in ("nodes", "copies"))
+        self.raw = np.frombuffer(row["raw"], np.float64).reshape(len(self.nodes), -1)
+        layers = [
+            np.frombuffer(layer, np.int32).reshape(len(self.nodes), -1) for layer in row["layers"]
+        ]
+        self.graph = Graph.stored(unit(self.raw), layers, row["entry"])
+        self.beam, self.forest = row["beam"], Forest()
+
+    def answer(self, own: np.ndarray, queries: np.ndarray, threshold: float) -> pa.RecordBatch:
+        """Number of links of each query, and edges that join something new to this shard's forest."""
+        counts, edges = np.zeros(len(own), np.int64), []
+        for r, c in block_links(self.graph, self.raw, queries, threshold, self.beam):
+            other = own[r] != self.nodes[c]
+            r, c = r[other], c[other]
+            counts += np.bincount(r, self.copies[c], minlength=len(own)).astype(np.int64)
+            edges += [
+                (a, b) for a, b in zip(own[r].tolist(), self.nodes[c].tolist()) if self.forest.join(a, b)
+            ]
+        linked = np.flatnonzero(counts)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([own[linked], np.array([a for a, _ in edges], np.int64)])),
+                pa.array(np.concatenate([counts[linked], np.zeros(len(edges), np.int64)])),
+                pa.array([*[None] * len(linked), *[b for _, b in edges]], pa.int64()),
+            ],
+            ["node", "links", "other"],
+        )
+
+
+def _answered(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, shard = None, None
+        for batch in batches:
+            places = list(zip(*(batch.column(c).to_pylist() for c in ("field", "shard", "block"))))
+            is_graph = np.asarray(batch.column("beam").is_valid())
+            begin = 0
+            while begin < batch.num_rows:
+                if is_graph[begin]:
+                    at, shard = places[begin], Shard(batch.slice(begin, 1).to_pylist()[0])
+                    begin += 1
+                    continue
+                end = begin
+                while end < batch.num_rows and not is_graph[end] and places[end] == places[begin]:
+                    end += 1
+                if places[begin] == at:
+                    part = batch.slice(begin, end - begin)
+                    yield shard.answer(np.asarray(part.column("node")), _matrix(part.column("vector")), threshold)
+                begin = end
+
+    return run
+
+
 def vector_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for every row of ``embeddings``."""
     numbers = F.col("embedding").cast("array<double>")
@@ -398,17 +456,21 @@ def vector_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Da
         ),
         "vector_shards",
     )
+    shards = dealt.select("field", "shard", "node", "copies", "vector").groupBy("field", "shard")
+    graphs = materialize(shards.applyInArrow(_built, f"field long, shard long, {_GRAPH}"), "vector_graphs")
     upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
-    index = dealt.select("field", "shard", F.explode(upto("blocks")).alias("block"), "node", "copies", "vector")
     asked = dealt.select("field", F.explode(upto("shards")).alias("shard"), "block", "node", "vector")
-
-    def run(key, shard: pa.Table, block: pa.Table) -> pa.Table:
-        return _join_shard(shard, block, threshold)
-
-    keys = ["field", "shard", "block"]
+    blocks = dealt.select("field", "shards", "blocks").distinct()
+    blocks = blocks.select("field", "blocks", F.explode(upto("shards")).alias("shard"))
+    blocks = blocks.select("field", "shard", F.explode(upto("blocks")).alias("block"))
+    # a graph comes before the queries to it
+    both = graphs.join(blocks, ["field", "shard"]).unionByName(asked, allowMissingColumns=True)
+    n = max(1, int(embeddings.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    streamed = both.repartition(n, "field", "shard", "block").sortWithinPartitions(
+        "field", "shard", "block", F.asc_nulls_last("beam")
+    )
     found = materialize(
-        index.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(run, "node long, links long, other long"),
-        "vector_links",
+        small_batches(streamed).mapInArrow(_answered(threshold), "node long, links long, other long"), "vector_links"
     )
     linked = components(found.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")))
     linked = materialize(linked, "vector_roots")
