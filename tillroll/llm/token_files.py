@@ -345,6 +345,7 @@ def token_files(spark: SparkSession, docs: DataFrame, path: str, end_id: int = 2
     encoded = materialize(encode_documents(docs, path, end_id), "token_ids")
     ranked = rank_table(encoded, own.vocabulary, own.kind)
     values = encoded.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
-    folder = f"{scratch_folder(spark)}/tillroll/token-files-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    folder = f"{scratch_folder(spark)}/tillroll/{app}/token-files-{uuid.uuid4().hex}"
     manifest = write_files(encoded, folder, ranked, own.kind, values // own.kind.itemsize)
     return read_files(manifest, folder, ranked)
