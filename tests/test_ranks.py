@@ -81,3 +81,18 @@ def test_box_plot_ignores_missing_values(spark):
     assert (float(box["q1"]), float(box["median"]), float(box["q3"])) == (2.0, 3.0, 4.0)
     assert (float(box["whisker_low"]), float(box["whisker_high"])) == (1.0, 4.0)
     assert float(box["upper_fence"]) == 7.0
+
+
+@pytest.mark.parametrize("around", [0.01, 0.3, -0.3])
+def test_ranks_with_good_wide_and_wrong_sketches(spark, coarse, monkeypatch, around):
+    """A sketch only says where to look first: bounds that overlap or miss the rank change nothing."""
+    monkeypatch.setattr(ranks, "AROUND", around)
+    rng = random.Random(8)
+    rows = [(g, rng.randint(0, 9) ** 9, i) for g in "ab" for i in range(4000)]
+    frame = spark.createDataFrame(rows, "g string, v bigint, id bigint")
+    for groups in (("g",), ()):
+        found = rows_at_ranks(frame.where("g = 'a'") if not groups else frame, {"v": F.col("v")}, bucket_starts(5), groups, "id", small=40)
+        for g in "ab" if groups else "a":
+            mine = [(v, i) for h, v, i in rows if h == g]
+            own = [r for r in found if not groups or r.group == (g,)]
+            assert {(r.rank, r.value, r.tie) for r in own} == brute(mine, bucket_starts(5))

@@ -4,13 +4,16 @@ A quintile is decided by four rows: where the second to fifth bucket start. So i
 ranking every customer, the rank is narrowed down: count the rows per slice of the value
 range, keep the one slice that holds the wanted rank, slice that again, first by value and
 then, inside one repeated value, by the tie-breaking id. Once a slice is small enough its
-rows are numbered. Each round is a filter and a count with map-side combine; nothing but
-slice bounds reaches the driver, a fixed number per group. Every later comparison with the
+rows are numbered. The first slices come from a quantile sketch of each group, made in the pass that counts the
+groups, and one more pass counts all measures' rows before and inside them exactly; a sketch that is off its wanted
+rank is left aside. Each round is a filter and a count with map-side combine; nothing but
+sketches and slice bounds reaches the driver, a fixed number per group. Every later comparison with the
 found rows is a projection.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -20,6 +23,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SLICES = 4096
 SMALL = 100_000
+#: Size of a group's sketch, and how far around a wanted rank its bounds are set, as a share of the group.
+SKETCH, AROUND = 800, 0.01
+#: Parts of a group whose bounds its sketch is asked for.
+PARTS = 200
 
 
 @dataclass(frozen=True)
@@ -80,7 +87,9 @@ def rows_at_ranks(
         for rank in ranks_of(span.rows)
         if 0 <= rank < span.rows
     ]
-    whole = True  # every group is narrowed once, whatever its size
+    whole = weight is not None  # sketches take no weights; then every group is narrowed once, whatever its size
+    if not whole and wanted:
+        wanted = search.sketched(wanted)
     while True:
         large = {s for s, _ in wanted if (whole or s.rows > small) and not s.settled()}
         whole = False
@@ -104,6 +113,8 @@ class _Search:
         self.groups = groups
         self.tie = F.col(tie).cast("bigint") if tie else F.lit(0).cast("bigint")
         self.weight = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+        self.weighted = weight is not None
+        self.sketches: dict[tuple, list[int]] = {}
 
     def whole_groups(self) -> list[Span]:
         totals = []
@@ -113,8 +124,28 @@ class _Search:
                 F.min(value).alias(f"{name}_low"),
                 F.max(value).alias(f"{name}_high"),
             ]
+            if not self.weighted:
+                totals.append(F.kll_sketch_agg_bigint(value, SKETCH).alias(f"{name}_sketch"))
         ties = [F.min(self.tie).alias("tie_low"), F.max(self.tie).alias("tie_high")]
-        rows = self.frame.groupBy(*self.groups).agg(*ties, *totals).collect()
+        counted = self.frame.groupBy(*self.groups).agg(*ties, *totals)
+        if not self.weighted:
+            parts = F.array(*(F.lit(i / PARTS) for i in range(PARTS + 1)))
+            counted = counted.withColumns(
+                {
+                    f"{m}_sketch": F.when(
+                        F.col(f"{m}_rows") > 0, F.kll_sketch_get_quantile_bigint(f"{m}_sketch", parts)
+                    )
+                    for m in self.measures
+                }
+            )
+        rows = counted.collect()
+        if not self.weighted:
+            self.sketches = {
+                (tuple(row[g] for g in self.groups), name): row[f"{name}_sketch"]
+                for row in rows
+                for name in self.measures
+                if row[f"{name}_rows"]
+            }
         return [
             Span(
                 tuple(row[g] for g in self.groups),
@@ -131,6 +162,80 @@ class _Search:
             if row[f"{name}_rows"]
         ]
 
+    def sketched(self, wanted: list[tuple[Span, int]]) -> list[tuple[Span, int]]:
+        """The wanted ranks with the values that a sketch puts around them as spans, counted exactly.
+
+        Spans of a group that overlap become one. A rank outside its span keeps the whole group.
+        """
+        ranks: dict[Span, list[int]] = {}
+        for span, rank in wanted:
+            ranks.setdefault(span, []).append(rank)
+        bounds: dict[Span, list[tuple[int, int]]] = {}
+        for span, own in ranks.items():
+            told = self.sketches[span.group, span.measure]
+            bounds[span] = [
+                (
+                    told[min(PARTS, max(0, math.floor((r / span.rows - AROUND) * PARTS)))],
+                    told[max(0, min(PARTS, math.ceil(((r + 1) / span.rows + AROUND) * PARTS)))],
+                )
+                for r in own
+            ]
+        counts = self._counted(bounds)
+        placed = {}
+        for span, own in bounds.items():
+            found = [
+                replace(span, low=low, high=high, before=before, rows=upto - before)
+                for (low, high), (before, upto) in zip(own, counts[span])
+            ]
+            good = [before <= r < upto for r, (before, upto) in zip(ranks[span], counts[span])]
+            joined: list[Span] = []
+            for part in sorted((f for f, g in zip(found, good) if g), key=lambda f: f.low):
+                if joined and part.low <= joined[-1].high:
+                    last = joined[-1]
+                    upto = max(last.before + last.rows, part.before + part.rows)
+                    joined[-1] = replace(last, high=max(last.high, part.high), rows=upto - last.before)
+                else:
+                    joined.append(part)
+            if not all(good):  # the whole group would overlap with the others
+                joined = [span]
+            for rank in ranks[span]:
+                placed[span, rank] = next(j for j in joined if j.before <= rank < j.before + j.rows)
+        return [(placed[span, rank], rank) for span, rank in wanted]
+
+    def _counted(self, bounds: dict[Span, list[tuple[int, int]]]) -> dict[Span, list[tuple[int, int]]]:
+        """Rows of the group before each bound and up to its end, for all measures in one scan."""
+        most = {m: max((len(own) for s, own in bounds.items() if s.measure == m), default=0) for m in self.measures}
+        names = [(m, j, end) for m in self.measures for j in range(most[m]) for end in ("low", "high")]
+        rows: dict[tuple, dict] = {}
+        for span, own in bounds.items():
+            for j, pair in enumerate(own):
+                for end, value in zip(("low", "high"), pair):
+                    rows.setdefault(span.group, {})[span.measure, j, end] = value
+
+        def test(m: str, end: str, bound: Column) -> Column:
+            value = self.measures[m]
+            return F.count_if(value < bound if end == "low" else value <= bound)
+
+        if self.groups:
+            columns = {g: [group[i] for group in rows] for i, g in enumerate(self.groups)}
+            columns |= {
+                "_".join(map(str, n)): pa.array([own.get(n) for own in rows.values()], pa.int64()) for n in names
+            }
+            joined = self.frame.join(self._local(columns), list(self.groups))
+            tests = [test(m, end, F.col(f"{m}_{j}_{end}")).alias(f"{m}_{j}_{end}_n") for m, j, end in names]
+            found = {tuple(r[g] for g in self.groups): r for r in joined.groupBy(*self.groups).agg(*tests).collect()}
+        else:
+            own = rows[()]
+            tests = [test(m, end, F.lit(own.get((m, j, end)))).alias(f"{m}_{j}_{end}_n") for m, j, end in names]
+            found = {(): self.frame.agg(*tests).first()}
+        return {
+            span: [
+                (found[span.group][f"{span.measure}_{j}_low_n"], found[span.group][f"{span.measure}_{j}_high_n"])
+                for j in range(len(own))
+            ]
+            for span, own in bounds.items()
+        }
+
     def inside(self, spans: list[Span]) -> list[DataFrame]:
         """Per measure, the rows that lie in one of its spans; spans never overlap."""
         frames = []
