@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Hashable
-from itertools import filterfalse
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -76,25 +75,17 @@ class Memo(dict):
         super().__init__()
         self._compute, self._size, self._old = compute, size, {}
 
-    def lacking(self, keys: set) -> list:
-        """The keys whose results would have to be computed."""
-        return list(filterfalse(self._old.__contains__, filterfalse(self.__contains__, keys)))
-
-    def put(self, key: Hashable, value: object) -> None:
-        """Remember a result that was computed elsewhere."""
-        if len(self) >= self._size:
-            self._old = dict(self)
-            self.clear()
-        self[key] = value
-
     def forget(self) -> None:
         """Give the memory back; workers are used again for other stages."""
         self.clear()
         self._old = {}
 
     def __missing__(self, key: Hashable):
+        if len(self) >= self._size:
+            self._old = dict(self)
+            self.clear()
         value = self._old.get(key)
         if value is None:
             value = self._compute(key)
-        self.put(key, value)
+        self[key] = value
         return value

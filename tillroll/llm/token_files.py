@@ -38,10 +38,8 @@ from .common import Memo, small_batches, texts
 
 MARK = b"TRF1"
 HEAD = "<4sIQQ"
-#: Words of small letters, and any letters a-z with commas and stops behind them.
-PLAIN, SIMPLE = re.compile("[a-z]+"), re.compile("([A-Za-z]+)[.,]*")
-#: Words encoded in one call, and characters of texts whose new words are looked for together.
-TOGETHER, GROUP = 4096, 500_000
+#: Letters below U+0250 that a capital form has one small letter for, and ASCII signs but the apostrophe behind them.
+SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 #: Values of a block, if its first document has no more by itself.
 BLOCK_VALUES = 1_000_000
 #: Values a file should hold.
@@ -62,9 +60,9 @@ class WordTokenizer:
     """Ids of texts as the library gives them, word by word.
 
     No token of this kind of vocabulary spans white space, so words are looked up in a cache.
-    New words go through the library many together and are told apart by the tokens that end a word, or by
-    their places. A word of other small letters in composed form goes straight to the library's model; a text
-    with special tokens or U+001C to U+001F takes the library's whole way.
+    A new word is cut into its letters and the signs behind them, which the library encodes apart; letters
+    in small and composed form go straight to the library's model. Any other word, and a text with special
+    tokens or U+001C to U+001F, takes the library's whole way.
     """
 
     def __init__(self, path: str):
@@ -77,99 +75,38 @@ class WordTokenizer:
         self._letters = _byte_letters()
         self._packed = [i.to_bytes(self.kind.itemsize, "little") for i in range(self.vocabulary)]
         self._words = Memo(self._word, 250_000)
-        suffix = getattr(self.library.model, "end_of_word_suffix", None)
-        ends = [bool(suffix) and token.endswith(suffix) for token in map(self.library.id_to_token, range(self.vocabulary))]
-        self._ends = np.array(ends, bool)
 
     def _whole(self, text: str) -> bytes:
         return b"".join([self._packed[i] for i in self.library.encode(text, add_special_tokens=False).ids])
 
-    def _core(self, word: str) -> str:
-        """The word without what is encoded apart from it: the commas and stops behind it, and capitals A-Z."""
-        if simple := SIMPLE.fullmatch(word):
-            return simple[1].lower()
-        core = word.rstrip(".,")
-        if not core[-1:].isalnum() or core[-1] != core[-1].lower() and not core.isascii():
-            return word
-        return core.lower() if core.isascii() else core
-
     def _word(self, word: str) -> bytes:
-        if not PLAIN.fullmatch(word):
-            core = self._core(word)
+        if simple := SIMPLE.fullmatch(word):
+            core, tail = simple.groups()
+            small = core.lower()
+            if small != word:
+                return self._words[small] + (self._words[tail] if tail else b"")
+            if not word.isascii():
+                word = "".join([self._letters[b] for b in word.encode()])
+        else:
+            core = word.rstrip(".,")
+            if not core[-1:].isalnum() or core[-1] != core[-1].lower() and not core.isascii():
+                core = word
+            tail = word[len(core) :]
+            if core.isascii():
+                core = core.lower()
             if core != word:
-                tail = word[len(core) :]
                 return self._words[core] + (self._words[tail] if tail else b"")
-            if not _letters_only(word):
+            plain = word.isalpha() and word == "".join(map(str.lower, word))
+            if not (plain and unicodedata.is_normalized("NFC", word)):
                 return self._whole(word)
             word = "".join([self._letters[b] for b in word.encode()])
         packed = self._packed
         return b"".join([packed[token.id] for token in self.library.model.tokenize(word)])
 
-    def _learn(self, fresh: list[str]) -> None:
-        """Remember the ids of new words, or of what is encoded apart from what follows them."""
-        plain, others = set(), set()
-        for word in fresh:
-            core = self._core(word)
-            if PLAIN.fullmatch(core):
-                plain.add(core)
-            elif not _letters_only(core):
-                others.add(core)
-        for cut, words in ((self._ended, plain), (self._placed, others)):
-            words = self._words.lacking(words)
-            for at in range(0, len(words), TOGETHER):
-                some = words[at : at + TOGETHER]
-                encoded = self.library.encode(" ".join(some), add_special_tokens=False)
-                ids = np.array(encoded.ids, self.kind)
-                ends = cut(some, encoded, ids)
-                if len(ends) != len(some) or ends[-1] != len(ids):
-                    continue  # each word will go by itself
-                packed, width, begin = ids.tobytes(), self.kind.itemsize, 0
-                for word, end in zip(some, (ends * width).tolist()):
-                    self._words.put(word, packed[begin:end])
-                    begin = end
-
-    def _ended(self, words: list[str], encoded, ids: np.ndarray) -> np.ndarray:
-        """Where the ids of words of small letters end: behind each token that ends a word."""
-        return np.flatnonzero(self._ends[ids]) + 1
-
-    def _placed(self, words: list[str], encoded, ids: np.ndarray) -> np.ndarray:
-        """Where the ids of any words end, by the places of their tokens in the text."""
-        begins = np.array([begin for begin, _ in encoded.offsets], np.int64)
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        return np.searchsorted(begins, np.cumsum(sizes + 1) - 1) if (np.diff(begins) >= 0).all() else ids[:0]
-
     def encode(self, text: str) -> bytes:
-        return next(self.encode_all([text]))
-
-    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text."""
-        for group in _groups(texts):
-            whole = [any(s in t for s in self._special) for t in group]
-            split = [[] if w else t.split() for w, t in zip(whole, group)]
-            fresh = self._words.lacking(set().union(*split))
-            self._learn(fresh)
-            for special, text, words in zip(whole, group, split):
-                yield self._whole(text) if special else b"".join(map(self._words.__getitem__, words))
-
-    def forget(self) -> None:
-        self._words.forget()
-
-
-def _letters_only(word: str) -> bool:
-    """Small letters alone, in composed form."""
-    return word.isalpha() and word == "".join(map(str.lower, word)) and unicodedata.is_normalized("NFC", word)
-
-
-def _groups(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in runs of at least ``GROUP`` characters, but for the last."""
-    begin = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= GROUP:
-            yield texts[begin : i + 1]
-            begin, size = i + 1, 0
-    if begin < len(texts):
-        yield texts[begin:]
+        if any(s in text for s in self._special):
+            return self._whole(text)
+        return b"".join(map(self._words.__getitem__, text.split()))
 
 
 @lru_cache(maxsize=1)
@@ -184,13 +121,12 @@ def encode_documents(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         own = tokenizer(path)
         end = np.array([end_id], own.kind).tobytes()
         for batch in batches:
-            ids = [i + end for i in own.encode_all(batch.column("text").to_pylist())]
+            ids = [own.encode(t) + end for t in batch.column("text").to_pylist()]
             crc = [zlib.crc32(i) for i in ids]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(crc, pa.int64())],
                 ["doc_id", "ids", "crc"],
             )
-        own.forget()
 
     return small_batches(texts(docs)).mapInArrow(run, "doc_id long, ids binary, crc long")
 
