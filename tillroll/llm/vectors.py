@@ -42,7 +42,7 @@ SHARD, BLOCK = 40_000, 400_000
 LINKS, BUILD_BEAM = 24, 48
 #: Least and widest beam of a search, vectors that an audit compares with the shard, their nearest neighbours that
 #: count, and the share of these that a beam has to find.
-BEAM, WIDEST, AUDITED, NEAREST, RECALL = 32, 256, 128, 10, 0.99
+BEAM, WIDEST, AUDITED, NEAREST, RECALL = 32, 256, 128, 10, 0.9
 #: Room for rounding between single and double precision.
 SLACK = 1e-4
 _BATCH = 256
