@@ -96,6 +96,36 @@ def test_no_sale_is_paired_with_all_snapshots(spark, plan_of):
     assert "Window" not in scored and "Sort" not in scored
 
 
+def test_states_are_dealt_for_the_write_and_not_rows(spark, plan_of):
+    """A task has a bounded number of rows, of few snapshots; the starting code dealt and sorted whole rows."""
+    w = Warehouse(spark, DATA)
+    states, calendar = w.history_states(), history.numbered_calendar(w.visits())
+    plain, dealt = history.repeated(states, calendar), history.by_snapshot(states, 12, 1000)
+    rows = history.repeated(dealt, calendar)
+    assert rows.exceptAll(plain).isEmpty() and plain.exceptAll(rows).isEmpty()
+    assert dealt.count() < plain.count() / 3
+    tasks = rows.groupBy(F.spark_partition_id()).agg(
+        F.count("*").alias("n"), F.count_distinct("snapshot_date").alias("dates")
+    )
+    most = tasks.agg(F.count("*"), F.max("n"), F.max("dates")).first()
+    assert most[0] > 20 and most[1] < 3000 and most[2] <= 24
+    plan = plan_of(rows)
+    assert plan.index("Generate explode(sequence(since") < plan.index("Exchange rangepartitioning")
+    assert plan.count("Exchange") == plan.count("BroadcastExchange") + 1
+
+
+def test_history_base_is_not_stored(spark):
+    w = Warehouse(spark, DATA)
+    assert w.history_base().count() == 25471
+    assert not [key for key in w._stages._stored if str(key[0]).startswith("history_base")]
+
+
+def test_dealt_states_of_an_empty_history(spark, raw_of):
+    sold = visits(cleaning.sales(raw_of({"quantity": 0})))
+    dealt = history.by_snapshot(history.history_states(sold))
+    assert history.repeated(dealt, history.numbered_calendar(sold)).isEmpty()
+
+
 def test_last_snapshot_agrees_with_the_customers(spark):
     w = Warehouse(spark, DATA)
     last = w.history().where(F.col("snapshot_date") == w.history().agg(F.max("snapshot_date")).scalar())

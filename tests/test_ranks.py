@@ -96,3 +96,25 @@ def test_ranks_with_good_wide_and_wrong_sketches(spark, coarse, monkeypatch, aro
             mine = [(v, i) for h, v, i in rows if h == g]
             own = [r for r in found if not groups or r.group == (g,)]
             assert {(r.rank, r.value, r.tie) for r in own} == brute(mine, bucket_starts(5))
+
+
+def test_slices_of_all_spans_together_are_bounded(spark, monkeypatch):
+    """Many groups share the slices of a round, so what a task counts does not grow with their number."""
+    monkeypatch.setattr(ranks, "ALL_SLICES", 600)
+    rng = random.Random(4)
+    rows = [(g, rng.randint(0, 10**9), i) for g in range(40) for i in range(200)]
+    frame = spark.createDataFrame(rows, "g int, v bigint, id bigint")
+    counted, hits = [], ranks._Search._hits
+
+    def counting(search, pieces, order, *rest):
+        if order == ["_slice"]:
+            counted.append(pieces.count())
+        return hits(search, pieces, order, *rest)
+
+    monkeypatch.setattr(ranks._Search, "_hits", counting)
+    monkeypatch.setattr(ranks._Search, "sketched", lambda search, wanted: wanted)
+    found = rows_at_ranks(frame, {"v": F.col("v")}, bucket_starts(5), ("g",), "id", small=5)
+    for g in range(40):
+        mine = {(r.rank, r.value, r.tie) for r in found if r.group == (g,)}
+        assert mine == brute([(v, i) for h, v, i in rows if h == g], bucket_starts(5))
+    assert counted and max(counted) <= 600

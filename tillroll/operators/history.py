@@ -4,6 +4,9 @@ The state only changes in months with a purchase. So the purchases are summed pe
 and snapshot first, run up over the customer's active months, and each state is then
 repeated for the snapshots until the next one: linear in sales plus output, and sales are
 never paired with snapshots.
+
+The states are what is stored and shuffled; there are as many as active months. Their rows, some
+twenty times as many, are repeated where they are read, and shuffled nowhere.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from .scoring import quintile_starts, with_scores, with_segments
 MONTH_END = "month_end"
 ITERATIVE = "iterative"
 CALENDARS = (MONTH_END, ITERATIVE)
+#: Snapshots whose rows a task of a write has, and about how many rows; below ``FEW`` a task is not worth its files.
+BLOCK, TASK_ROWS, FEW = 12, 2_000_000, 100_000
 
 
 def snapshot_calendar(visits: DataFrame, kind: str = MONTH_END) -> DataFrame:
@@ -48,8 +53,10 @@ def _calendar(bounds: DataFrame, kind: str) -> DataFrame:
     return months.withColumn("snapshot_date", F.date_add("month", shortest - 1))
 
 
-def _calendar_between(spark: SparkSession, first, last, kind: str) -> DataFrame:
-    bounds = spark.range(1).select(
+def numbered_calendar(visits: DataFrame, kind: str = MONTH_END) -> DataFrame:
+    """``k``, ``month`` and ``snapshot_date`` of the calendar, to be broadcast."""
+    first, last = visits.agg(F.min("sale_date"), F.max("sale_date")).first()
+    bounds = visits.sparkSession.range(1).select(
         F.lit(first).cast("date").alias("first"), F.lit(last).cast("date").alias("last")
     )
     return F.broadcast(_calendar(bounds, kind))  # one row per month
@@ -58,15 +65,23 @@ def _calendar_between(spark: SparkSession, first, last, kind: str) -> DataFrame:
 def history_base(
     visits: DataFrame, kind: str = MONTH_END, states: DataFrame | None = None, since: date | None = None
 ) -> DataFrame:
-    """Recency, frequency and monetary value per snapshot and customer known by then.
+    """Recency, frequency and monetary value per snapshot and customer known by then; ``states`` and
+    ``since`` as for ``history_states``."""
+    return repeated(history_states(visits, kind, states, since), numbered_calendar(visits, kind))
+
+
+def history_states(
+    visits: DataFrame, kind: str = MONTH_END, states: DataFrame | None = None, since: date | None = None
+) -> DataFrame:
+    """Each customer's states, with the numbers of the snapshots from ``since`` to before ``until``.
 
     ``states``, the history's rows of the snapshot ``since``, stand for all sales up to it; then only the
     snapshots behind it are built, and only later visits are read.
     """
     first, last = visits.agg(F.min("sale_date"), F.max("sale_date")).first()
     if first is None:
-        return _empty(visits.sparkSession)
-    calendar = _calendar_between(visits.sparkSession, first, last, kind)
+        return _no_states(visits.sparkSession)
+    calendar = numbered_calendar(visits, kind)
     months = (last.year - first.year) * 12 + last.month - first.month + 1
 
     # the first snapshot that sees a sale: its own month's, or the next one's if later in it
@@ -95,7 +110,7 @@ def history_base(
     )
     customer = Window.partitionBy("customer_id").orderBy("k")
     so_far = customer.rowsBetween(Window.unboundedPreceding, 0)
-    states = changes.select(
+    return changes.select(
         "customer_id",
         F.col("k").alias("since"),
         F.lead("k", 1, months).over(customer).alias("until"),
@@ -103,8 +118,19 @@ def history_base(
         F.sum("monetary").over(so_far).cast(MONEY).alias("monetary"),
         F.max("last").over(so_far).alias("last"),
     )
-    repeated = states.withColumn("k", F.explode(F.sequence("since", F.col("until") - 1)))
-    return repeated.join(calendar.select("k", "snapshot_date"), "k").select(
+
+
+def _no_states(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        [],
+        "customer_id bigint, since int, until int, frequency bigint, monetary decimal(18,2), last date",
+    )
+
+
+def repeated(states: DataFrame, calendar: DataFrame) -> DataFrame:
+    """One row per state and snapshot that it lasts for: a projection, without a shuffle."""
+    rows = states.withColumn("k", F.explode(F.sequence("since", F.col("until") - 1)))
+    return rows.join(calendar.select("k", "snapshot_date"), "k").select(
         "snapshot_date",
         "customer_id",
         (F.datediff("snapshot_date", "last") + 1).alias("recency"),
@@ -113,18 +139,31 @@ def history_base(
     )
 
 
-def _empty(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [],
-        "snapshot_date date, customer_id bigint, recency int, frequency bigint, monetary decimal(18,2)",
-    )
-
+def by_snapshot(states: DataFrame, block: int = BLOCK, task_rows: int = TASK_ROWS) -> DataFrame:
+    """The states of a stored table, dealt for a write partitioned by snapshot.
 
-def by_snapshot(base: DataFrame) -> DataFrame:
-    """Spread rows for a write partitioned by snapshot: whole snapshots where they are small,
-    several evenly sized pieces where they are not (AQE rebalancing), instead of a file per
-    task and snapshot."""
-    return base.hint("rebalance", "snapshot_date")
+    A state is cut where a block of snapshots ends, and the pieces are dealt by block and
+    customer. So states are shuffled instead of their rows, a task writes the files of few
+    snapshots, and what it sorts by snapshot for that is bounded whatever the size of the history.
+    """
+    rows = states.agg(F.coalesce(F.sum(F.col("until") - F.col("since")), F.lit(0))).first()[0]
+    cores = states.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-rows // task_rows), min(cores, rows // FEW))
+
+    def number(k):
+        return F.floor(k / block).cast("int")
+
+    pieces = states.withColumn("block", F.explode(F.sequence(number(F.col("since")), number(F.col("until") - 1))))
+    return (
+        pieces.withColumns(
+            {
+                "since": F.greatest("since", F.col("block") * block),
+                "until": F.least("until", (F.col("block") + 1) * block),
+            }
+        )
+        .repartitionByRange(tasks, "block", "customer_id")
+        .select(*states.columns)
+    )
 
 
 def history_starts(base: DataFrame, small: int = SMALL) -> list[RankedRow]:
@@ -132,7 +171,7 @@ def history_starts(base: DataFrame, small: int = SMALL) -> list[RankedRow]:
 
 
 def history_scores(base: DataFrame, starts: list[RankedRow]) -> DataFrame:
-    """Scores, segment and macro segment per snapshot and customer over a stored base."""
+    """Scores, segment and macro segment per snapshot and customer; a projection of ``base``."""
     scored = with_segments(with_scores(base, starts, ("snapshot_date",)))
     return scored.withColumn("macro_segment", macro_of(F.col("rfm_segment"))).select(
         "snapshot_date",

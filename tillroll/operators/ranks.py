@@ -21,7 +21,8 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SLICES = 4096
+#: Slices of a span in one round, and of all spans together: what a task counts and hands on.
+SLICES, ALL_SLICES = 4096, 65_536
 SMALL = 100_000
 #: Size of a group's sketch, and how far around a wanted rank its bounds are set, as a share of the group.
 SKETCH, AROUND = 800, 0.01
@@ -49,9 +50,9 @@ class Span:
         """A single value (and tie): there is nothing left to tell apart."""
         return self.low == self.high and self.tie_low == self.tie_high
 
-    def step(self) -> int:
+    def step(self, slices: int) -> int:
         low, high = (self.low, self.high) if self.by_value() else (self.tie_low, self.tie_high)
-        return -(-(high - low + 1) // SLICES)
+        return -(-(high - low + 1) // slices)
 
 
 @dataclass(frozen=True)
@@ -239,6 +240,7 @@ class _Search:
     def inside(self, spans: list[Span]) -> list[DataFrame]:
         """Per measure, the rows that lie in one of its spans; spans never overlap."""
         frames = []
+        slices = min(SLICES, max(2, ALL_SLICES // len(spans)))
         for name, value in self.measures.items():
             mine = [(number, s) for number, s in enumerate(spans) if s.measure == name]
             if mine:
@@ -248,12 +250,12 @@ class _Search:
                     self.tie.alias("_tie"),
                     self.weight.alias("_weight"),
                 )
-                frames.append(self._keyed(rows, mine) if self.groups else _chosen(rows, mine))
+                frames.append(self._keyed(rows, mine, slices) if self.groups else _chosen(rows, mine, slices))
         return frames
 
-    def _keyed(self, rows: DataFrame, spans: list[tuple[int, Span]]) -> DataFrame:
+    def _keyed(self, rows: DataFrame, spans: list[tuple[int, Span]], slices: int) -> DataFrame:
         bounds = {g: [s.group[i] for _, s in spans] for i, g in enumerate(self.groups)}
-        bounds |= {f"_{b.name}": [b.of(s) for _, s in spans] for b in _BOUNDS}
+        bounds |= {f"_{b.name}": [b.of(s, slices) for _, s in spans] for b in _BOUNDS}
         bounds["_span"] = [number for number, _ in spans]
         return rows.join(self._local(bounds), list(self.groups)).where(
             F.col("_value").between(F.col("_low"), F.col("_high"))
@@ -342,20 +344,20 @@ class _Search:
 @dataclass(frozen=True)
 class _Bound:
     name: str
-    of: Callable[[Span], int | bool]
+    of: Callable[[Span, int], int | bool]
 
 
 _BOUNDS = (
-    _Bound("low", lambda s: s.low),
-    _Bound("high", lambda s: s.high),
-    _Bound("tie_low", lambda s: s.tie_low),
-    _Bound("tie_high", lambda s: s.tie_high),
-    _Bound("by_value", Span.by_value),
+    _Bound("low", lambda s, _: s.low),
+    _Bound("high", lambda s, _: s.high),
+    _Bound("tie_low", lambda s, _: s.tie_low),
+    _Bound("tie_high", lambda s, _: s.tie_high),
+    _Bound("by_value", lambda s, _: s.by_value()),
     _Bound("step", Span.step),
 )
 
 
-def _chosen(rows: DataFrame, spans: list[tuple[int, Span]]) -> DataFrame:
+def _chosen(rows: DataFrame, spans: list[tuple[int, Span]], slices: int) -> DataFrame:
     """Without groups there are only as many spans as ranks, so they are literals."""
     tests = [
         F.col("_value").between(s.low, s.high) & F.col("_tie").between(s.tie_low, s.tie_high)
@@ -371,7 +373,7 @@ def _chosen(rows: DataFrame, spans: list[tuple[int, Span]]) -> DataFrame:
     return rows.select(
         "*",
         pick([number for number, _ in spans]).alias("_span"),
-        *[pick([b.of(s) for _, s in spans]).alias(f"_{b.name}") for b in _BOUNDS],
+        *[pick([b.of(s, slices) for _, s in spans]).alias(f"_{b.name}") for b in _BOUNDS],
     ).where(F.col("_span").isNotNull())
 
 

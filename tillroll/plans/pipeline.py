@@ -180,11 +180,13 @@ class Pipeline:
         self._gate("customer_rfm", self.read(CUSTOMERS))
 
     def build_history(self, calendar: str = hist.MONTH_END) -> None:
-        self._write_history(hist.history_base(self.read(VISITS), calendar))
+        sold = self.read(VISITS)
+        self._write_history(hist.history_states(sold, calendar), hist.numbered_calendar(sold, calendar))
 
-    def _write_history(self, rows: DataFrame, mode: str = "static") -> None:
-        with scratch_table(hist.by_snapshot(rows), "history_base", partition_by="snapshot_date") as base:
-            scored = hist.history_scores(base, hist.history_starts(base))
+    def _write_history(self, rows: DataFrame, calendar: DataFrame, mode: str = "static") -> None:
+        with scratch_table(rows, "history_states") as states:
+            starts = hist.history_starts(hist.repeated(states, calendar))
+            scored = hist.history_scores(hist.repeated(hist.by_snapshot(states), calendar), starts)
             scored.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(
                 "snapshot_date"
             ).parquet(self.path(HISTORY))
@@ -250,7 +252,8 @@ class Pipeline:
         later = [d for d in wanted if d > before[-1]]
         if later:
             states = history.where(F.col("snapshot_date") == F.lit(before[-1]))
-            self._write_history(hist.history_base(sold, calendar, states, before[-1]), "dynamic")
+            rows = hist.history_states(sold, calendar, states, before[-1])
+            self._write_history(rows, hist.numbered_calendar(sold, calendar), "dynamic")
         return later
 
     def run(

@@ -93,25 +93,31 @@ class Warehouse:
     def enriched(self) -> DataFrame:
         return scoring.enriched(self.customers())
 
-    def history_base(self, calendar: str = hist.MONTH_END) -> DataFrame:
+    def history_states(self, calendar: str = hist.MONTH_END) -> DataFrame:
         return self._stages.table(
-            f"history_base_{calendar}",
-            lambda: hist.by_snapshot(hist.history_base(self.visits(), calendar)),
-            partition_by="snapshot_date",
+            f"history_states_{calendar}", lambda: hist.history_states(self.visits(), calendar)
         )
 
-    def scored_history(self, calendar: str = hist.MONTH_END) -> DataFrame:
-        base = self.history_base(calendar)
+    def history_base(self, calendar: str = hist.MONTH_END) -> DataFrame:
+        return self._repeated(self.history_states(calendar), calendar)
+
+    def _repeated(self, states: DataFrame, calendar: str) -> DataFrame:
+        return hist.repeated(states, hist.numbered_calendar(self.visits(), calendar))
+
+    def _scored(self, base: DataFrame, calendar: str) -> DataFrame:
         starts = self._stages.value(
-            f"history_starts_{calendar}", lambda: hist.history_starts(base)
+            f"history_starts_{calendar}", lambda: hist.history_starts(self.history_base(calendar))
         )
         return hist.history_scores(base, starts)
 
+    def scored_history(self, calendar: str = hist.MONTH_END) -> DataFrame:
+        return self._scored(self.history_base(calendar), calendar)
+
     def history(self, calendar: str = hist.MONTH_END) -> DataFrame:
-        """The scored history as a table; scoring keeps the rows where they are, so this
-        write needs no shuffle of its own."""
-        return self._stages.table(
-            f"history_{calendar}",
-            lambda: self.scored_history(calendar),
-            partition_by="snapshot_date",
-        )
+        """The scored history as a table; the states are dealt for its write, not its rows."""
+
+        def build() -> DataFrame:
+            dealt = hist.by_snapshot(self.history_states(calendar))
+            return self._scored(self._repeated(dealt, calendar), calendar)
+
+        return self._stages.table(f"history_{calendar}", build, partition_by="snapshot_date")
