@@ -1,6 +1,9 @@
+import random
+from collections import Counter
 from datetime import date, datetime
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA
@@ -218,3 +221,32 @@ def test_date_span(raw_of):
     lines = raw_of({"invoice_date": datetime(2010, 1, 2, 3)}, {"invoice_date": datetime(2011, 1, 1)})
     assert tuple(profiling.date_span(lines).first()) == (datetime(2010, 1, 2, 3), datetime(2011, 1, 1))
     assert date(2010, 1, 2) < date(2011, 1, 1)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_duplicate_keys_of_ids_are_counted_exactly(spark, seed):
+    rng = random.Random(seed)
+    ids = [*range(-70, 200), 2**62, -(2**63), 2**63 - 1, None]
+    rows = [(rng.choice([None, "a", "b"]), rng.choice(ids)) for _ in range(700)]
+    frame = spark.createDataFrame(rows, "d string, id bigint").repartition(5)
+    for columns in (("id",), ("d", "id")):
+        keys = [k for k in ((i,) if len(columns) == 1 else (d, i) for d, i in rows) if None not in k]
+        expected = sum(n > 1 for n in Counter(keys).values())
+        assert quality.duplicated_keys(frame, columns).first()["value"] == expected > 0
+        once = frame.dropna("any").dropDuplicates(list(columns))
+        assert quality.duplicated_keys(once, columns).first()["value"] == 0
+        assert quality.duplicated_keys(frame.limit(0), columns).first()["value"] == 0
+
+
+def test_neighbouring_ids_share_a_row_of_the_duplicate_count(spark, monkeypatch):
+    """Ids that occur once are not grouped one by one, which took memory for every key."""
+    kept = []
+
+    def spy(frame, name):
+        kept.append(frame.count())
+        return frame
+
+    monkeypatch.setattr(quality, "materialize", spy)
+    frame = spark.range(10_000).union(spark.createDataFrame([(77,)], "id bigint"))
+    assert quality.duplicated_keys(frame, ("id",)).first()["value"] == 1
+    assert kept == [1]

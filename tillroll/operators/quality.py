@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.exact import count_where
+from ..sources.scratch import materialize
 
 VALUE = "decimal(24,4)"
 
@@ -184,16 +185,28 @@ def history_constraints() -> list[Check]:
 
 def duplicated_keys(frame: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """One row: ``value``, the number of key values that occur more than once."""
+    keys = frame.select(*columns).dropna("any")
+    if isinstance(frame.schema[columns[-1]].dataType, T.LongType):
+        keys = _in_doubt(keys, columns)
     return (
-        frame.select(*columns)
-        .dropna("any")
-        .groupBy(*columns)
+        keys.groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > 1)
         .agg(F.count(F.lit(1)).alias("value"))
     )
 
 
+def _in_doubt(keys: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The keys without those that are told to occur once by a bit each: 64 neighbouring ids share a row
+    with the number of keys and the ids seen. Only where the ids are fewer are the keys counted singly."""
+    *others, last = columns
+    blocked = keys.withColumn("_block", F.shiftright(last, 6))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(last).bitwiseAND(63).cast("int"))
+    seen = blocked.groupBy(*others, "_block").agg(F.count(F.lit(1)).alias("n"), F.bit_or(bit).alias("ids"))
+    doubtful = materialize(seen.where(F.col("n") > F.bit_count("ids")).drop("n", "ids"), "doubtful_keys")
+    return blocked.join(doubtful, [*others, "_block"], "left_semi").select(*columns)
+
+
 def run_checks(dataset: str, frame: DataFrame, checks: list[Check]) -> DataFrame:
     """(dataset, check, value, threshold, passed), one row per check."""
     simple = [c for c in checks if not isinstance(c.metric, tuple)]
