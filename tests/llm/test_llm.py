@@ -534,3 +534,15 @@ def test_pipeline(spark):
     library = pieces.encoder(queries.PIECE_MODEL).library
     same(found.select("doc_id", "n_tokens"), [(i, len(library.encode(t))) for i, t in clean])
     assert 0 < found.count() < docs.count()
+
+
+def test_pairs_of_pieces_outlast_a_partition_and_words_do_not(monkeypatch):
+    own = pieces.PrefixEncoder(queries.PIECE_MODEL)
+    found = own.encode("several words of one partition")
+    pairs = dict(own._side_by_side)
+    own.forget()
+    assert pairs and own._side_by_side == pairs and not own._cache
+    assert own.encode("several words of one partition") == found and own._side_by_side == pairs
+    monkeypatch.setattr(pieces, "KEPT_PAIRS", len(pairs) - 1)
+    own.forget()
+    assert not own._side_by_side and own.encode("several words of one partition") == found

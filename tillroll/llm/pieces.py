@@ -6,7 +6,8 @@ is enough to keep, for each prefix, its last piece: of the pieces that an automa
 to end there, the one that follows the last piece of the remaining prefix without a merge
 across their border. Ids are recovered from the end backwards.
 
-Whether two pieces can stand side by side is tested on the two alone and remembered.
+Whether two pieces can stand side by side is tested on the two alone and remembered, also for the
+next partitions: it is a matter of the model and not of the texts.
 
 No piece spans a word border (a space after something else) or a character that occurs in
 no piece, so texts are cut there and the result of a word is cached. The cut and the
@@ -35,6 +36,8 @@ from .common import Memo, small_batches, texts
 SPACE = "▁"
 #: Words longer than this are encoded but not cached.
 LONGEST_CACHED = 64
+#: Pairs of pieces remembered at once, and at most from one partition to the next.
+PAIRS, KEPT_PAIRS = 500_000, 200_000
 
 
 class PrefixEncoder:
@@ -55,6 +58,7 @@ class PrefixEncoder:
         self._side_by_side: dict[int, bool] = {}
         self._plain = {i: p for p, i in self._ids.items()}
         self._size = lib.get_piece_size()
+        self._decimal = [b",%d" % i for i in range(self._size)]
         self._automaton = ahocorasick.Automaton()
         for piece, number in self._ids.items():
             if self.merged(piece) == [piece]:
@@ -93,7 +97,7 @@ class PrefixEncoder:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether two pieces next to each other stay as they are."""
-        if len(self._side_by_side) > 500_000:
+        if len(self._side_by_side) > PAIRS:
             self._side_by_side.clear()
         pair = [self._plain[left], self._plain[right]]
         answer = self._side_by_side[left * self._size + right] = self.merged("".join(pair)) == pair
@@ -137,7 +141,7 @@ class PrefixEncoder:
 
     def _cached(self, word: str) -> tuple[bytes, tuple[int, ...]]:
         found = self.word_ids(word)
-        return b"".join(b",%d" % i for i in found), tuple(found)
+        return b"".join([self._decimal[i] for i in found]), tuple(found)
 
     def encode(self, text: str) -> tuple[bytes, list[int]]:
         """The ids as decimal numbers joined by commas, and as a list."""
@@ -152,9 +156,10 @@ class PrefixEncoder:
         return self.library.decode(ids)
 
     def forget(self) -> None:
-        """Drop what was remembered of words and pairs."""
+        """Drop what was remembered of words, and of pairs if they are very many."""
         self._cache.forget()
-        self._side_by_side.clear()
+        if len(self._side_by_side) > KEPT_PAIRS:
+            self._side_by_side.clear()
 
 
 @lru_cache(maxsize=1)
