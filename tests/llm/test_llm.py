@@ -318,6 +318,31 @@ def test_model_probabilities_add_up():
     assert abs(language_model.score_documents(v, net, [long, long[:7], long[:40]])[0] - alone) < 1e-3
 
 
+def test_words_beyond_the_most_frequent_are_scored_by_context():
+    n, rng = 1500, np.random.default_rng(2)
+    v = language_model.Vocabulary([b"", *(b"w%d" % i for i in range(n))], [10**6, *([50] * n)], 10**6 + 50 * n, n + 1)
+    rare = v.soft + np.arange(64)  # two words after w0 and two others after w1, in the same leaves
+    pairs = [([1, rare[3]], [1, rare[40]]), ([2, rare[9]], [2, rare[50]])]
+    documents = [np.array([*pairs[k][j], v.end], np.int32) for k, j in rng.integers(0, 2, (6000, 2)).tolist()]
+    net = language_model.Network(v)
+    before = language_model.score_documents(v, net, [np.array([1, rare[3]]), np.array([1, rare[9]])])
+    trainer = language_model.Trainer(v, net, 2e-2)
+    for i in range(0, 6000, 500):
+        trainer.learn(documents[i : i + 500])
+    score = lambda a, b: language_model.score_documents(v, net, [np.array([a, b])])[0]
+    assert abs(before[0] - before[1]) < 1e-3
+    assert score(1, rare[3]) > score(1, rare[9]) + 0.4 and score(2, rare[9]) > score(2, rare[3]) + 0.4
+    assert abs(sum(10 ** language_model.score_documents(v, net, [np.array([r]) for r in range(n + 2)])) - 1) < 1e-4
+
+
+def test_models_are_averaged_by_tokens_in_a_tree(spark):
+    rows = [(k % 3, f"w{k % 7} w{k % 11} x{k}") for k in range(600)]
+    for parts in (1, 3, 130):
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        found = language_model.language_scores(spark, frame, F.lit(True)).collect()
+        assert len(found) == 600 and all(-30 < r["score"] < 0 for r in found)
+
+
 def test_toxicity(spark, documents, empty, docs):
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
     none = labels.limit(0)

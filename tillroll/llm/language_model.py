@@ -4,16 +4,19 @@ Counts: every word of every training document is counted by one aggregation. The
 most frequent words go to all tasks, every other word (with the share of tokens that they
 have) meets its count in a join.
 
-Model: a GRU in numpy reads the words before and gives a distribution over classes; the most
-frequent words have classes of ``CLASS_WORDS`` words with a softmax of their own each, the
-other head words have classes by frequency with fixed shares (count + 1), and the last class
-holds all words beyond, known or not, in the same way plus one share for an unknown word. So
-every text has a proper probability. The state is carried from window to window to the end
-of a document and starts at zero, so a document's score does not depend on how it is cut.
+Every text is written once as its words' ranks, which training and scoring read.
+
+Model: a GRU in numpy reads the words before. Every word of the head is predicted from its state by
+softmaxes, one below the other: over classes; in a class of ``CLASS_WORDS`` of the most frequent words over
+these; in any other class over its ``CLASS_LEAVES`` leaves and in a leaf over its ``CLASS_WORDS`` words. All begin at
+the shares of the counts (count + 1). The last class holds all words beyond the head, known or not, by these
+shares plus one for an unknown word. So every text has a proper probability. As an input a
+word of the most frequent ones stands for itself, another for its class. The state is carried from window to
+window to the end of a document and starts at zero, so a document's score does not depend on how it is cut.
 
 Training: truncated backpropagation with Adam. A first model is fitted on a bounded sample
 (``WARM_DOCUMENTS``). Then every partition goes on from it over all its training documents, and
-the models are averaged by tokens, 64 at a time in a tree. Repeated runs over the same
+the models are averaged by tokens, 64 at a time in a tree, slice by slice. Repeated runs over the same
 partitions give the same model; another partitioning gives a slightly different one.
 
 A null text is the empty one, which has the end alone. Without training documents every word
@@ -36,11 +39,16 @@ from .common import id_remainder, space_words, texts
 
 #: Words whose counts go to every task; a bound whatever the corpus.
 HEAD = 131_072
-#: Words with a softmax, and words of one such class.
-SOFT_WORDS, CLASS_WORDS = 1024, 32
+#: Words that are inputs of their own, with a class for each few; words of a class or of a leaf, and leaves of a
+#: class of the other head words. What the softmaxes cover is ``HEAD``, whatever these are.
+SOFT_WORDS, CLASS_WORDS, CLASS_LEAVES = 1024, 32, 128
 HIDDEN = 8
 #: Steps of one truncated backpropagation, and parallel streams of a partition.
 WINDOW, STREAMS = 16, 256
+#: First step of a leaf's weights, and how often a window meets a leaf whose gradients are added one by one.
+LEAF_RATE, MET_SINGLY = 0.3, 4
+#: Parameters of one slice of a model.
+PIECE = 16_384
 #: Documents of the first fit on the driver.
 WARM_DOCUMENTS = 400
 #: Steps scored at once, and tokens held at once while scoring.
@@ -52,33 +60,29 @@ END = b""
 
 
 class Vocabulary:
-    """Ranks, classes and fixed shares of the head words."""
+    """Ranks and places in the tree of classes of the head words."""
 
     def __init__(self, words: list[bytes], counts: list[int], total: int, distinct: int):
         at = words.index(END) if END in words else None
         order = list(range(len(words)))
         if at is not None and at >= SOFT_WORDS:
-            order.insert(SOFT_WORDS - 1, order.pop(at))  # the end is predicted from the state
+            order.insert(SOFT_WORDS - 1, order.pop(at))  # the end is predicted by its class and itself
         self.rank = {words[i]: r for r, i in enumerate(order)}
         self.counts = np.array([counts[i] for i in order], np.float64)
         self.total, self.distinct = total, distinct
         n = len(words)
         self.soft = min(SOFT_WORDS, n)
         ranks = np.arange(n + 1)
-        soft_classes = -(-self.soft // CLASS_WORDS)
-        binned = soft_classes + np.log2(np.maximum(ranks, SOFT_WORDS) / SOFT_WORDS).astype(np.int64)
-        self.class_of = np.where(ranks < self.soft, ranks // CLASS_WORDS, binned)
-        self.class_of[n] = self.class_of[:n].max(initial=-1) + 1
+        self.soft_classes = -(-self.soft // CLASS_WORDS)
+        self.leaves = -(-(n - self.soft) // CLASS_WORDS)
+        self.rest_classes = -(-self.leaves // CLASS_LEAVES)
+        behind = (ranks - self.soft) // (CLASS_WORDS * CLASS_LEAVES)
+        self.class_of = np.where(ranks < self.soft, ranks // CLASS_WORDS, self.soft_classes + behind)
+        self.class_of[n] = self.soft_classes + self.rest_classes
         self.classes = int(self.class_of[n]) + 1
-        self.soft_classes = soft_classes
         # what goes into the state: a soft word itself, of others the class
-        self.inputs = np.where(ranks < self.soft, ranks, self.soft + self.class_of - soft_classes)
-        self.inputs[n] = self.soft + self.classes - 1 - soft_classes
-        self.n_inputs = self.soft + self.classes - soft_classes
-        shares = np.bincount(self.class_of[:n], self.counts + 1, minlength=self.classes)
-        self.fixed = np.zeros(n + 1)
-        rest = ranks[:n] >= self.soft
-        self.fixed[:n][rest] = np.log10((self.counts[rest] + 1) / shares[self.class_of[:n][rest]])
+        self.inputs = np.where(ranks < self.soft, ranks, self.soft + self.class_of - self.soft_classes)
+        self.n_inputs = self.soft + self.classes - self.soft_classes
         #: shares of the last class: counts and kinds beyond the head, and the unknown word
         self.tail = total - int(self.counts.sum()) + (distinct - n) + 1
         self.base = np.log10((self.counts + 1) / (total + distinct + 1))
@@ -91,19 +95,34 @@ class Vocabulary:
         return np.append(found, np.int32(self.end))
 
 
+def _shares(sums: np.ndarray, width: int) -> np.ndarray:
+    """Logarithms of the shares in groups of ``width``, the last one filled up with almost none."""
+    groups = max(1, -(-len(sums) // width))
+    padded = np.full(groups * width, 1e-9)
+    padded[: len(sums)] = sums
+    padded = padded.reshape(groups, width)
+    return np.log(padded / padded.sum(axis=1, keepdims=True))
+
+
 class Network:
-    """Parameters as one vector, with a view for each part."""
+    """Parameters as one vector, with a view for each part; the last weight of a row of
+    ``classes``, ``words`` and ``branches`` is its bias, as is the last row of a leaf.
 
-    def __init__(self, v: Vocabulary, flat: np.ndarray | None = None):
+    States stand in columns, so that steps run over contiguous rows.
+    """
+
+    def __init__(self, v: Vocabulary, flat: np.ndarray | None = None, leaves: bool = True):
         h = HIDDEN
         shapes = {
-            "inputs": (v.n_inputs, 3 * h),
-            "state": (h, 3 * h),
-            "classes": (h, v.classes),
-            "class_bias": (v.classes,),
-            "words": (max(1, v.soft_classes), h, CLASS_WORDS),
-            "word_bias": (max(1, v.soft_classes), CLASS_WORDS),
+            "inputs": (3 * h, v.n_inputs),
+            "state": (3 * h, h),
+            "classes": (v.classes, h + 1),
+            "words": (max(1, v.soft_classes), CLASS_WORDS, h + 1),
+            "branches": (max(1, v.rest_classes), CLASS_LEAVES, h + 1),
         }
+        self.dense = sum(int(np.prod(s)) for s in shapes.values())
+        if leaves:
+            shapes["leaves"] = (max(1, v.leaves), h + 1, CLASS_WORDS)
         sizes = {k: int(np.prod(s)) for k, s in shapes.items()}
         self.flat = np.zeros(sum(sizes.values()), np.float32) if flat is None else flat.astype(np.float32)
         at = 0
@@ -111,17 +130,19 @@ class Network:
         for k, s in shapes.items():
             self.parts[k] = self.flat[at : at + sizes[k]].reshape(s)
             at += sizes[k]
-        if flat is None:
+        if flat is None and leaves:
             rng = np.random.default_rng(11)
             for k in ("inputs", "state", "classes", "words"):
                 self.parts[k][:] = rng.normal(0, 0.3, shapes[k])
-            sums = np.bincount(v.class_of[: len(v.counts)], v.counts + 1, minlength=v.classes)
+            kinds = v.counts + 1
+            sums = np.bincount(v.class_of[:-1], kinds, minlength=v.classes)
             sums[v.classes - 1] = v.tail
-            self.parts["class_bias"][:] = np.log(sums / sums.sum())
-            padded = np.full(self.parts["word_bias"].size, 1e-9)
-            padded[: v.soft] = v.counts[: v.soft] + 1
-            padded = padded.reshape(-1, CLASS_WORDS)
-            self.parts["word_bias"][:] = np.log(padded / padded.sum(axis=1, keepdims=True))
+            self.parts["classes"][:, -1] = np.log(sums / sums.sum())
+            self.parts["words"][:, :, -1] = _shares(kinds[: v.soft], CLASS_WORDS)
+            rest = kinds[v.soft :]
+            by_leaf = np.bincount(np.arange(len(rest)) // CLASS_WORDS, rest, minlength=v.leaves)
+            self.parts["branches"][:, :, -1] = _shares(by_leaf, CLASS_LEAVES)
+            self.parts["leaves"][:, -1] = _shares(rest, CLASS_WORDS)
 
     def __getitem__(self, name: str) -> np.ndarray:
         return self.parts[name]
@@ -130,45 +151,86 @@ class Network:
 def _step(x: np.ndarray, h: np.ndarray, state: np.ndarray) -> tuple:
     """One step of the recurrent unit; also what going back needs."""
     n = HIDDEN
-    g = h @ state
-    gates = x[:, : 2 * n] + g[:, : 2 * n]
+    g = state @ h
+    gates = x[: 2 * n] + g[: 2 * n]
     gates *= 0.5
     np.tanh(gates, out=gates)
     gates += 1
     gates *= 0.5
-    r, z = gates[:, :n], gates[:, n:]
-    new = np.tanh(x[:, 2 * n :] + r * g[:, 2 * n :])
-    return new + z * (h - new), r, z, new, g[:, 2 * n :]
-
-
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    r, z = gates[:n], gates[n:]
+    new = r * g[2 * n :]
+    new += x[2 * n :]
+    np.tanh(new, out=new)
+    now = h - new
+    now *= z
+    now += new
+    return now, r, z, new, g[2 * n :]
+
+
+def _shifted_exp(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """In place, each column's exponentials after its largest was taken off, and their sums."""
+    logits -= logits.max(axis=0)
+    np.exp(logits, out=logits)
+    return logits, logits.sum(axis=0)
+
+
+def _errors(logits: np.ndarray, wanted: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The weighted gradient for logits in columns, in place."""
+    d, sums = _shifted_exp(logits)
+    d *= weight / sums
+    d[wanted, np.arange(len(wanted))] -= weight
+    return d
+
+
+def _chosen(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Log probabilities of the wanted rows of columns of logits."""
+    logits -= logits.max(axis=0)
+    own = logits[wanted, np.arange(len(wanted))]
+    np.exp(logits, out=logits)
+    return own - np.log(logits.sum(axis=0))
+
+
+def _by_class(classes: np.ndarray, first: int, last: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """The places of classes from ``first`` to before ``last`` in their order, and each one's part of it."""
+    places = np.flatnonzero((classes >= first) & (classes < last))
+    own = (classes[places] - first).astype(np.int16)
+    order = np.argsort(own, kind="stable")
+    bounds = np.searchsorted(own[order], np.arange(last - first + 1)).tolist()
+    return places[order], [(c, slice(a, b)) for c, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+
+
+def _group_logits(weights: np.ndarray, own: np.ndarray, parts: list[tuple[int, slice]]) -> np.ndarray:
+    logits = np.empty((weights.shape[1], own.shape[1]), np.float32)
+    for c, part in parts:
+        logits[:, part] = weights[c] @ own[:, part]
     return logits
 
 
-def _by_class(classes: np.ndarray, soft: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
-    """The places of soft words in order of their classes, and each class's part of that order."""
-    order = np.argsort(classes, kind="stable")
-    bounds = np.searchsorted(classes[order], np.arange(soft + 1)).tolist()
-    return order[: bounds[soft]], [(c, slice(a, b)) for c, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+def _levels(v: Vocabulary, wanted: np.ndarray) -> Iterator[tuple[str, np.ndarray, list, np.ndarray]]:
+    """Below the classes: the part of the network, the places in order of their classes, each
+    class's part of that order, and what is wanted within the class."""
+    classes = v.class_of[wanted]
+    rows, parts = _by_class(classes, 0, v.soft_classes)
+    if parts:
+        yield "words", rows, parts, wanted[rows] % CLASS_WORDS
+    rows, parts = _by_class(classes, v.soft_classes, v.soft_classes + v.rest_classes)
+    if parts:
+        yield "branches", rows, parts, (wanted[rows] - v.soft) // CLASS_WORDS % CLASS_LEAVES
 
 
-def _word_logits(net: Network, own: np.ndarray, classes: np.ndarray, parts: list[tuple[int, slice]]) -> np.ndarray:
-    """Log probabilities within their classes for states in order of the classes."""
-    logits = np.empty((len(own), CLASS_WORDS), np.float32)
-    for c, part in parts:
-        np.matmul(own[part], net["words"][c], out=logits[part])
-    logits += net["word_bias"][classes]
-    return _log_softmax(logits)
+def _leaf_logits(weights: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Logits in columns of states (rows, with a one at the end), each with its leaf's weights."""
+    return np.ascontiguousarray(np.matmul(own[:, None, :], weights)[:, 0].T)
 
 
 class Trainer:
-    """Adam on truncated windows of parallel streams of documents."""
+    """Truncated windows of parallel streams of documents: Adam, and for the leaves, of which a
+    window meets few, a step by the root of all its squared gradients so far."""
 
     def __init__(self, v: Vocabulary, net: Network, rate: float):
         self.v, self.net, self.rate = v, net, rate
-        self.m, self.s = np.zeros_like(net.flat), np.zeros_like(net.flat)
+        self.m, self.s = np.zeros(net.dense, np.float32), np.zeros(net.dense, np.float32)
+        self.leaf_squares = np.ones(len(net["leaves"]), np.float32)
         self.steps = 0
 
     def learn(self, documents: list[np.ndarray]) -> None:
@@ -186,70 +248,89 @@ class Trainer:
         pad = len(live) - len(targets)
         targets, inputs, starts = (np.append(a, np.zeros(pad, a.dtype)) for a in (targets, inputs, starts))
         targets, inputs, starts, live = (a.reshape(streams, length).T for a in (targets, inputs, starts, live))
-        h = np.zeros((streams, HIDDEN), np.float32)
+        h = np.zeros((HIDDEN, streams), np.float32)
         for t in range(0, length, WINDOW):
             w = slice(t, t + WINDOW)
             h = self._window(inputs[w], targets[w], starts[w], live[w], h)
 
     def _window(self, inputs, targets, starts, live, h) -> np.ndarray:
-        net, v = self.net, self.v
+        net, v, n = self.net, self.v, HIDDEN
         steps, streams = inputs.shape
-        x = net["inputs"][inputs]
-        states = np.empty((steps, streams, HIDDEN), np.float32)
-        before, r, z, new, gn = (np.empty_like(states) for _ in range(5))
-        going = (~starts[:, :, None]).astype(np.float32)
+        ids, wanted = inputs.ravel(), targets.ravel()
+        x = np.take(net["inputs"], ids, axis=1).reshape(3 * n, steps, streams)
+        # feature, step, stream; the last feature of a state is one
+        states = np.ones((n + 1, steps, streams), np.float32)
+        before, r, z, new, gn = (np.empty((n, steps, streams), np.float32) for _ in range(5))
+        going = (~starts).astype(np.float32)
         for t in range(steps):
-            before[t] = h * going[t]
-            h, r[t], z[t], new[t], gn[t] = _step(x[t], before[t], net["state"])
-            states[t] = h
-        grad = Network(v, np.zeros_like(net.flat))
-        weight = live.reshape(-1, 1).astype(np.float32) / max(1, live.sum())
-        flat, wanted = states.reshape(-1, HIDDEN), targets.ravel()
-        classes = v.class_of[wanted]
-        d = np.exp(_log_softmax(flat @ net["classes"] + net["class_bias"]))
-        d[np.arange(len(d)), classes] -= 1
-        d *= weight
-        grad["classes"][:] = flat.T @ d
-        grad["class_bias"][:] = d.sum(axis=0)
-        dh = d @ net["classes"].T
-        rows, parts = _by_class(classes, v.soft_classes)
-        if parts:
-            own, sorted_classes = flat[rows], classes[rows]
-            d = np.exp(_word_logits(net, own, sorted_classes, parts))
-            d[np.arange(len(d)), wanted[rows] - sorted_classes * CLASS_WORDS] -= 1
-            d *= weight[rows]
-            back_to = np.empty_like(own)
+            before[:, t] = h * going[t]
+            h, r[:, t], z[:, t], new[:, t], gn[:, t] = _step(x[:, t], before[:, t], net["state"])
+            states[:n, t] = h
+        grad = Network(v, np.zeros(net.dense, np.float32), leaves=False)
+        weight = live.ravel().astype(np.float32) / max(1, live.sum())
+        flat = states.reshape(n + 1, -1)
+        d = _errors(net["classes"] @ flat, v.class_of[wanted], weight)
+        np.matmul(d, flat.T, out=grad["classes"])
+        dh = net["classes"][:, :n].T @ d
+        for name, rows, parts, within in _levels(v, wanted):
+            own = np.take(flat, rows, axis=1)
+            d = _errors(_group_logits(net[name], own, parts), within, weight[rows])
+            back_to = np.empty((n, len(rows)), np.float32)
             for c, part in parts:
-                np.matmul(own[part].T, d[part], out=grad["words"][c])
-                np.matmul(d[part], net["words"][c].T, out=back_to[part])
-            firsts = [part.start for _, part in parts]
-            grad["word_bias"][[c for c, _ in parts]] = np.add.reduceat(d, firsts)
-            dh[rows] += back_to
-        dh = dh.reshape(states.shape)
-        n = HIDDEN
+                np.matmul(d[:, part], own[:, part].T, out=grad[name][c])
+                back_to[:, part] = net[name][c, :, :n].T @ d[:, part]
+            dh[:, rows] += back_to
+        self._leaves(flat, wanted, weight, dh)
+        dh = dh.reshape(n, steps, streams)
         # what the gates' gradients are, but for the gradient that comes back
         to_new = (1 - z) * (1 - new * new)
         to_reset = to_new * gn * r * (1 - r)
         to_update = (before - new) * z * (1 - z)
-        back = np.zeros((streams, n), np.float32)
+        back = np.zeros((n, streams), np.float32)
         dx, dg = np.empty_like(x), np.empty_like(x)
         across = np.ascontiguousarray(net["state"].T)
         for t in range(steps - 1, -1, -1):
-            whole = dh[t] + back
-            np.multiply(whole, to_reset[t], out=dg[t, :, :n])
-            np.multiply(whole, to_update[t], out=dg[t, :, n : 2 * n])
-            da = np.multiply(whole, to_new[t], out=dx[t, :, 2 * n :])
-            np.multiply(da, r[t], out=dg[t, :, 2 * n :])
-            back = (whole * z[t] + dg[t] @ across) * going[t]
-        dx[:, :, : 2 * n] = dg[:, :, : 2 * n]
-        grad["state"][:] = before.reshape(-1, n).T @ dg.reshape(-1, 3 * n)
-        ids = inputs.ravel()
-        order = np.argsort(ids, kind="stable")
-        firsts = np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))
-        grad["inputs"][ids[order][firsts]] = np.add.reduceat(dx.reshape(-1, 3 * n)[order], firsts)
+            whole = dh[:, t] + back
+            np.multiply(whole, to_reset[:, t], out=dg[:n, t])
+            np.multiply(whole, to_update[:, t], out=dg[n : 2 * n, t])
+            da = np.multiply(whole, to_new[:, t], out=dx[2 * n :, t])
+            np.multiply(da, r[:, t], out=dg[2 * n :, t])
+            back = (whole * z[:, t] + across @ dg[:, t]) * going[t]
+        dx[: 2 * n] = dg[: 2 * n]
+        np.matmul(dg.reshape(3 * n, -1), before.reshape(n, -1).T, out=grad["state"])
+        for sums, values in zip(grad["inputs"], dx.reshape(3 * n, -1)):
+            sums[:] = np.bincount(ids, values, minlength=len(sums))
         self._update(grad.flat)
         return h
 
+    def _leaves(self, flat: np.ndarray, wanted: np.ndarray, weight: np.ndarray, dh: np.ndarray) -> None:
+        """Step the leaves of the wanted words and add to the states' gradients."""
+        v, n = self.v, HIDDEN
+        places = np.flatnonzero((wanted >= v.soft) & (wanted < len(v.counts)) & (weight > 0))
+        if not len(places):
+            return
+        leaf = (wanted[places] - v.soft) // CLASS_WORDS
+        order = np.argsort(leaf.astype(np.int16), kind="stable")
+        places, leaf = places[order], leaf[order]
+        own = np.ascontiguousarray(flat[:, places].T)
+        weights = self.net["leaves"][leaf]
+        within = (wanted[places] - v.soft) % CLASS_WORDS
+        d = np.ascontiguousarray(_errors(_leaf_logits(weights, own), within, np.ones(len(leaf), np.float32)).T)
+        dh[:, places] += np.matmul(weights[:, :n], d[:, :, None])[:, :, 0].T * weight[places]
+        firsts = np.flatnonzero(np.append(True, leaf[1:] != leaf[:-1]))
+        met, times = leaf[firsts], np.diff(np.append(firsts, len(leaf)))
+        g = own[firsts, :, None] * d[firsts, None, :]
+        for k in range(1, MET_SINGLY):
+            more = np.flatnonzero((times > k) & (times <= MET_SINGLY))
+            g[more] += own[firsts[more] + k, :, None] * d[firsts[more] + k, None, :]
+        for i in np.flatnonzero(times > MET_SINGLY).tolist():
+            part = slice(firsts[i], firsts[i] + times[i])
+            np.matmul(own[part].T, d[part], out=g[i])
+        by_leaf = g.reshape(len(g), -1)
+        self.leaf_squares[met] += np.einsum("ij,ij->i", by_leaf, by_leaf)
+        g *= (LEAF_RATE / np.sqrt(self.leaf_squares[met]))[:, None, None]
+        self.net["leaves"][met] = weights[firsts] - g
+
     def _update(self, g: np.ndarray) -> None:
         norm = float(np.sqrt(g @ g))
         if norm > 1:
@@ -258,17 +339,19 @@ class Trainer:
         self.m += 0.1 * (g - self.m)
         self.s += 0.01 * (g * g - self.s)
         m, s = self.m / (1 - 0.9**self.steps), self.s / (1 - 0.99**self.steps)
-        self.net.flat -= self.rate * m / (np.sqrt(s) + 1e-8)
+        self.net.flat[: self.net.dense] -= self.rate * m / (np.sqrt(s) + 1e-8)
 
 
 def _log_probabilities(v: Vocabulary, net: Network, states: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Of the words' classes, and of soft words within them."""
-    classes = v.class_of[wanted]
-    scores = _log_softmax(states @ net["classes"] + net["class_bias"])[np.arange(len(states)), classes]
-    some, parts = _by_class(classes, v.soft_classes)
-    if parts:
-        within = _word_logits(net, states[some], classes[some], parts)
-        scores[some] += within[np.arange(len(some)), wanted[some] - classes[some] * CLASS_WORDS]
+    """Of the wanted words, of those beyond the head the class's, for states in columns with a one at the end."""
+    scores = _chosen(net["classes"] @ states, v.class_of[wanted])
+    for name, rows, parts, within in _levels(v, wanted):
+        scores[rows] += _chosen(_group_logits(net[name], np.take(states, rows, axis=1), parts), within)
+    rows = np.flatnonzero((wanted >= v.soft) & (wanted < len(v.counts)))
+    if len(rows):
+        leaf, within = np.divmod(wanted[rows] - v.soft, CLASS_WORDS)
+        own = np.ascontiguousarray(states[:, rows].T)
+        scores[rows] += _chosen(_leaf_logits(net["leaves"][leaf], own), within)
     return scores
 
 
@@ -277,7 +360,7 @@ def score_documents(v: Vocabulary, net: Network, documents: list[np.ndarray]) ->
     lengths = np.array([len(d) for d in documents])
     order = np.argsort(-lengths, kind="stable")
     out = np.zeros(len(documents))
-    h = np.zeros((len(documents), HIDDEN), np.float32)
+    h = np.zeros((HIDDEN, len(documents)), np.float32)
     last = np.full(len(documents), v.end, np.int32)
     for t in range(0, int(lengths.max(initial=0)), SCORED_STEPS):
         active = int(np.searchsorted(-lengths[order], -t))
@@ -288,20 +371,20 @@ def score_documents(v: Vocabulary, net: Network, documents: list[np.ndarray]) ->
             part = documents[i][t : t + steps]
             targets[: len(part), j] = part
         valid = lengths[rows] > np.arange(t, t + steps)[:, None]
-        x = net["inputs"][v.inputs[np.vstack([last[None, :active], targets[:-1]])]]
-        states = np.empty((steps, active, HIDDEN), np.float32)
-        now = h[:active]
+        inputs = v.inputs[np.vstack([last[None, :active], targets[:-1]])]
+        states = np.ones((HIDDEN + 1, steps, active), np.float32)
+        now = np.ascontiguousarray(h[:, :active])
         for k in range(steps):
-            now = _step(x[k], now, net["state"])[0]
-            states[k] = now
-        h[:active], last[:active] = now, targets[-1]
-        own, wanted = states[valid], targets[valid]
+            now = _step(np.take(net["inputs"], inputs[k], axis=1), now, net["state"])[0]
+            states[:HIDDEN, k] = now
+        h[:, :active], last[:active] = now, targets[-1]
+        own, wanted = states[:, valid], targets[valid]
         owners = np.broadcast_to(rows, valid.shape)[valid]
-        scores = np.empty(len(own))
-        for at in range(0, len(own), TOGETHER):
+        scores = np.empty(len(wanted))
+        for at in range(0, len(wanted), TOGETHER):
             part = slice(at, at + TOGETHER)
-            scores[part] = _log_probabilities(v, net, own[part], wanted[part])
-        out += np.bincount(owners, scores / np.log(10) + v.fixed[wanted], minlength=len(out))
+            scores[part] = _log_probabilities(v, net, np.ascontiguousarray(own[:, part]), wanted[part])
+        out += np.bincount(owners, scores / np.log(10), minlength=len(out))
     return out
 
 
@@ -343,11 +426,41 @@ def head_words(counts: DataFrame, most: int = HEAD) -> list:
     return sorted(held, key=lambda r: (-r["n"], bytes(r["word"])))
 
 
+def _encoded(v: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranks of the words of each text; the words beyond the head with their numbers."""
+    part, at, n = TaskContext.get().partitionId(), 0, len(v.counts)
+    for batch in batches:
+        ranks, tails = [], []
+        for text in batch.column("text").cast(pa.binary()).to_pylist():
+            words = space_words(text)
+            found = v.ranks_of(words)
+            words.append(END)
+            ranks.append(found.tobytes())
+            tails.append(Counter([words[i] for i in np.flatnonzero(found == n).tolist()]))
+        offsets = pa.array(np.cumsum([0, *map(len, tails)]), pa.int32())
+        words = pa.array([w for t in tails for w in t], pa.binary())
+        numbers = pa.array([k for t in tails for k in t.values()], pa.int32())
+        yield pa.RecordBatch.from_pydict(
+            {
+                "row": pa.array(np.arange(at, at + len(ranks)) + (part << 33)),
+                "doc_id": batch.column("doc_id"),
+                "learnt": batch.column("learnt"),
+                "ranks": pa.array(ranks, pa.binary()),
+                "tail_words": pa.ListArray.from_arrays(offsets, words),
+                "tail_numbers": pa.ListArray.from_arrays(offsets, numbers),
+            }
+        )
+        at += len(ranks)
+
+
+def _ranks(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(r, np.int32) for r in batch.column("ranks").to_pylist()]
+
+
 def _learnt(v: Vocabulary, flat: np.ndarray, batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, int]:
     trainer, tokens = Trainer(v, Network(v, flat), 1e-3), 0
     for batch in batches:
-        texts_ = batch.column("text").cast(pa.binary()).to_pylist()
-        documents = [v.ranks_of(space_words(t)) for t in texts_]
+        documents = _ranks(batch)
         if documents:
             trainer.learn(documents)
             tokens += sum(map(len, documents))
@@ -355,28 +468,30 @@ def _learnt(v: Vocabulary, flat: np.ndarray, batches: Iterator[pa.RecordBatch])
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for the rows of each node of the tree that are in this partition."""
-    sums: dict[int, list] = {}
+    """One row for the rows of each node of the tree and slice of the parameters in this partition."""
+    sums: dict[tuple[int, int], list] = {}
     for batch in batches:
-        for node, tokens, raw in zip(*(batch.column(c).to_pylist() for c in ("node", "tokens", "params"))):
-            own = sums.setdefault(node, [0, 0.0])
+        for node, piece, tokens, raw in zip(*(batch.column(c).to_pylist() for c in ("node", "piece", "tokens", "params"))):
+            own = sums.setdefault((node, piece), [0, 0.0])
             own[0] += tokens
-            own[1] = own[1] + np.frombuffer(raw, np.float64)
+            own[1] = own[1] + np.frombuffer(raw, np.float32).astype(np.float64) * tokens
     if sums:
         yield pa.RecordBatch.from_pydict(
             {
-                "node": pa.array(list(sums), pa.int64()),
+                "node": pa.array([node for node, _ in sums], pa.int64()),
+                "piece": pa.array([piece for _, piece in sums], pa.int64()),
                 "tokens": pa.array([s[0] for s in sums.values()], pa.int64()),
-                "params": pa.array([s[1].tobytes() for s in sums.values()], pa.binary()),
+                "params": pa.array([(s[1] / s[0]).astype(np.float32).tobytes() for s in sums.values()], pa.binary()),
             }
         )
 
 
-_TREE = "node long, tokens long, params binary"
+_TREE = "node long, piece long, tokens long, params binary"
 
 
-def train(spark: SparkSession, learning: DataFrame, v: Vocabulary, documents: int) -> np.ndarray:
-    """The parameters after the first fit and one pass over all of ``learning``, so many documents."""
+def train(spark: SparkSession, learning: DataFrame, encoded: DataFrame, v: Vocabulary, documents: int) -> np.ndarray:
+    """The parameters after the first fit and one pass over all of ``learning``, so many documents,
+    which ``encoded`` has as ranks."""
     net = Network(v)
     if not documents:
         return net.flat
@@ -393,83 +508,76 @@ def train(spark: SparkSession, learning: DataFrame, v: Vocabulary, documents: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, tokens = _learnt(*known.value, batches)
         if tokens:
+            pieces = [flat[i : i + PIECE].tobytes() for i in range(0, len(flat), PIECE)]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "node": pa.array([TaskContext.get().partitionId()], pa.int64()),
-                    "tokens": pa.array([tokens], pa.int64()),
-                    "params": pa.array([(flat.astype(np.float64) * tokens).tobytes()], pa.binary()),
+                    "node": pa.array([TaskContext.get().partitionId()] * len(pieces), pa.int64()),
+                    "piece": pa.array(range(len(pieces)), pa.int64()),
+                    "tokens": pa.array([tokens] * len(pieces), pa.int64()),
+                    "params": pa.array(pieces, pa.binary()),
                 }
             )
 
-    level = materialize(learning.mapInArrow(run, _TREE), "models")
-    nodes = level.count()
-    while nodes > 64:
+    level = materialize(encoded.where("learnt").select("ranks").mapInArrow(run, _TREE), "models")
+    pieces, last = -(-len(net.flat) // PIECE), level.agg(F.max("node")).first()[0]
+    while last:
+        last //= 64
         parents = level.withColumn("node", F.floor(F.col("node") / 64))
-        level = materialize(
-            parents.repartition(-(-nodes // 64), "node").mapInArrow(_summed, _TREE), "models"
-        )
-        fewer = level.count()
-        if fewer >= nodes:
-            break
-        nodes = fewer
-    rows = level.orderBy("node").collect()
-    total = sum(r["tokens"] for r in rows)
-    return sum(np.frombuffer(r["params"], np.float64) for r in rows) / total
+        dealt = parents.repartition(pieces * (last + 1), "node", "piece")
+        level = materialize(dealt.mapInArrow(_summed, _TREE), "models")
+    rows = level.orderBy("piece").collect()
+    return np.concatenate([np.frombuffer(r["params"], np.float32) for r in rows])
 
 
 def _head_scores(v: Vocabulary, net: Network, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Everything of a row that needs no join; the words beyond the head with their numbers."""
-    part, at, n = TaskContext.get().partitionId(), 0, len(v.counts)
+    """Everything of a row that needs no join."""
+    n, base = len(v.counts), np.append(v.base, 0.0)
 
-    def flush(ids: list, ranks: list, tails: list) -> pa.RecordBatch:
-        nonlocal at
-        rows = pa.array(np.arange(at, at + len(ids)) + (part << 33))
-        at += len(ids)
-        offsets = pa.array(np.cumsum([0, *map(len, tails)]), pa.int32())
-        words = pa.array([w for t in tails for w in t], pa.binary())
-        numbers = pa.array([k for t in tails for k in t.values()], pa.int32())
-        base = np.append(v.base, 0.0)
+    def flush(rows: list, ids: list, ranks: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict(
             {
-                "row": rows,
+                "row": pa.array(rows, pa.int64()),
                 "doc_id": pa.array(ids, pa.int64()),
                 "n_tokens": pa.array([len(r) for r in ranks], pa.int64()),
                 "head_known": pa.array([int((r < n).sum()) for r in ranks], pa.int64()),
                 "head_base": pa.array([float(base[r].sum()) for r in ranks], pa.float64()),
                 "head_score": pa.array(score_documents(v, net, ranks), pa.float64()),
-                "tail_words": pa.ListArray.from_arrays(offsets, words),
-                "tail_numbers": pa.ListArray.from_arrays(offsets, numbers),
             }
         )
 
-    ids, ranks, tails, tokens = [], [], [], 0
+    rows, ids, ranks, tokens = [], [], [], 0
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
-            words = space_words(text)
-            found = v.ranks_of(words)
-            words.append(END)
+        for row, doc_id, found in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), _ranks(batch)):
+            rows.append(row)
             ids.append(doc_id)
             ranks.append(found)
-            tails.append(Counter([words[i] for i in np.flatnonzero(found == n).tolist()]))
             tokens += len(found)
             if tokens > SCORED_TOKENS:
-                yield flush(ids, ranks, tails)
-                ids, ranks, tails, tokens = [], [], [], 0
+                yield flush(rows, ids, ranks)
+                rows, ids, ranks, tokens = [], [], [], 0
     if ids:
-        yield flush(ids, ranks, tails)
+        yield flush(rows, ids, ranks)
 
 
 def language_scores(spark: SparkSession, docs: DataFrame, learnt: Column) -> DataFrame:
     """Scores of every document row by a model of the rows where ``learnt`` is true."""
-    all_texts = texts(docs)
-    learning = all_texts.where(learnt)
+    all_texts = texts(docs).withColumn("learnt", F.coalesce(learnt, F.lit(False)))
+    learning = all_texts.where("learnt")
     counts = materialize(word_counts(learning), "word_counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     head = head_words(counts)
     v = Vocabulary([bytes(r["word"]) for r in head], [r["n"] for r in head], total, distinct)
     # every learnt document has one end
     documents = int(v.counts[v.rank[END]]) if END in v.rank else counts.where(F.col("word") == F.lit(END)).agg(F.sum("n")).first()[0]
-    params = train(spark, learning, v, documents or 0)
+    words = spark.sparkContext.broadcast(v)
+    encoded = materialize(
+        all_texts.mapInArrow(
+            lambda batches: _encoded(words.value, batches),
+            "row long, doc_id long, learnt boolean, ranks binary, tail_words array<binary>, tail_numbers array<int>",
+        ),
+        "encoded_texts",
+    )
+    params = train(spark, learning, encoded, v, documents or 0)
     known = spark.sparkContext.broadcast((v, params))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -477,14 +585,12 @@ def language_scores(spark: SparkSession, docs: DataFrame, learnt: Column) -> Dat
         yield from _head_scores(vocabulary, Network(vocabulary, flat), batches)
 
     rows = materialize(
-        all_texts.mapInArrow(
-            run,
-            "row long, doc_id long, n_tokens long, head_known long, head_base double, head_score double, "
-            "tail_words array<binary>, tail_numbers array<int>",
+        encoded.select("row", "doc_id", "ranks").mapInArrow(
+            run, "row long, doc_id long, n_tokens long, head_known long, head_base double, head_score double"
         ),
         "scored_rows",
     )
-    tail = rows.select("row", F.explode(F.arrays_zip("tail_words", "tail_numbers")).alias("t")).select(
+    tail = encoded.select("row", F.explode(F.arrays_zip("tail_words", "tail_numbers")).alias("t")).select(
         "row", F.col("t.tail_words").alias("word"), F.col("t.tail_numbers").alias("times")
     )
     c = F.coalesce("n", F.lit(0))
@@ -498,7 +604,7 @@ def language_scores(spark: SparkSession, docs: DataFrame, learnt: Column) -> Dat
         )
     )
     or_zero = lambda name: F.coalesce(name, F.lit(0))
-    return rows.drop("tail_words", "tail_numbers").join(per_row, "row", "left").select(
+    return rows.join(per_row, "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("head_known") + or_zero("tail_known")).alias("n_known"),
