@@ -103,3 +103,24 @@ def test_texts_are_cut_at_ends_of_pieces(monkeypatch):
     text = b"one two. three four five six seven. eight."
     assert b".".join(phrases._parts(text)) == text
     assert list(phrases._parts(b"no end of a piece anywhere here")) == [b"no end of a piece anywhere here"]
+
+
+def test_candidates_are_handed_on_packed(spark):
+    """Few rows go through Spark, whatever the number of phrases."""
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(["en", "fr"][i % 2], " ".join(rng.choice(words, 400))) for i in range(60)]
+    frame = spark.createDataFrame([(1, t, lang, "p", 1, 2, 3, 4) for lang, t in rows], SCHEMA).coalesce(2)
+    plainly = phrases.small_batches(phrases.by_language(frame))
+    frequent = phrases.word_counts(plainly).where("f >= 3")
+    counts = Counter((lang, *p) for lang, t in rows for p in zip(t.split(), t.split()[1:]))
+    expected = Counter((lang, f"{a} {b}") for (lang, a, b), n in counts.items() if n >= 3)
+    for buckets in (1, 7, 300):
+        found = phrases.candidates(plainly, frequent, 2, 3, buckets)
+        assert Counter(map(tuple, found.collect())) == expected
+    # every task packs its phrases, more than 3,000 of a language, into a row per bucket
+    known = phrases.Words()
+    codes = known.codes([b"a", b"b", b"c d"])
+    keys = np.array([codes[0] << 21 | codes[1], codes[1] << 21 | codes[2], codes[2] << 21 | codes[0]])
+    sent = [r for b in phrases._packed(b"en", known, keys, np.array([1, 2, 3]), 2, 2) for r in b.to_pylist()]
+    assert len(sent) <= 2 and sorted(b"".join(r["phrases"] for r in sent).split(b"\n")) == [b"", b"a b", b"b c d", b"c d a"]

@@ -3,8 +3,8 @@
 Candidates come level by level. A phrase of k words can only be frequent if its first and its
 last k - 1 words are, so positions are kept where both pass a bit filter of the frequent phrases of
 the level below (a filter of fixed size, which may let through too much but never too little).
-Every task sums what it has kept, up to ``least`` a phrase, and phrases whose sums reach ``least``
-are candidates: none that is frequent is lost.
+Every task sums what it has kept, up to ``least`` a phrase, and packs it by buckets of a hash; phrases
+whose hash's sums reach ``least`` are candidates: none that is frequent is lost.
 
 Candidates are dealt into tries of at most about ``TRIE`` phrases, each a double array (``base``,
 ``check``) over the digits of word codes. Tries are broadcast one after the other; a task advances the
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 from xxhash import xxh64_intdigest
 
@@ -38,10 +39,10 @@ TRIE = 1_000_000
 FILTER_BITS = 1 << 26
 #: Bytes of text looked at together.
 CHUNK = 1 << 20
-#: Words a task knows and distinct phrases it holds before it hands on what it has; codes fit 21 bits.
-KNOWN, HELD = 500_000, 800_000
-#: Phrases handed on at a time.
-SENT = 50_000
+#: Words a task knows and phrases it holds, of all languages, before it hands on what it has; codes fit 21 bits.
+KNOWN, HELD = 500_000, 2_400_000
+#: Phrases handed on at a time, and words of the texts for each bucket of phrases that is summed at once.
+SENT, BUCKET_WORDS = 50_000, 500_000
 _SHIFT = 21
 #: Groups a language's phrases are ranked in before the groups' first ones are ranked together.
 SALTS = (1024, 32)
@@ -192,9 +193,10 @@ def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (found & (bits[second >> eight] >> (second & low).astype(np.uint8))).astype(bool)
 
 
-def candidates(plain: DataFrame, frequent: DataFrame, size: int, least: int) -> DataFrame:
+def candidates(plain: DataFrame, frequent: DataFrame, size: int, least: int, buckets: int = 16) -> DataFrame:
     """``(lang, phrase)`` of ``size`` words that occur ``least`` times and whose parts of
-    ``size - 1`` words are among ``frequent`` (or taken for such by the filter)."""
+    ``size - 1`` words are among ``frequent`` (or taken for such by the filter). Tasks hand on their
+    phrases packed by bucket of a hash, so that Spark moves few rows; a bucket is summed at once."""
     filter_of = plain.sparkSession.sparkContext.broadcast(phrase_filter(frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,23 +205,22 @@ def candidates(plain: DataFrame, frequent: DataFrame, size: int, least: int) ->
         held: dict[bytes, list[tuple[np.ndarray, np.ndarray]]] = {}
 
         def merged(lang: bytes) -> tuple[np.ndarray, np.ndarray]:
-            keys, counts = map(np.concatenate, zip(*held[lang]))
-            keys, where = np.unique(keys, return_inverse=True)
-            counts = np.bincount(where, counts).astype(np.int64)
-            held[lang] = [(keys, np.minimum(counts, least))]
-            return held[lang][0]
+            if len(held[lang]) > 1:
+                keys, counts = map(np.concatenate, zip(*held[lang]))
+                keys, where = np.unique(keys, return_inverse=True)
+                held[lang] = [(keys, np.bincount(where, counts).astype(np.int64))]
+            keys, counts = held[lang][0]
+            return keys, np.minimum(counts, least)
 
         def flush(lang: bytes) -> Iterator[pa.RecordBatch]:
             keys, counts = merged(lang)
             del held[lang]
-            names = known[lang].names
-            for at in range(0, len(keys), SENT):
-                some = keys[at : at + SENT]
-                parts = [
-                    [names[c] for c in ((some >> (_SHIFT * k)) & ((1 << _SHIFT) - 1)).tolist()]
-                    for k in reversed(range(size))
-                ]
-                yield _rows(lang, list(map(b" ".join, zip(*parts))), counts[at : at + SENT])
+            yield from _packed(lang, known[lang], keys, counts, size, buckets)
+
+        def most(limit: int) -> Iterator[pa.RecordBatch]:
+            """Hand on the largest languages until no more than the limit is held."""
+            while (total := sum(len(k) for own in held.values() for k, _ in own)) and total > limit:
+                yield from flush(max(held, key=lambda x: sum(len(k) for k, _ in held[x])))
 
         for batch in batches:
             for lang, tokens in token_lists(batch):
@@ -241,21 +242,80 @@ def candidates(plain: DataFrame, frequent: DataFrame, size: int, least: int) ->
                     keys = codes[at]
                     for k in range(1, size):
                         keys = keys << _SHIFT | codes[at + k]
-                    keys, counts = np.unique(keys, return_counts=True)
-                    own = held.setdefault(lang, [])
-                    own.append((keys, counts))
-                    if sum(len(k) for k, _ in own) > HELD and len(merged(lang)[0]) > HELD // 2:
-                        yield from flush(lang)
-                if len(words.names) > KNOWN:
-                    if lang in held:
-                        yield from flush(lang)
-                    del known[lang]
+                    held.setdefault(lang, []).append(np.unique(keys, return_counts=True))
+                    if sum(len(k) for own in held.values() for k, _ in own) > HELD:
+                        for name in held:
+                            merged(name)
+                        yield from most(HELD // 2)
+                if sum(len(w.names) for w in known.values()) > KNOWN:
+                    yield from most(0)
+                    held.clear()
+                    known.clear()
         for lang in list(held):
             yield from flush(lang)
 
-    found = plain.mapInArrow(run, "lang string, phrase string, n long")
-    summed = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return summed.where(F.col("n") >= least).select("lang", "phrase")
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple[bytes, bytes]] = []
+        hashes, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for batch in batches:
+            langs, joined = (batch.column(c).cast(pa.binary()).to_pylist() for c in ("lang", "phrases"))
+            rows += zip(langs, joined)
+            hashes += (np.frombuffer(h, np.uint64) for h in batch.column("hashes").to_pylist())
+            counts += (np.frombuffer(c, np.int64) for c in batch.column("counts").to_pylist())
+        _, where = np.unique(np.concatenate(hashes), return_inverse=True)
+        kept = (np.bincount(where, np.concatenate(counts)) >= least)[where]
+        found: dict[bytes, set[bytes]] = {}
+        begin = 0
+        for (lang, joined), own in zip(rows, hashes[1:]):
+            places = np.flatnonzero(kept[begin : begin + len(own)]).tolist()
+            begin += len(own)
+            if places:
+                # all phrases of a hash are kept: if two have the same, neither is lost
+                found.setdefault(lang, set()).update(map(joined.split(b"\n").__getitem__, places))
+        for lang, phrases in found.items():
+            ordered = sorted(phrases)
+            yield _rows(lang, ordered, np.zeros(len(ordered), np.int64)).select(["lang", "phrase"])
+
+    found = plain.mapInArrow(run, "bucket int, lang string, hashes binary, counts binary, phrases binary")
+    return found.repartition(buckets, "bucket").mapInArrow(chosen, "lang string, phrase string")
+
+
+def _packed(
+    lang: bytes, words: Words, keys: np.ndarray, counts: np.ndarray, size: int, buckets: int
+) -> Iterator[pa.RecordBatch]:
+    """The phrases in one row per bucket: hashes, counts, and phrases ending in a newline."""
+    codes = [(keys >> (_SHIFT * k)) & ((1 << _SHIFT) - 1) for k in reversed(range(size))]
+    hashed = np.full(len(keys), xxh64_intdigest(lang), np.uint64)
+    for some in codes:
+        hashed = _mixed(hashed, words.hashes()[some])
+    bucket = ((hashed >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    kind = pa.large_binary()
+    names, last = pa.array(words.names, kind), pa.array([w + b"\n" for w in words.names], kind)
+    first = 0
+    while first < buckets:
+        # some buckets at a time
+        until = max(first + 1, int(np.searchsorted(bounds, bounds[first] + SENT, "right")) - 1)
+        part = order[bounds[first] : bounds[until]]
+        if len(part):
+            columns = [names.take(pa.array(some[part])) for some in codes[:-1]]
+            joined = pc.binary_join_element_wise(*columns, last.take(pa.array(codes[-1][part])), pa.scalar(b" ", kind))
+            ends = np.append(0, np.cumsum(pc.binary_length(joined).to_numpy()))
+            text = b"".join(joined.to_pylist())
+            own = [k for k in range(first, until) if bounds[k] < bounds[k + 1]]
+            cuts = [(bounds[k] - bounds[first], bounds[k + 1] - bounds[first]) for k in own]
+            h, c = hashed[part], counts[part]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "bucket": pa.array(own, pa.int32()),
+                    "lang": pa.array([lang] * len(own), pa.binary()).cast(pa.string()),
+                    "hashes": pa.array([h[a:b].tobytes() for a, b in cuts], pa.binary()),
+                    "counts": pa.array([c[a:b].tobytes() for a, b in cuts], pa.binary()),
+                    "phrases": pa.array([text[ends[a] : ends[b]] for a, b in cuts], pa.binary()),
+                }
+            )
+        first = until
 
 
 def double_array(paths: np.ndarray, lengths: np.ndarray, radix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -478,9 +538,11 @@ def collocations(
     plain = small_batches(by_language(docs))
     words = materialize(word_counts(plain), "phrase_words")
     frequent = words.where(F.col("f") >= least)
+    total = words.agg(F.coalesce(F.sum("f"), F.lit(0))).first()[0]
+    buckets = max(docs.sparkSession.sparkContext.defaultParallelism, -(-total // BUCKET_WORDS))
     levels = [frequent.select("lang", "phrase")]
     for size in range(2, longest + 1):
-        levels.append(materialize(candidates(plain, levels[-1], size, least), "phrase_candidates"))
+        levels.append(materialize(candidates(plain, levels[-1], size, least, buckets), "phrase_candidates"))
     wanted = levels[1]
     for level in levels[2:]:
         wanted = wanted.union(level)
