@@ -374,6 +374,26 @@ def test_string_kernel_against_plain_sum():
             assert abs(found[i, j] - (value if value >= toxicity.LEAST_VALUE else 0)) < 1e-3
 
 
+def test_units_away_from_all_landmarks_are_not_measured(monkeypatch):
+    """Bounds by groups of landmarks leave out units that one bound for all of them would let through."""
+    rng = np.random.default_rng(3)
+    word = lambda n: "".join(map(chr, rng.integers(97, 105, n)))
+    names = sorted({word(6) for _ in range(120)})[:96]
+    asked = sorted({word(rng.integers(5, 12)) for _ in range(600)}) + names[:5] + [f"{n}x" for n in names[5:9]]
+    vectors = toxicity.landmark_vectors(names)
+    measured, norms = [], toxicity._norms
+    monkeypatch.setattr(toxicity, "_norms", lambda c, w, t: (measured.append(len(c)), norms(c, w, t))[1])
+    found = toxicity.kernel(asked, vectors)
+    grouped, measured[:] = sum(measured), []
+    monkeypatch.setattr(toxicity, "_grouped", lambda dense: dense.max(axis=1)[None])
+    assert (found == toxicity.kernel(asked, vectors)).all() and found.any()
+    assert grouped < 0.7 * sum(measured)
+    for unit in ("it's", "A1b", "-x-", "i", "ÉTÉ!", "\x00a\x7f", "I.D"):
+        cut = "".join(c for c in toxicity.unicodedata.normalize("NFKD", unit) if not toxicity.unicodedata.combining(c))
+        plain = "".join(c if "a" <= c <= "z" else "{" if c.isalpha() else " " for c in cut.lower()).strip()
+        assert toxicity.plain_letters(unit) == plain
+
+
 def test_toxicity_of_unseen_documents():
     read = lambda t: f"'/root/testdata/sf0.01/{t}.parquet'"
     rows = duckdb.sql(

@@ -46,6 +46,8 @@ LETTERS = 27
 #: Triples of units compared with all landmarks in one step, and documents split up together.
 AT_ONCE = 32_768
 DOCUMENTS_AT_ONCE = 100
+#: Landmarks of a group with one bound.
+TOGETHER = 8
 _SENTENCES = re.compile(r"[.!?]\s+|\n")
 #: A landmark is typical of toxic documents if it is in at least so many of their distinct
 #: sentences, and at least so many times as often in them as in others.
@@ -63,19 +65,29 @@ class Limits:
     clean_landmarks: int = 40
 
 
+#: Letters to small ones, all other characters to blanks.
+_ASCII = "".join(chr(i).lower() if chr(i).isalpha() else " " for i in range(128))
+
+
 def plain_letters(unit: str) -> str:
     """Small letters a-z without accents; "{" for other letters, a blank for all else."""
     if unit.isascii() and unit.isalpha():
         return unit.lower()
-    if not unit.isascii():
-        unit = "".join(c for c in unicodedata.normalize("NFKD", unit) if not unicodedata.combining(c))
+    if unit.isascii():
+        return unit.translate(_ASCII).strip()
+    unit = "".join(c for c in unicodedata.normalize("NFKD", unit) if c < "\u0300" or not unicodedata.combining(c))
+    if unit.isascii():
+        return unit.translate(_ASCII).strip()
     return "".join(c if "a" <= c <= "z" else "{" if c.isalpha() else " " for c in unit.lower()).strip()
 
 
 def units(sentence: str) -> list[str]:
     """Words, with runs of three or more words of one letter each put together."""
     words = sentence.split()
-    short = [i for i, w in enumerate(words) if len(w) == 1 or len(w) == 2 and not w.isalpha()]
+    lengths = list(map(len, words))
+    if lengths.count(1) + lengths.count(2) < 3:
+        return words
+    short = [i for i, n in enumerate(lengths) if n == 1 or n == 2 and not words[i].isalpha()]
     if len(short) < 3:
         return words
     single = {i for i in short if sum(map(str.isalpha, words[i])) == 1}
@@ -148,6 +160,18 @@ def _norms(codes: np.ndarray, weights: np.ndarray, by_triple: np.ndarray) -> np.
     return np.sqrt(np.bincount(flat // keys.shape[1], sums * sums, minlength=len(keys)))
 
 
+def _grouped(dense: np.ndarray) -> np.ndarray:
+    """The largest part of each triple in groups of landmarks, each next to the one most like it."""
+    alike = dense.T @ dense
+    order = list(range(min(1, len(alike))))
+    left = np.ones(len(alike), bool)
+    while order and len(order) < len(alike):
+        left[order[-1]] = False
+        order.append(int(np.argmax(np.where(left, alike[order[-1]], -1))))
+    groups = [dense[:, order[i : i + TOGETHER]].max(axis=1) for i in range(0, len(order), TOGETHER)]
+    return np.array(groups, np.float32).reshape(len(groups), len(dense))
+
+
 def kernel(plain: list[str], landmarks: np.ndarray) -> np.ndarray:
     """Sharpened kernel of units (letters as ``plain_letters``) to unit-length landmarks.
 
@@ -160,6 +184,7 @@ def kernel(plain: list[str], landmarks: np.ndarray) -> np.ndarray:
     compact[used] = np.arange(1, len(used) + 1)
     dense = landmarks[used]
     largest = dense.max(axis=1, initial=0)
+    groups = _grouped(dense)
     out = np.zeros((len(plain), landmarks.shape[1]), np.float32)
     by_length: dict[int, list[int]] = {}
     for i, unit in enumerate(plain):
@@ -184,6 +209,15 @@ def kernel(plain: list[str], landmarks: np.ndarray) -> np.ndarray:
             if not some.any():
                 continue
             owners, place, own = owners[some], place[some], own[some]
+            # nor more than its triples' largest parts in one group of landmarks
+            bound = np.zeros(len(part))
+            for most in groups:
+                np.maximum(bound, np.bincount(owners, own * most[place], minlength=len(part)), out=bound)
+            able = bound >= 0.999 * least * np.sqrt((weights * weights).sum(axis=1))
+            some = able[owners]
+            if not some.any():
+                continue
+            owners, place, own = owners[some], place[some], own[some]
             begins = np.flatnonzero(np.append(True, owners[1:] != owners[:-1]))
             touched = owners[begins]
             dots = np.add.reduceat(dense[place] * own[:, None], begins)
@@ -245,13 +279,15 @@ class Machine:
     def raw_scores(self, documents: list[str]) -> list[float]:
         """Distance of each document's most toxic sentence from the border."""
         split = [sentences(t) for t in documents]
-        known = self.learn_units({u for doc in split for s in doc for u in s}).__getitem__
+        wanted = set().union(*(s for doc in split for s in doc))
+        known = self.learn_units(wanted).__getitem__
+        near = {u for u in wanted if known(u) is not None}
         out = []
         for doc in split:
             best = 0.0
             for s in doc:
-                found = [v for v in map(known, s) if v is not None]
-                if found:
+                if not near.isdisjoint(s):
+                    found = [known(u) for u in s if u in near]
                     pooled = found[0] if len(found) == 1 else np.max(found, axis=0)
                     best = max(best, float(pooled @ self.weights))
             out.append(self.offset + best)
