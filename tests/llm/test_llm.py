@@ -210,6 +210,17 @@ def test_texts_of_many_signs_equal_the_library():
     assert found == expected
 
 
+def test_token_files_remember_pieces_and_forget_them():
+    own = token_files.WordTokenizer(queries.WORD_TOKENIZER)
+    texts = ["House house, HOUSE! (house) house's", "Ünder ſ ÀÇ Ÿ Ɖ ²³ 4711 a\x01b c\xa0d\x85e 'Tis Σας ǅ"]
+    for text in texts:
+        expected = own.library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.encode(text), own.kind).tolist() == expected
+    assert sum("house" in piece.lower() for piece in [*own._pieces, *own._words]) == 1
+    own.forget()
+    assert not own._pieces and not own._words
+
+
 def test_values_of_all_sizes_survive_packing():
     for n in (0, 1, 3, 4, 1001):
         values = np.random.default_rng(n).integers(0, 2 ** np.arange(1, n + 1).clip(1, 32), n, dtype=np.uint64)

@@ -38,8 +38,12 @@ from .common import Memo, small_batches, texts
 
 MARK = b"TRF1"
 HEAD = "<4sIQQ"
-#: Letters below U+0250 that a capital form has one small letter for, and ASCII signs but the apostrophe behind them.
-SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+#: Signs that the library may compose, or give other small forms than a letter below U+0180.
+OTHERS = re.compile("[İƀ-\U0010ffff]")
+#: The library's pieces of small text without such signs; figures, which it takes one by one, in runs.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼-¾]+|[^\sa-zªµºß-öø-ſ0-9²³¹¼-¾]+")
+#: Pieces, and words with other signs, that a worker remembers, twice at most.
+REMEMBERED, REMEMBERED_WORDS = 250_000, 50_000
 #: Values of a block, if its first document has no more by itself.
 BLOCK_VALUES = 1_000_000
 #: Values a file should hold.
@@ -57,12 +61,13 @@ def _byte_letters() -> list[str]:
 
 
 class WordTokenizer:
-    """Ids of texts as the library gives them, word by word.
+    """Ids of texts as the library gives them, piece by piece.
 
-    No token of this kind of vocabulary spans white space, so words are looked up in a cache.
-    A new word is cut into its letters and the signs behind them, which the library encodes apart; letters
-    in small and composed form go straight to the library's model. Any other word, and a text with special
-    tokens or U+001C to U+001F, takes the library's whole way.
+    No token of this kind of vocabulary spans two pieces of letters, figures or signs. Texts below U+0180
+    are made small and cut by one pattern, and pieces are looked up in a cache; a new one goes straight to
+    the library's model. Texts with other signs are looked up word by word; a new word with such signs
+    takes the library's whole way unless it is of small letters in composed form. So does a text with special
+    tokens or U+001C to U+001F.
     """
 
     def __init__(self, path: str):
@@ -74,38 +79,39 @@ class WordTokenizer:
         self._special = [*(token.content for token in added), "\x1c", "\x1d", "\x1e", "\x1f"]
         self._letters = _byte_letters()
         self._packed = [i.to_bytes(self.kind.itemsize, "little") for i in range(self.vocabulary)]
-        self._words = Memo(self._word, 250_000)
+        self._model = self.library.model
+        self._pieces = Memo(self._piece, REMEMBERED)
+        self._words = Memo(self._word, REMEMBERED_WORDS)
 
     def _whole(self, text: str) -> bytes:
         return b"".join([self._packed[i] for i in self.library.encode(text, add_special_tokens=False).ids])
 
-    def _word(self, word: str) -> bytes:
-        if simple := SIMPLE.fullmatch(word):
-            core, tail = simple.groups()
-            small = core.lower()
-            if small != word:
-                return self._words[small] + (self._words[tail] if tail else b"")
-            if not word.isascii():
-                word = "".join([self._letters[b] for b in word.encode()])
-        else:
-            core = word.rstrip(".,")
-            if not core[-1:].isalnum() or core[-1] != core[-1].lower() and not core.isascii():
-                core = word
-            tail = word[len(core) :]
-            if core.isascii():
-                core = core.lower()
-            if core != word:
-                return self._words[core] + (self._words[tail] if tail else b"")
-            plain = word.isalpha() and word == "".join(map(str.lower, word))
-            if not (plain and unicodedata.is_normalized("NFC", word)):
-                return self._whole(word)
-            word = "".join([self._letters[b] for b in word.encode()])
+    def _piece(self, piece: str) -> bytes:
+        if len(piece) > 1 and piece[0].isnumeric():
+            return b"".join(map(self._pieces.__getitem__, piece))
+        if not (piece.isascii() and piece.isprintable()):
+            piece = "".join([self._letters[b] for b in piece.encode()])
         packed = self._packed
-        return b"".join([packed[token.id] for token in self.library.model.tokenize(word)])
+        return b"".join([packed[token.id] for token in self._model.tokenize(piece)])
+
+    def _word(self, word: str) -> bytes:
+        if not OTHERS.search(word):
+            return self._simple(word)
+        plain = word.isalpha() and word == "".join(map(str.lower, word))
+        return self._piece(word) if plain and unicodedata.is_normalized("NFC", word) else self._whole(word)
+
+    def _simple(self, text: str) -> bytes:
+        return b"".join(map(self._pieces.__getitem__, PIECES.findall(text.lower())))
+
+    def forget(self) -> None:
+        self._pieces.forget()
+        self._words.forget()
 
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self._special):
             return self._whole(text)
+        if text.isascii() or not OTHERS.search(text):
+            return self._simple(text)
         return b"".join(map(self._words.__getitem__, text.split()))
 
 
@@ -127,6 +133,7 @@ def encode_documents(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                 [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(crc, pa.int64())],
                 ["doc_id", "ids", "crc"],
             )
+        own.forget()
 
     return small_batches(texts(docs)).mapInArrow(run, "doc_id long, ids binary, crc long")
 
@@ -137,8 +144,8 @@ def rank_table(encoded: DataFrame, vocabulary: int, kind: np.dtype) -> np.ndarra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                counts += np.bincount(np.frombuffer(ids, kind), minlength=vocabulary)
+            ids = b"".join(batch.column("ids").to_pylist())
+            counts += np.bincount(np.frombuffer(ids, kind), minlength=vocabulary)
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["id", "n"])
 
