@@ -124,3 +124,19 @@ def test_candidates_are_handed_on_packed(spark):
     keys = np.array([codes[0] << 21 | codes[1], codes[1] << 21 | codes[2], codes[2] << 21 | codes[0]])
     sent = [r for b in phrases._packed(b"en", known, keys, np.array([1, 2, 3]), 2, 2) for r in b.to_pylist()]
     assert len(sent) <= 2 and sorted(b"".join(r["phrases"] for r in sent).split(b"\n")) == [b"", b"a b", b"b c d", b"c d a"]
+
+
+def test_packed_phrases_are_not_made_one_by_one(monkeypatch):
+    class Column:
+        def __init__(self, own):
+            self.buffers, self.offset = own.buffers, own.offset
+
+    join = phrases.pc.binary_join_element_wise
+    monkeypatch.setattr(phrases.pc, "binary_join_element_wise", lambda *columns: Column(join(*columns)))
+    words = phrases.Words()
+    a, b = words.codes([b"a", b"bc"]).tolist()
+    keys = np.array([x << phrases._SHIFT | y for x, y in ((a, b), (b, a), (b, b))])
+    for buckets in (1, 7):
+        rows = list(phrases._packed(b"en", words, keys, np.array([3, 4, 5]), 2, buckets))
+        packed = [p for row in rows for p in row.column("phrases").to_pylist()]
+        assert sorted(b"".join(packed).split(b"\n")) == [b"", b"a bc", b"bc a", b"bc bc"]

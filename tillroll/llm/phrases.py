@@ -19,6 +19,7 @@ A phrase never crosses a piece, a text or a row. Counts must stay below 10**16.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -301,8 +302,10 @@ def _packed(
         if len(part):
             columns = [names.take(pa.array(some[part])) for some in codes[:-1]]
             joined = pc.binary_join_element_wise(*columns, last.take(pa.array(codes[-1][part])), pa.scalar(b" ", kind))
-            ends = np.append(0, np.cumsum(pc.binary_length(joined).to_numpy()))
-            text = b"".join(joined.to_pylist())
+            # the phrases stand one after the other in the column's memory, with where each begins
+            _, begins, letters = joined.buffers()
+            ends = np.frombuffer(begins, np.int64, len(part) + 1, 8 * joined.offset)
+            text = memoryview(letters)
             own = [k for k in range(first, until) if bounds[k] < bounds[k + 1]]
             cuts = [(bounds[k] - bounds[first], bounds[k + 1] - bounds[first]) for k in own]
             h, c = hashed[part], counts[part]
@@ -453,8 +456,7 @@ class Trie:
         begun = self.first.get(lang)
         if begun is None or not tokens:
             return
-        get = self.code.get
-        codes = np.fromiter((get(w, -1) for w in tokens), np.int64, len(tokens))
+        codes = np.fromiter(map(self.code.get, tokens, repeat(-1)), np.int64, len(tokens))
         states = begun[codes]  # the last one, of no word, is -1
         at = np.flatnonzero(states >= 0)
         states = states[at]
