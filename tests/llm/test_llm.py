@@ -212,7 +212,7 @@ def test_texts_of_many_signs_equal_the_library():
 
 def test_token_files_remember_pieces_and_forget_them():
     own = token_files.WordTokenizer(queries.WORD_TOKENIZER)
-    texts = ["House house, HOUSE! (house) house's", "Ünder ſ ÀÇ Ÿ Ɖ ²³ 4711 a\x01b c\xa0d\x85e 'Tis Σας ǅ"]
+    texts = ["House house, HOUSE! (house) house's", "Ünder ſ ÀÇ Ÿ Ɖ ²³ 4711 a\x01b c\xa0d\x85e 'Tis Σας ǅ", "拾ꍀ 一二 ½3x"]
     for text in texts:
         expected = own.library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(own.encode(text), own.kind).tolist() == expected

@@ -42,6 +42,7 @@ HEAD = "<4sIQQ"
 OTHERS = re.compile("[İƀ-\U0010ffff]")
 #: The library's pieces of small text without such signs; figures, which it takes one by one, in runs.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼-¾]+|[^\sa-zªµºß-öø-ſ0-9²³¹¼-¾]+")
+FIGURES = frozenset("0123456789²³¹¼½¾")
 #: Pieces, and words with other signs, that a worker remembers, twice at most.
 REMEMBERED, REMEMBERED_WORDS = 250_000, 50_000
 #: Values of a block, if its first document has no more by itself.
@@ -87,7 +88,7 @@ class WordTokenizer:
         return b"".join([self._packed[i] for i in self.library.encode(text, add_special_tokens=False).ids])
 
     def _piece(self, piece: str) -> bytes:
-        if len(piece) > 1 and piece[0].isnumeric():
+        if len(piece) > 1 and piece[0] in FIGURES:
             return b"".join(map(self._pieces.__getitem__, piece))
         if not (piece.isascii() and piece.isprintable()):
             piece = "".join([self._letters[b] for b in piece.encode()])
