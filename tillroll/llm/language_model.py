@@ -31,6 +31,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -47,6 +48,8 @@ HIDDEN = 8
 WINDOW, STREAMS = 16, 256
 #: First step of a leaf's weights, and how often a window meets a leaf whose gradients are added one by one.
 LEAF_RATE, MET_SINGLY = 0.3, 4
+#: Logits within this need no largest one taken off before their exponentials.
+SMALL_LOGITS = 60
 #: Parameters of one slice of a model.
 PIECE = 16_384
 #: Documents of the first fit on the driver.
@@ -80,6 +83,10 @@ class Vocabulary:
         self.class_of = np.where(ranks < self.soft, ranks // CLASS_WORDS, self.soft_classes + behind)
         self.class_of[n] = self.soft_classes + self.rest_classes
         self.classes = int(self.class_of[n]) + 1
+        # in this order words stand by class, and in a class of leaves by leaf
+        group = np.where(ranks < self.soft, ranks // CLASS_WORDS, self.soft_classes + (ranks - self.soft) // CLASS_WORDS)
+        group[n] = self.soft_classes + self.leaves
+        self.group_of = group.astype(np.int16 if group[n] < 1 << 15 else np.int32)
         # what goes into the state: a soft word itself, of others the class
         self.inputs = np.where(ranks < self.soft, ranks, self.soft + self.class_of - self.soft_classes)
         self.n_inputs = self.soft + self.classes - self.soft_classes
@@ -121,6 +128,7 @@ class Network:
             "branches": (max(1, v.rest_classes), CLASS_LEAVES, h + 1),
         }
         self.dense = sum(int(np.prod(s)) for s in shapes.values())
+        self.recurrent = 3 * h * (v.n_inputs + h)
         if leaves:
             shapes["leaves"] = (max(1, v.leaves), h + 1, CLASS_WORDS)
         sizes = {k: int(np.prod(s)) for k, s in shapes.items()}
@@ -147,77 +155,87 @@ class Network:
     def __getitem__(self, name: str) -> np.ndarray:
         return self.parts[name]
 
+    def small_logits(self) -> bool:
+        """Whether no state, whose features are within one, has large logits but for those of leaves."""
+        rows = np.abs(self.flat[self.recurrent : self.dense]).reshape(-1, HIDDEN + 1)
+        return float((rows @ np.ones(HIDDEN + 1, np.float32)).max()) < SMALL_LOGITS
 
-def _step(x: np.ndarray, h: np.ndarray, state: np.ndarray) -> tuple:
-    """One step of the recurrent unit; also what going back needs."""
+
+def _halved(a: np.ndarray) -> np.ndarray:
+    """A copy whose rows for the two gates are halved, as ``_step`` wants inputs and weights."""
+    a = a.copy()
+    a[: 2 * HIDDEN] *= 0.5
+    return a
+
+
+def _step(x: np.ndarray, h: np.ndarray, state: np.ndarray, gates: np.ndarray, new: np.ndarray, now: np.ndarray) -> np.ndarray:
+    """One step of the recurrent unit into ``gates``, ``new`` and the state ``now``, from inputs and weights
+    with halved gates; returns what the reset gate was multiplied with."""
     n = HIDDEN
     g = state @ h
-    gates = x[: 2 * n] + g[: 2 * n]
-    gates *= 0.5
+    np.add(x[: 2 * n], g[: 2 * n], out=gates)
     np.tanh(gates, out=gates)
     gates += 1
     gates *= 0.5
-    r, z = gates[:n], gates[n:]
-    new = r * g[2 * n :]
+    np.multiply(gates[:n], g[2 * n :], out=new)
     new += x[2 * n :]
     np.tanh(new, out=new)
-    now = h - new
-    now *= z
+    np.subtract(h, new, out=now)
+    now *= gates[n:]
     now += new
-    return now, r, z, new, g[2 * n :]
+    return g[2 * n :]
 
 
-def _shifted_exp(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """In place, each column's exponentials after its largest was taken off, and their sums."""
-    logits -= logits.max(axis=0)
+def _errors(logits: np.ndarray, wanted: np.ndarray, small: bool) -> tuple[np.ndarray, np.ndarray]:
+    """In place, a multiple of the gradient for logits in columns, and the sums of the columns'
+    exponentials, by which it is to be divided."""
+    if not small:
+        logits -= logits.max(axis=0)
     np.exp(logits, out=logits)
-    return logits, logits.sum(axis=0)
+    sums = logits.sum(axis=0)
+    logits.reshape(-1)[wanted * len(sums) + np.arange(len(sums))] -= sums
+    return logits, sums
 
 
-def _errors(logits: np.ndarray, wanted: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """The weighted gradient for logits in columns, in place."""
-    d, sums = _shifted_exp(logits)
-    d *= weight / sums
-    d[wanted, np.arange(len(wanted))] -= weight
-    return d
-
-
-def _chosen(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+def _chosen(logits: np.ndarray, wanted: np.ndarray, small: bool) -> np.ndarray:
     """Log probabilities of the wanted rows of columns of logits."""
-    logits -= logits.max(axis=0)
+    if not small:
+        logits -= logits.max(axis=0)
     own = logits[wanted, np.arange(len(wanted))]
     np.exp(logits, out=logits)
     return own - np.log(logits.sum(axis=0))
 
 
-def _by_class(classes: np.ndarray, first: int, last: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
-    """The places of classes from ``first`` to before ``last`` in their order, and each one's part of it."""
-    places = np.flatnonzero((classes >= first) & (classes < last))
-    own = (classes[places] - first).astype(np.int16)
-    order = np.argsort(own, kind="stable")
-    bounds = np.searchsorted(own[order], np.arange(last - first + 1)).tolist()
-    return places[order], [(c, slice(a, b)) for c, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+def _ordered(v: Vocabulary, wanted: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The order of the wanted words by class and leaf, and where the words of the most
+    frequent classes, of each class of leaves and those beyond the head begin in it."""
+    groups = v.group_of[wanted]
+    order = np.argsort(groups, kind="stable")
+    first = np.append(
+        np.arange(v.soft_classes), np.minimum(v.soft_classes + np.arange(v.rest_classes + 1) * CLASS_LEAVES, v.group_of[-1])
+    )
+    return order, np.searchsorted(groups[order], first.astype(groups.dtype)).tolist()
+
+
+def _levels(v: Vocabulary, wanted: np.ndarray, bounds: list[int]) -> Iterator[tuple[str, slice, list, np.ndarray]]:
+    """Below the classes, of words in order: the part of the network, the places, each class's
+    part of these, and what is wanted within the class."""
+    for name, bounds in (("words", bounds[: v.soft_classes + 1]), ("branches", bounds[v.soft_classes :])):
+        begin, end = bounds[0], bounds[-1]
+        if begin < end:
+            own = wanted[begin:end]
+            within = own % CLASS_WORDS if name == "words" else (own - v.soft) // CLASS_WORDS % CLASS_LEAVES
+            cuts = [(c, slice(a - begin, b - begin)) for c, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+            yield name, slice(begin, end), cuts, within
 
 
 def _group_logits(weights: np.ndarray, own: np.ndarray, parts: list[tuple[int, slice]]) -> np.ndarray:
     logits = np.empty((weights.shape[1], own.shape[1]), np.float32)
     for c, part in parts:
-        logits[:, part] = weights[c] @ own[:, part]
+        np.matmul(weights[c], own[:, part], out=logits[:, part])
     return logits
 
 
-def _levels(v: Vocabulary, wanted: np.ndarray) -> Iterator[tuple[str, np.ndarray, list, np.ndarray]]:
-    """Below the classes: the part of the network, the places in order of their classes, each
-    class's part of that order, and what is wanted within the class."""
-    classes = v.class_of[wanted]
-    rows, parts = _by_class(classes, 0, v.soft_classes)
-    if parts:
-        yield "words", rows, parts, wanted[rows] % CLASS_WORDS
-    rows, parts = _by_class(classes, v.soft_classes, v.soft_classes + v.rest_classes)
-    if parts:
-        yield "branches", rows, parts, (wanted[rows] - v.soft) // CLASS_WORDS % CLASS_LEAVES
-
-
 def _leaf_logits(weights: np.ndarray, own: np.ndarray) -> np.ndarray:
     """Logits in columns of states (rows, with a one at the end), each with its leaf's weights."""
     return np.ascontiguousarray(np.matmul(own[:, None, :], weights)[:, 0].T)
@@ -231,6 +249,7 @@ class Trainer:
         self.v, self.net, self.rate = v, net, rate
         self.m, self.s = np.zeros(net.dense, np.float32), np.zeros(net.dense, np.float32)
         self.leaf_squares = np.ones(len(net["leaves"]), np.float32)
+        self.grad = Network(v, np.zeros(net.dense, np.float32), leaves=False)
         self.steps = 0
 
     def learn(self, documents: list[np.ndarray]) -> None:
@@ -256,32 +275,49 @@ class Trainer:
     def _window(self, inputs, targets, starts, live, h) -> np.ndarray:
         net, v, n = self.net, self.v, HIDDEN
         steps, streams = inputs.shape
-        ids, wanted = inputs.ravel(), targets.ravel()
-        x = np.take(net["inputs"], ids, axis=1).reshape(3 * n, steps, streams)
+        ids, wanted = inputs.ravel().astype(np.intp), targets.ravel()
+        x = np.take(_halved(net["inputs"]), ids, axis=1).reshape(3 * n, steps, streams)
         # feature, step, stream; the last feature of a state is one
         states = np.ones((n + 1, steps, streams), np.float32)
-        before, r, z, new, gn = (np.empty((n, steps, streams), np.float32) for _ in range(5))
-        going = (~starts).astype(np.float32)
+        gates = np.empty((2 * n, steps, streams), np.float32)
+        before, new, gn = (np.empty((n, steps, streams), np.float32) for _ in range(3))
+        going, weights = (~starts).astype(np.float32), _halved(net["state"])
         for t in range(steps):
-            before[:, t] = h * going[t]
-            h, r[:, t], z[:, t], new[:, t], gn[:, t] = _step(x[:, t], before[:, t], net["state"])
-            states[:n, t] = h
-        grad = Network(v, np.zeros(net.dense, np.float32), leaves=False)
-        weight = live.ravel().astype(np.float32) / max(1, live.sum())
-        flat = states.reshape(n + 1, -1)
-        d = _errors(net["classes"] @ flat, v.class_of[wanted], weight)
-        np.matmul(d, flat.T, out=grad["classes"])
+            own = np.multiply(h, going[t], out=before[:, t])
+            h = states[:n, t]
+            gn[:, t] = _step(x[:, t], own, weights, gates[:, t], new[:, t], h)
+        r, z = gates[:n], gates[n:]
+        grad = self.grad
+        grad.flat.fill(0)
+        order, bounds = _ordered(v, wanted)
+        wanted = wanted[order]
+        weight = live.ravel()[order] * np.float32(1 / max(1, int(live.sum())))
+        flat = np.take(states.reshape(n + 1, -1), order, axis=1)
+        small = net.small_logits()
+        d, sums = _errors(net["classes"] @ flat, v.class_of[wanted], small)
+        share = weight / sums
+        np.matmul(d, (flat * share).T, out=grad["classes"])
         dh = net["classes"][:, :n].T @ d
-        for name, rows, parts, within in _levels(v, wanted):
-            own = np.take(flat, rows, axis=1)
-            d = _errors(_group_logits(net[name], own, parts), within, weight[rows])
-            back_to = np.empty((n, len(rows)), np.float32)
+        dh *= share
+        for name, places, parts, within in _levels(v, wanted, bounds):
+            own = flat[:, places]
+            d, sums = _errors(_group_logits(net[name], own, parts), within, small)
+            share = weight[places] / sums
+            scaled = own * share
+            back_to = np.empty((n, len(within)), np.float32)
+            across = net[name][:, :, :n].transpose(0, 2, 1)
             for c, part in parts:
-                np.matmul(d[:, part], own[:, part].T, out=grad[name][c])
-                back_to[:, part] = net[name][c, :, :n].T @ d[:, part]
-            dh[:, rows] += back_to
-        self._leaves(flat, wanted, weight, dh)
-        dh = dh.reshape(n, steps, streams)
+                np.matmul(d[:, part], scaled[:, part].T, out=grad[name][c])
+                np.matmul(across[c], d[:, part], out=back_to[:, part])
+            back_to *= share
+            dh[:, places] += back_to
+        if bounds[v.soft_classes] < bounds[-1]:
+            places = slice(bounds[v.soft_classes], bounds[-1])
+            leaf, within = np.divmod(wanted[places] - v.soft, CLASS_WORDS)
+            dh[:, places] += self._leaves(flat[:, places], leaf, within) * weight[places]
+        back_to = np.empty_like(dh)
+        back_to[:, order] = dh
+        dh = back_to.reshape(n, steps, streams)
         # what the gates' gradients are, but for the gradient that comes back
         to_new = (1 - z) * (1 - new * new)
         to_reset = to_new * gn * r * (1 - r)
@@ -295,7 +331,9 @@ class Trainer:
             np.multiply(whole, to_update[:, t], out=dg[n : 2 * n, t])
             da = np.multiply(whole, to_new[:, t], out=dx[2 * n :, t])
             np.multiply(da, r[:, t], out=dg[2 * n :, t])
-            back = (whole * z[:, t] + across @ dg[:, t]) * going[t]
+            back = whole * z[:, t]
+            back += across @ dg[:, t]
+            back *= going[t]
         dx[: 2 * n] = dg[: 2 * n]
         np.matmul(dg.reshape(3 * n, -1), before.reshape(n, -1).T, out=grad["state"])
         for sums, values in zip(grad["inputs"], dx.reshape(3 * n, -1)):
@@ -303,55 +341,71 @@ class Trainer:
         self._update(grad.flat)
         return h
 
-    def _leaves(self, flat: np.ndarray, wanted: np.ndarray, weight: np.ndarray, dh: np.ndarray) -> None:
-        """Step the leaves of the wanted words and add to the states' gradients."""
-        v, n = self.v, HIDDEN
-        places = np.flatnonzero((wanted >= v.soft) & (wanted < len(v.counts)) & (weight > 0))
-        if not len(places):
-            return
-        leaf = (wanted[places] - v.soft) // CLASS_WORDS
-        order = np.argsort(leaf.astype(np.int16), kind="stable")
-        places, leaf = places[order], leaf[order]
-        own = np.ascontiguousarray(flat[:, places].T)
+    def _leaves(self, states: np.ndarray, leaf: np.ndarray, within: np.ndarray) -> np.ndarray:
+        """Step the leaves of words that stand in their order; the states' gradients."""
+        own = np.ascontiguousarray(states.T)
         weights = self.net["leaves"][leaf]
-        within = (wanted[places] - v.soft) % CLASS_WORDS
-        d = np.ascontiguousarray(_errors(_leaf_logits(weights, own), within, np.ones(len(leaf), np.float32)).T)
-        dh[:, places] += np.matmul(weights[:, :n], d[:, :, None])[:, :, 0].T * weight[places]
+        d, sums = _errors(_leaf_logits(weights, own), within, False)
+        d /= sums
+        d = np.ascontiguousarray(d.T)
+        back = np.matmul(weights[:, :HIDDEN], d[:, :, None])[:, :, 0].T
         firsts = np.flatnonzero(np.append(True, leaf[1:] != leaf[:-1]))
-        met, times = leaf[firsts], np.diff(np.append(firsts, len(leaf)))
+        times = np.diff(np.append(firsts, len(leaf)))
+        # the leaves that are met most often come first
+        order = np.argsort(-times, kind="stable")
+        firsts, times = firsts[order], times[order]
+        met = leaf[firsts]
+        many = int(np.searchsorted(-times, -MET_SINGLY))
         g = own[firsts, :, None] * d[firsts, None, :]
         for k in range(1, MET_SINGLY):
-            more = np.flatnonzero((times > k) & (times <= MET_SINGLY))
-            g[more] += own[firsts[more] + k, :, None] * d[firsts[more] + k, None, :]
-        for i in np.flatnonzero(times > MET_SINGLY).tolist():
+            more = slice(many, int(np.searchsorted(-times, -k)))
+            following = firsts[more] + k
+            g[more] += own[following, :, None] * d[following, None, :]
+        for i in range(many):
             part = slice(firsts[i], firsts[i] + times[i])
             np.matmul(own[part].T, d[part], out=g[i])
         by_leaf = g.reshape(len(g), -1)
         self.leaf_squares[met] += np.einsum("ij,ij->i", by_leaf, by_leaf)
         g *= (LEAF_RATE / np.sqrt(self.leaf_squares[met]))[:, None, None]
-        self.net["leaves"][met] = weights[firsts] - g
+        self.net["leaves"][met] = np.subtract(weights[firsts], g, out=g)
+        return back
 
     def _update(self, g: np.ndarray) -> None:
         norm = float(np.sqrt(g @ g))
         if norm > 1:
             g /= norm
         self.steps += 1
-        self.m += 0.1 * (g - self.m)
-        self.s += 0.01 * (g * g - self.s)
-        m, s = self.m / (1 - 0.9**self.steps), self.s / (1 - 0.99**self.steps)
-        self.net.flat[: self.net.dense] -= self.rate * m / (np.sqrt(s) + 1e-8)
+        change = g - self.m
+        change *= 0.1
+        self.m += change
+        np.multiply(g, g, out=change)
+        change -= self.s
+        change *= 0.01
+        self.s += change
+        np.divide(self.s, 1 - 0.99**self.steps, out=change)
+        np.sqrt(change, out=change)
+        change += 1e-8
+        m = np.divide(self.m, 1 - 0.9**self.steps, out=g)
+        m *= self.rate
+        m /= change
+        self.net.flat[: self.net.dense] -= m
 
 
 def _log_probabilities(v: Vocabulary, net: Network, states: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Of the wanted words, of those beyond the head the class's, for states in columns with a one at the end."""
-    scores = _chosen(net["classes"] @ states, v.class_of[wanted])
-    for name, rows, parts, within in _levels(v, wanted):
-        scores[rows] += _chosen(_group_logits(net[name], np.take(states, rows, axis=1), parts), within)
-    rows = np.flatnonzero((wanted >= v.soft) & (wanted < len(v.counts)))
-    if len(rows):
-        leaf, within = np.divmod(wanted[rows] - v.soft, CLASS_WORDS)
-        own = np.ascontiguousarray(states[:, rows].T)
-        scores[rows] += _chosen(_leaf_logits(net["leaves"][leaf], own), within)
+    order, bounds = _ordered(v, wanted)
+    states, wanted = np.take(states, order, axis=1), wanted[order]
+    small = net.small_logits()
+    found = _chosen(net["classes"] @ states, v.class_of[wanted], small)
+    for name, places, parts, within in _levels(v, wanted, bounds):
+        found[places] += _chosen(_group_logits(net[name], states[:, places], parts), within, small)
+    if bounds[v.soft_classes] < bounds[-1]:
+        places = slice(bounds[v.soft_classes], bounds[-1])
+        leaf, within = np.divmod(wanted[places] - v.soft, CLASS_WORDS)
+        own = np.ascontiguousarray(states[:, places].T)
+        found[places] += _chosen(_leaf_logits(net["leaves"][leaf], own), within, False)
+    scores = np.empty(len(wanted))
+    scores[order] = found
     return scores
 
 
@@ -362,6 +416,7 @@ def score_documents(v: Vocabulary, net: Network, documents: list[np.ndarray]) ->
     out = np.zeros(len(documents))
     h = np.zeros((HIDDEN, len(documents)), np.float32)
     last = np.full(len(documents), v.end, np.int32)
+    from_inputs, from_state = _halved(net["inputs"]), _halved(net["state"])
     for t in range(0, int(lengths.max(initial=0)), SCORED_STEPS):
         active = int(np.searchsorted(-lengths[order], -t))
         steps = min(SCORED_STEPS, int(lengths[order[0]]) - t)
@@ -374,8 +429,10 @@ def score_documents(v: Vocabulary, net: Network, documents: list[np.ndarray]) ->
         inputs = v.inputs[np.vstack([last[None, :active], targets[:-1]])]
         states = np.ones((HIDDEN + 1, steps, active), np.float32)
         now = np.ascontiguousarray(h[:, :active])
+        gates, new = np.empty((2 * HIDDEN, active), np.float32), np.empty((HIDDEN, active), np.float32)
         for k in range(steps):
-            now = _step(np.take(net["inputs"], inputs[k], axis=1), now, net["state"])[0]
+            before, now = now, np.empty_like(now)
+            _step(np.take(from_inputs, inputs[k], axis=1), before, from_state, gates, new, now)
             states[:HIDDEN, k] = now
         h[:, :active], last[:active] = now, targets[-1]
         own, wanted = states[:, valid], targets[valid]
@@ -388,18 +445,25 @@ def score_documents(v: Vocabulary, net: Network, documents: list[np.ndarray]) ->
     return out
 
 
+def _words(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+    """What ``space_words`` finds in the texts, one after the other, and how many words come before each text's end."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(batch.column("text")))
+    words = split.flatten().cast(pa.binary())
+    # before and behind outer spaces there are empty words
+    good = pc.binary_length(words).to_numpy() > 0
+    ends = np.cumsum(split.value_lengths().to_numpy(), dtype=np.int64)
+    return words.filter(pa.array(good)), np.append(0, np.cumsum(good))[ends]
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """``(word, n)`` of all words, and of the end as the empty word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: Counter = Counter()
-            for text in batch.column("text").cast(pa.binary()).to_pylist():
-                seen.update(space_words(text))
-            seen[END] += batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"]
-            )
+            counts = pc.value_counts(_words(batch)[0])
+            words = pa.concat_arrays([counts.field("values"), pa.array([END], pa.binary())])
+            numbers = pa.concat_arrays([counts.field("counts"), pa.array([batch.num_rows], pa.int64())])
+            yield pa.RecordBatch.from_arrays([words, numbers], ["word", "n"])
 
     counted = docs.select("text").mapInArrow(run, "word binary, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
@@ -429,28 +493,37 @@ def head_words(counts: DataFrame, most: int = HEAD) -> list:
 def _encoded(v: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranks of the words of each text; the words beyond the head with their numbers."""
     part, at, n = TaskContext.get().partitionId(), 0, len(v.counts)
+    head = pa.array(list(v.rank), pa.binary())  # by rank
     for batch in batches:
-        ranks, tails = [], []
-        for text in batch.column("text").cast(pa.binary()).to_pylist():
-            words = space_words(text)
-            found = v.ranks_of(words)
-            words.append(END)
-            ranks.append(found.tobytes())
-            tails.append(Counter([words[i] for i in np.flatnonzero(found == n).tolist()]))
+        words, ends = _words(batch)
+        found = pc.index_in(words, value_set=head).fill_null(n).to_numpy()
+        text_ends = ends + np.arange(len(ends))  # with the ends of the texts before
+        cuts = [0, *(text_ends + 1).tolist()]
+        ranks = np.full(len(words) + len(ends), v.end, np.int32)
+        inner = np.ones(len(ranks), bool)
+        inner[text_ends] = False
+        ranks[inner] = found
+        beyond = np.flatnonzero(found == n)
+        names = words.take(pa.array(beyond)).to_pylist()
+        bounds = [0, *np.searchsorted(beyond, ends).tolist()]
+        tails = [Counter(names[a:b]) for a, b in zip(bounds, bounds[1:])]
+        if v.end == n:
+            for tail in tails:
+                tail[END] = 1
         offsets = pa.array(np.cumsum([0, *map(len, tails)]), pa.int32())
-        words = pa.array([w for t in tails for w in t], pa.binary())
+        tail_words = pa.array([w for t in tails for w in t], pa.binary())
         numbers = pa.array([k for t in tails for k in t.values()], pa.int32())
         yield pa.RecordBatch.from_pydict(
             {
-                "row": pa.array(np.arange(at, at + len(ranks)) + (part << 33)),
+                "row": pa.array(np.arange(at, at + len(ends)) + (part << 33)),
                 "doc_id": batch.column("doc_id"),
                 "learnt": batch.column("learnt"),
-                "ranks": pa.array(ranks, pa.binary()),
-                "tail_words": pa.ListArray.from_arrays(offsets, words),
+                "ranks": pa.array([ranks[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                "tail_words": pa.ListArray.from_arrays(offsets, tail_words),
                 "tail_numbers": pa.ListArray.from_arrays(offsets, numbers),
             }
         )
-        at += len(ranks)
+        at += len(ends)
 
 
 def _ranks(batch: pa.RecordBatch) -> list[np.ndarray]:
