@@ -11,6 +11,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ sys.path.insert(0, ROOT)
 
 import corpus_pipeline  # noqa: E402
 from tillroll.llm import (  # noqa: E402
-    components, decontamination, language_model, licenses, pieces, queries, secret_scan, simhash,
+    common, components, decontamination, language_model, licenses, pieces, queries, secret_scan, simhash,
     token_files, toxicity, vectors, warc,
 )
 
@@ -290,6 +291,25 @@ def test_notice_with_inserted_words(spark):
     assert {r["doc_id"]: r["labels"] for r in licenses.licenses(frame).collect()} == {1: "mit", 2: ""}
 
 
+def test_language_model_cuts_words_in_arrow_and_trains_alike_with_small_logits(monkeypatch):
+    texts_of = ["  A b\x1c\x0bÉ ", "", "x", "\x85a\u3000B\t"]
+    found, ends = language_model._words(pa.RecordBatch.from_pydict({"text": texts_of}))
+    words = [common.space_words(t.encode()) for t in texts_of]
+    assert found.to_pylist() == sum(words, []) and ends.tolist() == np.cumsum([len(w) for w in words]).tolist()
+    rng = np.random.default_rng(4)
+    n = 6000
+    v = language_model.Vocabulary([b"", *(b"w%d" % i for i in range(1, n))], [3 * n - i for i in range(n)], 3 * n * n, n)
+    documents = [np.append(rng.integers(1, n + 1, 60), 0).astype(np.int32) for _ in range(90)]
+    trained = []
+    for small in (60, 0):
+        monkeypatch.setattr(language_model, "SMALL_LOGITS", small)
+        trainer = language_model.Trainer(v, language_model.Network(v), 1e-3)
+        assert trainer.net.small_logits() == bool(small)
+        trainer.learn(documents)
+        trained.append(language_model.score_documents(v, trainer.net, documents))
+    assert np.allclose(*trained, rtol=1e-5)
+
+
 def test_language_model(spark, docs, documents, empty):
     for frame in (docs, documents, empty):
         rows = rows_of(frame)

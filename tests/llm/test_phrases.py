@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillroll.llm import phrases
@@ -140,3 +141,40 @@ def test_packed_phrases_are_not_made_one_by_one(monkeypatch):
         rows = list(phrases._packed(b"en", words, keys, np.array([3, 4, 5]), 2, buckets))
         packed = [p for row in rows for p in row.column("phrases").to_pylist()]
         assert sorted(b"".join(packed).split(b"\n")) == [b"", b"a bc", b"bc a", b"bc bc"]
+
+
+def test_words_are_cut_and_looked_up_in_arrow():
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "en", "fr"], "text": ["  A b\x1c.b\t\tÉ\n", "", ". x,"]})
+    found = {lang: words.to_pylist() for lang, words in phrases.token_lists(batch)}
+    assert found == {b"en": [b"a", b"b\x1c", b".", b"b", "É".encode(), b".", b"."], b"fr": [b".", b"x", b"."]}
+    words = pa.array([b"b", b"a", b"b", b"."], pa.binary())
+    assert phrases._looked_up({b"a": 5, b"b": 7, b".": -1}.__getitem__, words).tolist() == [7, 5, 7, -1]
+
+
+def test_only_words_of_kept_phrases_get_codes(spark, monkeypatch):
+    class Bounded(phrases.Words):
+        def __missing__(self, word):
+            assert not word.startswith(b"rare"), "a word of no candidate is kept"
+            return super().__missing__(word)
+
+    monkeypatch.setattr(phrases, "Words", Bounded)
+    rows = [("en", f"new york rare{i} old york rarely{i}") for i in range(40)]
+    frame = spark.createDataFrame([(1, t, lang, "p", 1, 2, 3, 4) for lang, t in rows], SCHEMA).coalesce(2)
+    plainly = phrases.small_batches(phrases.by_language(frame))
+    bits = phrases.phrase_filter(phrases.word_counts(plainly).where("f >= 10"))
+    monkeypatch.setattr(phrases, "phrase_filter", lambda _: bits)
+    runs = []
+
+    class Plain:
+        sparkSession = spark
+
+        def mapInArrow(self, run, _):
+            runs.append(run)
+            return self
+
+        def repartition(self, *_):
+            return self
+
+    phrases.candidates(Plain(), None, 2, 10)
+    sent = [r for b in runs[0](iter(plainly.toArrow().to_batches())) for r in b.to_pylist()]
+    assert sorted(b"".join(r["phrases"] for r in sent).split()) == [b"new", b"old", b"york", b"york"]

@@ -18,8 +18,7 @@ A phrase never crosses a piece, a text or a row. Counts must stay below 10**16.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -71,7 +70,14 @@ def _parts(text: bytes) -> Iterator[bytes]:
     yield text[begin:]
 
 
-def token_lists(batch: pa.RecordBatch) -> Iterator[tuple[bytes, list[bytes]]]:
+def _tokens(parts: list[bytes]) -> pa.Array:
+    """The words of the parts of texts, kept in Arrow's memory; ``END`` stands between pieces."""
+    joined = pa.array([END.join(parts).replace(END, b" . ")], pa.binary()).cast(pa.string(), safe=False)
+    words = pc.ascii_split_whitespace(joined).flatten().cast(pa.binary())
+    return words.filter(pc.greater(pc.binary_length(words), 0))
+
+
+def token_lists(batch: pa.RecordBatch) -> Iterator[tuple[bytes, pa.Array]]:
     """Language and words of chunks of the batch's texts; ``END`` stands between pieces."""
     texts: dict[bytes, list[bytes]] = {}
     columns = (batch.column(c).cast(pa.binary()).to_pylist() for c in ("lang", "text"))
@@ -84,10 +90,17 @@ def token_lists(batch: pa.RecordBatch) -> Iterator[tuple[bytes, list[bytes]]]:
                 held.append(part)
                 size += len(part)
                 if size >= CHUNK:
-                    yield lang, END.join(held).replace(END, b" . ").split()
+                    yield lang, _tokens(held)
                     held, size = [], 0
         if held:
-            yield lang, END.join(held).replace(END, b" . ").split()
+            yield lang, _tokens(held)
+
+
+def _looked_up(code: Callable[[bytes], int], tokens: pa.Array, kind: type = np.int64) -> np.ndarray:
+    """The code of every word; each different one is looked up once."""
+    different = pc.dictionary_encode(tokens)
+    codes = np.fromiter(map(code, different.dictionary.to_pylist()), kind, len(different.dictionary))
+    return codes[different.indices.to_numpy()]
 
 
 class Words(dict):
@@ -118,33 +131,34 @@ def word_counts(plain: DataFrame) -> DataFrame:
     """``(lang, phrase, f)``: how often each word occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, tuple[Words, np.ndarray]] = {}
+        held: list[pa.RecordBatch] = []
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, (words, counts) in known.items():
-                yield _rows(lang, words.names, counts[: len(words.names)])
-            known.clear()
+        def merged() -> list[pa.RecordBatch]:
+            whole = pa.Table.from_batches(held).group_by(["lang", "phrase"], use_threads=False)
+            summed = whole.aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+            return summed.select(["lang", "phrase", "n"]).combine_chunks().to_batches()
 
         for batch in batches:
             for lang, tokens in token_lists(batch):
-                words, counts = known.get(lang) or (Words(), np.zeros(0, np.int64))
-                codes = words.codes(tokens)
-                found = np.bincount(codes[codes >= 0], minlength=len(words.names))
-                found[: len(counts)] += counts
-                known[lang] = words, found
-                if sum(len(w.names) for w, _ in known.values()) > KNOWN:
-                    yield from flush()
-        yield from flush()
+                counts = pc.value_counts(tokens)
+                counts = counts.filter(pc.not_equal(counts.field("values"), END))
+                held.append(_rows(lang, counts.field("values"), counts.field("counts")))
+            if sum(map(len, held)) > 2 * KNOWN:
+                held = merged()
+                if sum(map(len, held)) > KNOWN:
+                    yield from held
+                    held = []
+        if held:
+            yield from merged()
 
     found = plain.mapInArrow(run, "lang string, phrase string, n long")
     return found.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
 
 
-def _rows(lang: bytes, phrases: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
+def _rows(lang: bytes, phrases: pa.Array, counts: pa.Array) -> pa.RecordBatch:
     named = pa.array([lang], pa.binary()).take(pa.array(np.zeros(len(phrases), np.int32)))
     return pa.RecordBatch.from_arrays(
-        [named.cast(pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())],
-        ["lang", "phrase", "n"],
+        [named.cast(pa.string()), phrases.cast(pa.string()), counts.cast(pa.int64())], ["lang", "phrase", "n"]
     )
 
 
@@ -166,13 +180,15 @@ def phrase_filter(phrases: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places = [np.empty(0, np.uint64)]
-            for lang, phrase in zip(*(batch.column(c).cast(pa.binary()).to_pylist() for c in ("lang", "phrase"))):
-                hashed = np.array([xxh64_intdigest(lang)], np.uint64)
-                for word in phrase.split(b" "):
-                    hashed = _mixed(hashed, np.array([xxh64_intdigest(word)], np.uint64))
-                places.extend(_places(hashed))
-            placed = np.concatenate(places)
+            split = pc.split_pattern(batch.column("phrase"), " ")
+            sizes = split.value_lengths().to_numpy()
+            begins = np.cumsum(sizes) - sizes
+            words = _looked_up(xxh64_intdigest, split.flatten().cast(pa.binary()), np.uint64)
+            hashed = _looked_up(xxh64_intdigest, batch.column("lang").cast(pa.binary()), np.uint64)
+            for k in range(int(sizes.max(initial=0))):
+                longer = np.flatnonzero(sizes > k)
+                hashed[longer] = _mixed(hashed[longer], words[begins[longer] + k])
+            placed = np.concatenate(_places(hashed))
             slots, where = np.unique(placed >> np.uint64(6), return_inverse=True)
             bits = np.zeros(len(slots), np.uint64)
             np.bitwise_or.at(bits, where, np.uint64(1) << (placed & np.uint64(63)))
@@ -225,24 +241,30 @@ def candidates(plain: DataFrame, frequent: DataFrame, size: int, least: int, buc
 
         for batch in batches:
             for lang, tokens in token_lists(batch):
-                words = known.setdefault(lang, Words())
-                codes = words.codes(tokens)
-                n = len(codes) - size + 1
-                if n > 0 and words.names:
-                    hashes = words.hashes()[codes]
-                    inside = codes >= 0
-                    state = np.full(len(codes), xxh64_intdigest(lang), np.uint64)
-                    whole = np.ones(len(codes), bool)
+                different = pc.dictionary_encode(tokens)
+                names, places = different.dictionary.to_pylist(), different.indices.to_numpy()
+                if len(places) >= size:
+                    hashes = np.fromiter(map(xxh64_intdigest, names), np.uint64, len(names))[places]
+                    inside = places != (names.index(END) if END in names else -1)
+                    state = np.full(len(places), xxh64_intdigest(lang), np.uint64)
+                    whole = np.ones(len(places), bool)
                     for k in range(size - 1):
-                        ahead = len(codes) - k
+                        ahead = len(places) - k
                         state = _mixed(state[:ahead], hashes[k:])
                         whole = whole[:ahead] & inside[k:]
                     at = np.flatnonzero(whole)
                     whole[at] = _passes(bits, state[at])
                     at = np.flatnonzero(whole[:-1] & whole[1:]) if size > 1 else at
-                    keys = codes[at]
+                    # only words of phrases that are kept get codes
+                    words = known.setdefault(lang, Words())
+                    used = np.zeros(len(names), bool)
+                    for k in range(size):
+                        used[places[at + k]] = True
+                    codes = np.zeros(len(names), np.int64)
+                    codes[used] = words.codes([names[i] for i in np.flatnonzero(used).tolist()])
+                    keys = codes[places[at]]
                     for k in range(1, size):
-                        keys = keys << _SHIFT | codes[at + k]
+                        keys = keys << _SHIFT | codes[places[at + k]]
                     held.setdefault(lang, []).append(np.unique(keys, return_counts=True))
                     if sum(len(k) for own in held.values() for k, _ in own) > HELD:
                         for name in held:
@@ -275,7 +297,8 @@ def candidates(plain: DataFrame, frequent: DataFrame, size: int, least: int, buc
                 found.setdefault(lang, set()).update(map(joined.split(b"\n").__getitem__, places))
         for lang, phrases in found.items():
             ordered = sorted(phrases)
-            yield _rows(lang, ordered, np.zeros(len(ordered), np.int64)).select(["lang", "phrase"])
+            named = pa.array(ordered, pa.binary())
+            yield _rows(lang, named, pa.array(np.zeros(len(ordered), np.int64))).select(["lang", "phrase"])
 
     found = plain.mapInArrow(run, "bucket int, lang string, hashes binary, counts binary, phrases binary")
     return found.repartition(buckets, "bucket").mapInArrow(chosen, "lang string, phrase string")
@@ -385,33 +408,30 @@ def double_array(paths: np.ndarray, lengths: np.ndarray, radix: int) -> tuple[np
     return base, check, accept
 
 
-def _spans(joined: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-    """Codes of the words of all phrases in one array, and the words by code."""
-    words = Words()
-    codes = np.fromiter((words[w] for phrase in joined for w in phrase.split(b" ")), np.int64)
-    return codes, words.names
-
-
 def _build(table: pa.Table) -> pa.Table:
     """One trie as one row: languages, words, the number of digits' values and the arrays."""
-    langs, lang_of = np.unique(np.array(table.column("lang").cast(pa.binary()).to_pylist(), object), return_inverse=True)
-    phrases = table.column("phrase").cast(pa.binary()).to_pylist()
-    sizes = np.fromiter((p.count(b" ") + 1 for p in phrases), np.int64, len(phrases))
-    codes, names = _spans(phrases)
+    table = table.combine_chunks()
+    by_lang = pc.dictionary_encode(table.column("lang").chunk(0).cast(pa.binary()))
+    langs, lang_of = by_lang.dictionary.to_pylist(), by_lang.indices.to_numpy()
+    split = pc.split_pattern(table.column("phrase").chunk(0), " ")
+    sizes = split.value_lengths().to_numpy()
+    by_word = pc.dictionary_encode(split.flatten().cast(pa.binary()))
+    codes, names = by_word.indices.to_numpy(), by_word.dictionary.to_pylist()
+    del split
     radix = max(2, int(np.ceil(np.sqrt(max(len(names), len(langs)) + 1))))
-    grid = np.zeros((len(phrases), 1 + LONGEST), np.int64)
+    grid = np.zeros((len(sizes), 1 + LONGEST), np.int32)
     grid[:, 0] = lang_of
     ends = np.cumsum(sizes)
-    rows = np.repeat(np.arange(len(phrases)), sizes)
+    rows = np.repeat(np.arange(len(sizes)), sizes)
     grid[rows, 1 + np.arange(len(rows)) - np.repeat(ends - sizes, sizes)] = codes
-    paths = np.stack([grid // radix, grid % radix], axis=2).reshape(len(phrases), -1)
+    paths = np.stack([grid // radix, grid % radix], axis=2).reshape(len(sizes), -1)
     base, check, accept = double_array(paths, 2 * (sizes + 1), radix)
     accept[accept >= 0] = table.column("number").to_numpy()[accept[accept >= 0]]
     return pa.table(
         {
             "trie": pa.array([table.column("trie")[0].as_py()], pa.int64()),
             "radix": pa.array([radix], pa.int64()),
-            "langs": pa.array([langs.tolist()], pa.list_(pa.binary())),
+            "langs": pa.array([langs], pa.list_(pa.binary())),
             "words": pa.array([b"\n".join(names)], pa.binary()),
             "base": pa.array([base.tobytes()], pa.binary()),
             "check": pa.array([check.tobytes()], pa.binary()),
@@ -451,12 +471,12 @@ class Trie:
             kept, states = kept[good], following[good]
         return kept, states
 
-    def count(self, lang: bytes, tokens: list[bytes], counts: np.ndarray) -> None:
+    def count(self, lang: bytes, tokens: pa.Array, counts: np.ndarray) -> None:
         """Add the occurrences of all phrases among the words to ``counts``."""
         begun = self.first.get(lang)
-        if begun is None or not tokens:
+        if begun is None or not len(tokens):
             return
-        codes = np.fromiter(map(self.code.get, tokens, repeat(-1)), np.int64, len(tokens))
+        codes = _looked_up(lambda word: self.code.get(word, -1), tokens)
         states = begun[codes]  # the last one, of no word, is -1
         at = np.flatnonzero(states >= 0)
         states = states[at]
