@@ -178,3 +178,19 @@ def test_only_words_of_kept_phrases_get_codes(spark, monkeypatch):
     phrases.candidates(Plain(), None, 2, 10)
     sent = [r for b in runs[0](iter(plainly.toArrow().to_batches())) for r in b.to_pylist()]
     assert sorted(b"".join(r["phrases"] for r in sent).split()) == [b"new", b"old", b"york", b"york"]
+
+
+def test_packing_phrases_keeps_no_memory():
+    words = phrases.Words()
+    codes = words.codes([b"word%d" % i for i in range(2000)])
+    keys = codes[:-1] << phrases._SHIFT | codes[1:]
+
+    def held():
+        for batch in phrases._packed(b"en", words, keys, np.ones(len(keys), np.int64), 2, 5):
+            assert batch.num_rows
+        del batch
+        return pa.total_allocated_bytes()
+
+    held()
+    first = held()
+    assert all(held() <= first for _ in range(3))

@@ -328,7 +328,7 @@ def _packed(
             # the phrases stand one after the other in the column's memory, with where each begins
             _, begins, letters = joined.buffers()
             ends = np.frombuffer(begins, np.int64, len(part) + 1, 8 * joined.offset)
-            text = memoryview(letters)
+            text = memoryview(letters)  # its slices are copied: Arrow never lets go of a view that it is given
             own = [k for k in range(first, until) if bounds[k] < bounds[k + 1]]
             cuts = [(bounds[k] - bounds[first], bounds[k + 1] - bounds[first]) for k in own]
             h, c = hashed[part], counts[part]
@@ -338,7 +338,7 @@ def _packed(
                     "lang": pa.array([lang] * len(own), pa.binary()).cast(pa.string()),
                     "hashes": pa.array([h[a:b].tobytes() for a, b in cuts], pa.binary()),
                     "counts": pa.array([c[a:b].tobytes() for a, b in cuts], pa.binary()),
-                    "phrases": pa.array([text[ends[a] : ends[b]] for a, b in cuts], pa.binary()),
+                    "phrases": pa.array([text[ends[a] : ends[b]].tobytes() for a, b in cuts], pa.binary()),
                 }
             )
         first = until
